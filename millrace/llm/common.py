@@ -29,9 +29,10 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Whole texts make wide rows: fewer of them per Arrow batch keep a Python worker's memory flat."""
+def small_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
+    """Whole texts make wide rows: smaller Arrow batches, by rows and bytes, keep a Python worker's memory flat."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def words(text: Column) -> Column:
