@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat, warc
 from .common import table
 from .line_quality import clean_lines
+from .recompress import dedup_substrings
+from .simhash import near_duplicates
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +22,28 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], rows.schema)
+    return chat.digests(chat.format_turns(rows.union(added)))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op7_chat_format": op7_chat_format,
+    "op8_warc": op8_warc,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}
