@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 def small_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
     """Whole texts make wide rows: smaller Arrow batches, by rows and bytes, keep a Python worker's memory flat."""
+    # Workers on this machine find the package where the driver does.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 

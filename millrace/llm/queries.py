@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, warc
+from . import chat, toxicity, warc
 from .common import table
+from .decontaminate import find_leaks
 from .line_quality import clean_lines
 from .recompress import dedup_substrings
 from .simhash import near_duplicates
@@ -22,6 +24,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.train(*toxicity.labelled_sample(docs, labels))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "<|im_end|><|im_start|>assistant ok"
@@ -34,6 +45,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -41,8 +56,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op7_chat_format": op7_chat_format,
     "op8_warc": op8_warc,
+    "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

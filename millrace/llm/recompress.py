@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
+from .vector import BASE2, BYTES, SPACE, mix, range_hashes, word_spans
 
 #: Words to either side on which a boundary depends after the three rounds, and the largest span after each.
 CONTEXT = 8
@@ -44,41 +45,6 @@ BUCKET_NAMES = 1 << 19
 NULL_ID = np.iinfo(np.int64).max
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_BASE2 = _U(0xC2B2AE3D27D4EB4F)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BYTES = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijection that spreads every bit (the finalizer of splitmix64)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-def _power_tables(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of base and of its inverse modulo 2^64, at least n of each."""
-    have = _powers.get(int(base))
-    if have is None or len(have[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
-        tables = []
-        for b in (int(base), pow(int(base), -1, 1 << 64)):
-            x = np.full(size, _U(b))
-            x[0] = 1
-            tables.append(np.cumprod(x, dtype=np.uint64))
-        have = _powers[int(base)] = tuple(tables)
-    return have
-
-
-def _range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
-    """Polynomial hashes of values[start:end], by prefix sums modulo 2^64."""
-    power, inverse = _power_tables(base, len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * power[: len(values)], out=prefix[1:], dtype=np.uint64)
-    return _mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 class Block:
@@ -87,15 +53,11 @@ class Block:
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, text: bytes) -> None:
         self.ids = ids
         self.bytes = np.frombuffer(text, np.uint8)
-        space = _SPACE[self.bytes]
-        word = ~space
-        before = np.concatenate(([False], word[:-1]))
-        self.starts = np.flatnonzero(word & ~before)
-        self.ends = np.flatnonzero(~word & before)
+        self.starts, self.ends = word_spans(~SPACE[self.bytes])
         self.edges = np.concatenate(([0], np.cumsum(lengths + 1)))
         self.first = np.searchsorted(self.starts, self.edges)  # word number at which a document begins
         self.doc = np.repeat(np.arange(len(ids)), np.diff(self.first))
-        self.words = _range_hashes(_BYTES[self.bytes], self.starts, self.ends, _BASE)
+        self.words = range_hashes(BYTES[self.bytes], self.starts, self.ends)
 
     @classmethod
     def packed(cls, row: dict) -> Block:
@@ -114,11 +76,11 @@ class Block:
                 run = same & (name[1:] == name[:-1])
                 join = run & ~np.concatenate(([False], run[:-1])) & ~np.concatenate((run[1:], [False]))
             else:
-                right = (_mix(name + _U(k)) >> _U(63)).astype(bool)
+                right = (mix(name + _U(k)) >> _U(63)).astype(bool)
                 join = same & ~right[:-1] & right[1:] & (span[1:] + span[:-1] <= cap)
             head = np.concatenate((join, [False]))
             keep = ~np.concatenate(([False], join))
-            joined = _mix(name * _U(3) + np.concatenate((name[1:], name[:1])) * _BASE2 + _U(k))
+            joined = mix(name * _U(3) + np.concatenate((name[1:], name[:1])) * BASE2 + _U(k))
             name = np.where(head, joined, name)[keep]
             span = (span + np.where(head, np.concatenate((span[1:], [0])), 0))[keep]
             at, doc = at[keep], doc[keep]
@@ -129,7 +91,7 @@ class Block:
         at = self.boundaries()
         doc = self.doc[at]
         at = at[(at - CONTEXT >= self.first[doc]) & (at + CONTEXT <= self.first[doc + 1])]
-        return at, _range_hashes(self.words, at - CONTEXT, at + CONTEXT, _BASE)
+        return at, range_hashes(self.words, at - CONTEXT, at + CONTEXT)
 
     def candidates(self, shared: np.ndarray, bits: int, window: int) -> np.ndarray:
         """Starts of the windows whose first boundary with its context inside has a shared name (its top bits)."""
@@ -146,8 +108,8 @@ class Block:
 
     def windows(self, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
         """A 64-bit and an independent 32-bit hash of every window."""
-        one = _range_hashes(self.words, starts, starts + window, _BASE)
-        two = _range_hashes(_mix(self.words ^ _BASE2), starts, starts + window, _BASE2)
+        one = range_hashes(self.words, starts, starts + window)
+        two = range_hashes(mix(self.words ^ BASE2), starts, starts + window, BASE2)
         return one, (two >> _U(32)).astype(np.uint32)
 
     def order(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -393,7 +355,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         edge[block.ends[~gone] + 1] -= 1
         held = np.cumsum(edge[:-1], dtype=np.int8) > 0
         text = block.bytes.copy()
-        text[_SPACE[text]] = 32
+        text[SPACE[text]] = 32
         size = np.concatenate(([0], np.cumsum(held)))[block.edges]
         data = text[held].tobytes()
         for i, number in enumerate(block.ids.tolist()):
