@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, toxicity, warc
+from . import chat, ordinal, toxicity, warc
 from .common import table
 from .decontaminate import find_leaks
+from .html_crf import extract_main_text
 from .line_quality import clean_lines
+from .mixing import mix_sources
 from .recompress import dedup_substrings
 from .simhash import near_duplicates
 
@@ -17,6 +21,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -24,6 +32,29 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Target weights of op4 and the pipeline: (domain, lang, source, weight); unlisted nodes weigh 1.
+MIX = [
+    ("d0", None, None, 4.0),
+    ("d1", None, None, 3.0),
+    ("d2", None, None, 2.0),
+    ("d3", None, None, 1.0),
+    *[(d, lang, None, w) for d in ("d0", "d1", "d2", "d3") for lang, w in (("en", 4.0), ("de", 2.0), ("fr", 2.0), ("es", 2.0))],
+    ("d0", "en", "src0", 2.0),
+]
+
+
+def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs mixed to MIX: a source's domain is drawn by its crc32, the budget is 0.6 of all tokens, at most four epochs."""
+    weights = spark.createDataFrame(MIX, "domain string, lang string, source string, weight double")
+    domain = F.concat(F.lit("d"), F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4)
+    return mix_sources(docs, weights, domain=domain)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixed(spark, docs).select("doc_id", "domain", "lang", "source", "n_tokens", "n_epochs")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
@@ -33,6 +64,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades 0: poor, 1: good but toxic, 2: good; learned from labels whose crc32(doc_id) mod 3 is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    rating = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    model = ordinal.train(*ordinal.graded_sample(docs, labels, rating))
+    graded = ordinal.grade_quality(docs, model)
+    tail = lambda k: F.coalesce(F.get("tail", F.lit(k)), F.lit(0.0))
+    return graded.select("doc_id", held_out.alias("held_out"), "expected_grade", tail(0).alias("p_at_least_1"), tail(1).alias("p_at_least_2"), "kept")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "<|im_end|><|im_start|>assistant ok"
@@ -55,12 +98,79 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality_rules": op3_quality_rules,
+    "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_chat_format": op7_chat_format,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_LEVEL = """
+{name}_nodes AS (
+  SELECT l.root, {keys}, sum(l.tokens) AS tokens, sum(l.tokens * 4.0::DOUBLE) AS capacity, any_value(p.budget) AS parent_budget,
+         coalesce(any_value(w.weight), 1.0::DOUBLE) AS weight
+  FROM leaves l JOIN {parent} p ON {on_parent}
+  LEFT JOIN weights w ON {on_weight}
+  GROUP BY ALL
+), {name}_placed AS (
+  SELECT *, (parent_budget - coalesce(sum(capacity) OVER (PARTITION BY {parents} ORDER BY capacity / weight, {own} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (PARTITION BY {parents} ORDER BY capacity / weight, {own} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM {name}_nodes WHERE weight > 0 AND capacity > 0
+), {name}_shares AS (
+  SELECT *, min_by(share, capacity / weight) FILTER (share * weight < capacity) OVER (PARTITION BY {parents}) AS part FROM {name}_placed
+), {name}_done AS (
+  SELECT *, CASE WHEN share * weight >= capacity THEN capacity ELSE part * weight END AS budget FROM {name}_shares
+)"""
+
+
+def _mix_sql() -> str:
+    text = lambda x: "NULL" if x is None else f"'{x}'"
+    rows = ", ".join(f"({text(d)}, {text(g)}, {text(s)}, {w}::DOUBLE)" for d, g, s, w in MIX)
+    level = lambda name, keys, parent, up, nulls: _LEVEL.format(
+        name=name,
+        parent=parent,
+        keys=", ".join(f"l.{k}" for k in keys),
+        own=keys[-1],
+        parents=", ".join(["root", *up]),
+        on_parent=" AND ".join(f"l.{k} = p.{k}" for k in ["root", *up]),
+        on_weight=" AND ".join([f"w.{k} = l.{k}" for k in keys] + [f"w.{k} IS NULL" for k in nulls]),
+    )
+    crc = "CASE coalesce(source, '') " + " ".join(f"WHEN 'src{k}' THEN 'd{zlib.crc32(f'src{k}'.encode()) % 4}'" for k in range(64)) + " END"
+    return f"""
+WITH weights(domain, lang, source, weight) AS (VALUES {rows}),
+docs AS (
+  SELECT doc_id, {crc} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+'))::BIGINT AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT 1 AS root, domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM docs WHERE n_tokens > 0 GROUP BY ALL
+), whole AS (SELECT 1 AS root, sum(tokens) * 0.6::DOUBLE AS budget FROM leaves),
+{level("a", ["domain"], "whole", [], ["lang", "source"])},
+{level("b", ["domain", "lang"], "a_done", ["domain"], ["source"])},
+{level("c", ["domain", "lang", "source"], "b_done", ["domain", "lang"], [])},
+plan AS (
+  SELECT domain, lang, source, floor(budget / tokens)::BIGINT AS whole, floor(budget)::BIGINT - floor(budget / tokens)::BIGINT * tokens AS rest FROM c_done
+), placed AS (
+  SELECT d.*, p.whole, p.rest,
+         sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5(concat_ws('|', '7', p.whole::VARCHAR, doc_id::VARCHAR))) AS upto
+  FROM docs d JOIN plan p USING (domain, lang, source) WHERE n_tokens > 0
+)
+SELECT doc_id, domain, lang, source, n_tokens, whole + (upto <= rest)::BIGINT AS n_epochs FROM placed WHERE whole + (upto <= rest)::BIGINT > 0
+"""
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+m AS (SELECT h, max(page_id) AS head FROM p WHERE n >= 1000 GROUP BY h)
+SELECT p.page_id, p.n::BIGINT AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN m.head <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN m.head <> p.page_id THEN m.head END AS refers_to
+FROM p LEFT JOIN m ON p.n >= 1000 AND p.h = m.h
+"""
+
+#: DuckDB SQL of the queries that SQL can express; tests/llm holds the others against brute force.
+ORACLES: dict[str, str] = {"op4_mixing": _mix_sql(), "op8_warc": _WARC_SQL}
