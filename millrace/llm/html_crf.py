@@ -405,7 +405,9 @@ def training_pages(texts: list[str], n: int = 500, seed: int = 2) -> list[tuple[
 def page_sample(pages: DataFrame, text_col: str = "html", *, max_pages: int = 200, max_chars: int = 20_000) -> list[str]:
     """Html of at most max_pages pages of at most max_chars, the first by a hash of the html: text to compose training pages of."""
     small = pages.where(F.length(text_col) <= max_chars).select(F.xxhash64(text_col).alias("h"), text_col)
-    return [x[1] for x in small.orderBy("h", text_col).limit(max_pages).collect()]
+    lowest = [x[0] for x in small.select("h").orderBy("h").limit(max_pages).collect()]  # hashes first: no task sends pages that lose
+    picked = small.where(F.col("h").isin(lowest)).dropDuplicates(["h"])
+    return sorted(x[1] for x in picked.limit(max_pages).collect())
 
 
 def main_text(chain: Chain, page: str | None) -> str:

@@ -148,3 +148,13 @@ def clean_lines(
         "base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     ).withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("_all_chars")))
     return judged.select(*base.columns, *NEW_COLUMNS)
+
+
+def passing(df: DataFrame, text: str = "text", **how) -> DataFrame:
+    """The rows of clean_lines() that are kept.
+
+    The row number in the filter keeps the optimizer from copying the verdict's whole expression below it, where it
+    would be computed again for every step that it is made of.
+    """
+    judged = clean_lines(df, text, **how).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where("kept and _row >= 0").drop("_row")
