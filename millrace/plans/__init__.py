@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import registry, text_queries  # noqa: F401  importing registers the queries
+from . import entry_queries, ledger_queries, registry, text_queries  # noqa: F401  importing registers the queries
 
 
 def core_queries() -> tuple[dict, dict]:
