@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..functions.text import clean_text, normalize_label, page_categories, slot_slug
+from ..workers import ready
 
 # Label -> (target, coercer); labels that are counted only; labels of the effects cell.
 FIELDS = {
@@ -73,7 +74,7 @@ IGNORED = ("target", "school", "spell resistance", "charge tier i", "charge tier
 IGNORED_PATTERN = r"(?i)^f:.* shown\.(jpg|png)$"
 EFFECT_LABELS = ("enchantments", "enhancements")
 TYPE_BY_CATEGORY = {"Named wands": "Wand", "Rune Arms": "Rune Arm"}
-SKIPPED = r"(?i)\b(ingredient|consumable)s?\b"
+SKIPPED = r"^(?:Ingredients|Raw ingredients|Consumables without a type|.+ consumables)$"
 
 PARSED = "page_id long, kind string, a int, b int, label string, text string, tooltip string, hrefs array<string>, in_bold array<boolean>, texts array<string>, children array<string>, tooltip_items array<string>"
 
@@ -222,6 +223,7 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
+    ready(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long"), F.col(html_col).cast("string")).mapInArrow(run, PARSED)
 
 
@@ -265,9 +267,18 @@ def coerced(mapped: DataFrame) -> DataFrame:
     for name, f in coerce.COERCERS.items():
         typed = F.to_json(F.struct(f(F.col("text")).alias("v")))
         value = F.when(F.col("coercer") == name, typed) if value is None else value.when(F.col("coercer") == name, typed)
+    # A location cell also needs its links, which came from the parse in the same row.
+    links = F.col("links") if "links" in rows.columns else F.lit(None).cast("array<struct<href:string,text:string,in_bold:boolean>>")
+    value = value.when(F.col("coercer") == "location", F.to_json(F.struct(coerce.location(F.col("text"), links).alias("v"))))
     return rows.withColumn("value", F.nullif(value, F.lit("{}")))
 
 
+def cell_links(parsed: DataFrame) -> DataFrame:
+    """Cells of parse_pages() as (page_id, table, row_pos, label, text, links)."""
+    pairs = F.transform(F.arrays_zip("hrefs", "texts", "in_bold"), lambda x: F.struct(x["hrefs"].alias("href"), x["texts"].alias("text"), x["in_bold"].alias("in_bold")))
+    return parsed.where("kind = 'cell'").select("page_id", F.col("a").alias("table"), F.col("b").alias("row_pos"), "label", "text", pairs.alias("links"))
+
+
 def pivot_fields(values: DataFrame, targets: tuple[str, ...]) -> DataFrame:
     """One row a page, a column for each target: the value of the last row that could be read."""
     rows = values.where("value is not null")
