@@ -94,15 +94,16 @@ def mix_sources(
     ends = sums.withColumn("upto", F.sum("tokens").over(running)).where("upto > rest")
     ends = ends.groupBy(*LEVELS).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("tokens")).alias("before"))).alias("end"))
     last = cut(plan.join(ends, list(LEVELS), "left").select(*LEVELS, "whole", "rest", F.col("end.bucket").alias("end"), F.col("end.before").alias("before")))
+    cuts = last.select(*[F.col(x).alias(f"_{x}") for x in LEVELS], F.col("whole").alias("_whole"), F.col("end").alias("_end"))
     # The rows of the bucket in which a leaf's prefix ends, one by one.
     edge = placed.join(last.select(*LEVELS, "end", "before"), list(LEVELS)).where("bucket = end").groupBy(*LEVELS, "order", "id", "rest", "before").agg(F.sum("n_tokens").alias("tokens"))
     within = Window.partitionBy(*LEVELS).orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).where("upto <= rest").select(*[F.col(x).alias(f"e_{x}") for x in LEVELS], F.col("id").alias("e_id"))
+    edge = edge.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).where("upto <= rest").select(*[F.col(x).alias(f"_e_{x}") for x in LEVELS], F.col("id").alias("_e_id"))
     found = docs.select(*own).withColumns(leaf).withColumn("_n", tokens).where("_n > 0")
-    found = found.join(last.select(*[F.col(x).alias(f"_{x}") for x in LEVELS], "whole", "end"), [f"_{x}" for x in LEVELS])
-    found = found.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("whole").cast("string"), F.col(id_col).cast("string")).cast("binary")), 1, 3))
-    at_edge = F.expr("_bucket <=> end and _domain = e_domain and _lang = e_lang and _source = e_source") & F.col(id_col).eqNullSafe(F.col("e_id"))
+    found = found.join(cuts, [f"_{x}" for x in LEVELS])
+    found = found.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_whole").cast("string"), F.col(id_col).cast("string")).cast("binary")), 1, 3))
+    at_edge = F.expr("_bucket <=> _end and _domain = _e_domain and _lang = _e_lang and _source = _e_source") & F.col(id_col).eqNullSafe(F.col("_e_id"))
     found = found.join(edge.withColumn("_in", F.lit(1)), at_edge, "left")
-    more = (F.col("_bucket") < F.col("end")) | F.col("_in").isNotNull()
-    taken = found.withColumn("_epochs", (F.col("whole") + F.when(more, 1).otherwise(0)).cast("long")).where("_epochs > 0")
+    more = (F.col("_bucket") < F.col("_end")) | F.col("_in").isNotNull()
+    taken = found.withColumn("_epochs", (F.col("_whole") + F.when(more, 1).otherwise(0)).cast("long")).where("_epochs > 0")
     return taken.select(*own, F.col("_domain").alias("domain"), F.col("_n").alias("n_tokens"), F.col("_epochs").alias("n_epochs"))
