@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ordinal, toxicity, warc
+from . import chat, line_quality, ordinal, toxicity, warc
 from .common import table
 from .decontaminate import find_leaks
 from .html_crf import extract_main_text
@@ -172,5 +172,54 @@ SELECT p.page_id, p.n::BIGINT AS payload_bytes, sha1(p.h) AS payload_digest,
 FROM p LEFT JOIN m ON p.n >= 1000 AND p.h = m.h
 """
 
+_WORDS = r"list_filter(string_split_regex(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_COUNT = "len(regexp_extract_all(line, '{0}'))"
+
+
+def _quality_sql() -> str:
+    signs, separators = _COUNT.format(f"[{line_quality.SYMBOLS}]"), _COUNT.format(line_quality.SEPARATOR)
+    fails = f"""{signs} > 0.25 * n OR {_COUNT.format("[!?]{2,}")} > 0.25 * n OR ({separators} >= 3 AND n < 6 * {separators})
+      OR (NOT regexp_matches(line, '[{line_quality.PAUSE}]') AND length(line) > 12 * n AND n >= 8) OR (n <= 20 AND regexp_matches(lower(line), '{"|".join(line_quality.BOILERPLATE)}'))"""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS w FROM documents),
+spots AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
+again AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat FROM spots, (SELECT unnest([0, 1, 2]) AS j) WHERE c > 1 GROUP BY doc_id),
+lines AS (SELECT doc_id, line, len({_WORDS.format("line")}) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+sums AS (SELECT doc_id, count(*) AS n_full, sum(length(line)) AS chars FROM lines WHERE n > 0 GROUP BY doc_id),
+good AS (SELECT doc_id, count(*) AS n_distinct, sum(length(line)) FILTER (NOT ({fails})) AS chars FROM (SELECT DISTINCT doc_id, line, n FROM lines WHERE n > 0) GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[{line_quality.SYMBOLS}]'))::BIGINT AS n_symbols,
+    coalesce(s.n_full - g.n_distinct, 0)::BIGINT AS n_dup_lines, coalesce(a.n_repeat, 0)::BIGINT AS n_repeat_words, coalesce(s.chars, 0) AS chars, coalesce(g.chars, 0) AS left_chars
+  FROM d LEFT JOIN again a USING (doc_id) LEFT JOIN sums s USING (doc_id) LEFT JOIN good g USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND chars - left_chars <= 0.5 * chars AS kept FROM counted
+"""
+
+
+_ESCAPED = r"regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g')"
+_CHAT_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({sum(map(len, chat.CONTROL))} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+_SUBSTRING_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+starts AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d))),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM starts, (SELECT unnest(range(0, 20)) AS j) WHERE nth > 1),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256 FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
 #: DuckDB SQL of the queries that SQL can express; tests/llm holds the others against brute force.
-ORACLES: dict[str, str] = {"op4_mixing": _mix_sql(), "op8_warc": _WARC_SQL}
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": _quality_sql(),
+    "op4_mixing": _mix_sql(),
+    "op7_chat_format": _CHAT_SQL,
+    "op8_warc": _WARC_SQL,
+    "op10_substring_dedup": _SUBSTRING_SQL,
+}
