@@ -238,7 +238,7 @@ class Chain:
         return out[::-1]
 
     @classmethod
-    def train(cls, pages: list[tuple[list[list[str]], list[int]]], *, epochs: int = 30, rate: float = 0.1, penalty: float = 1e-3, seed: int = 2) -> Chain:
+    def train(cls, pages: list[tuple[list[list[str]], list[int]]], *, epochs: int = 60, rate: float = 0.3, penalty: float = 1e-4, seed: int = 2) -> Chain:
         """Maximum likelihood by forward-backward sums over padded batches of pages, with a quadratic penalty."""
         index: dict[str, int] = {}
         for names, _ in pages:
@@ -343,18 +343,18 @@ def composed_page(draw: random.Random, prose: list[str], short: list[str]) -> tu
         out.append(head if draw.random() < 0.85 else f"<header>{head}</header>")
         for _ in range(draw.randint(2, 9)):
             kind = draw.random()
-            if kind < 0.7:
+            if kind < 0.62:
                 text = keep(para())
                 out.append(draw.choice((f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}", f"<p><b>{text}<br>", f"<div>{text}</div>", f'<p class="{word()}">{text}</p>')))
-            elif kind < 0.78:
+            elif kind < 0.7:
                 out.append(f"<h2>{keep(word())}</h2>")
-            elif kind < 0.85:
+            elif kind < 0.77:
                 out.append("<ul>" + "".join(f"<li>{keep(sentence())}</li>" for _ in range(draw.randint(2, 4))) + "</ul>")
-            elif kind < 0.9:
+            elif kind < 0.82:
                 out.append(f"<blockquote><p>{keep(para())}</p></blockquote>")
-            elif kind < 0.94:
+            elif kind < 0.85:
                 out.append("<table><tr>" + "".join(f"<td>{keep(sentence())}</td>" for _ in range(2)) + "</tr></table>")
-            elif kind < 0.97:
+            elif kind < 0.88:
                 text = keep(f'{sentence()} <a href="/x">{word()}</a> {sentence()}')
                 out.append(f"<p>{text}</p>")
             else:
@@ -381,7 +381,7 @@ def _plain(text: str) -> str:
     return " ".join(html.unescape(re.sub(r"<[^>]*>", "", text)).split())
 
 
-def training_pages(texts: list[str], n: int = 500, seed: int = 2) -> list[tuple[list[list[str]], list[int]]]:
+def training_pages(texts: list[str], n: int = 700, seed: int = 2) -> list[tuple[list[list[str]], list[int]]]:
     """Labelled pages: features and labels of the blocks of composed pages with paragraphs and titles from sampled pages."""
     draw = random.Random(seed)
     blocks = [x.text for page in texts for x in leaves(page)]
