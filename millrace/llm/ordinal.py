@@ -64,9 +64,9 @@ def text_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     bins = [ROWS + k * BINS + np.minimum(BINS - 1, (r * BINS).astype(int)) for k, r in enumerate(ratios)]
     own = np.arange(len(texts))
     return (
-        np.concatenate([text] * 3 + [own] * len(bins)),
-        np.concatenate([x.astype(np.int64) for x in forms] + bins),
-        np.concatenate([value] * 3 + [np.ones(len(texts))] * len(bins)),
+        np.concatenate([text] * 3 + [own] * len(bins)).astype(np.int32),
+        np.concatenate([x.astype(np.int32) for x in forms] + bins).astype(np.int32),
+        np.concatenate([value] * 3 + [np.ones(len(texts))] * len(bins)).astype(np.float32),
     )
 
 
@@ -91,7 +91,10 @@ def train(texts: list[str], grades: np.ndarray, *, steps: int = 200, rate: float
     if len(present) < 2:
         return {"grade": int(present[0]) if len(present) else 0, "top": int(present[0]) if len(present) else 0}
     top = int(grades.max())
-    text, row, value = text_features(texts)
+    parts = [text_features(texts[at : at + 200]) for at in range(0, len(texts), 200)]  # less memory at once
+    text = np.concatenate([x + 200 * k for k, (x, _, _) in enumerate(parts)])
+    row, value = (np.concatenate([x[k] for x in parts]) for k in (1, 2))
+    del parts
     w = np.zeros(ROWS + 8 * BINS)
     # Thresholds are a first one and positive gaps, so they stay in order.
     free = np.concatenate(([-1.0], np.zeros(top - 1)))
@@ -129,7 +132,7 @@ def grade(model: dict, texts: list[str | None]) -> np.ndarray:
     return tails(model["cuts"], scores(model["weights"], texts))
 
 
-def graded_sample(docs: DataFrame, labels: DataFrame, rating: Column, *, max_rows: int = 1500, max_chars: int = 20_000) -> tuple[list[str], np.ndarray]:
+def graded_sample(docs: DataFrame, labels: DataFrame, rating: Column, *, max_rows: int = 600, max_chars: int = 10_000) -> tuple[list[str], np.ndarray]:
     """Texts and grades of at most max_rows rows of each grade 0, 1, 2, the first by a hash of their id, of at most max_chars each."""
     rated = labels.select(F.col("doc_id").alias("_id"), rating.cast("int").alias("_y")).where("_y between 0 and 2").dropDuplicates(["_id"])
     parts = [rated.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows) for y in range(3)]
