@@ -24,7 +24,7 @@ def duck():
 
 def plain(x):
     if isinstance(x, (list, tuple)):
-        return tuple(plain(y) for y in x)
+        return "[" + ", ".join(plain(y) for y in x) + "]"
     if isinstance(x, bool):
         return str(x)
     if isinstance(x, (int, float)):
