@@ -34,8 +34,8 @@ MASKS = ("1110111", "110101011", "1101100011", "10110100111")
 LEAST = 8
 #: Words to either side of a hit that are compared.
 AROUND = 64
-#: Bits of the bitmap of item hashes.
-FILTER_BITS = 22
+#: The bitmap of item hashes has 2 to this power bits; a hash sets two of them.
+FILTER_BITS = 24
 
 
 class Stretches(Words):
@@ -92,12 +92,23 @@ def item_seeds(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """Bitmap of the low bits of seeds(hash): at most 2^FILTER_BITS distinct values reach the driver, whatever the input."""
-    low = seeds.select(F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int").alias("low")).distinct()
+    """Bitmap of the lowest and of the next bits of seeds(hash): at most 2^FILTER_BITS distinct places reach the driver,
+    whatever the input."""
+    place = lambda shift: F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int")
+    places = seeds.select(F.explode(F.array(place(0), place(FILTER_BITS))).alias("place")).distinct()
     table = np.zeros(1 << FILTER_BITS, bool)
-    for batch in low.toArrow().to_batches():
+    for batch in places.toArrow().to_batches():
         table[batch.column(0).to_numpy()] = True
-    return np.packbits(table)
+    return np.packbits(table, bitorder="little")
+
+
+def may_hit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of the hashes whose two places are both set."""
+    found = np.arange(len(hashes))
+    for shift in (0, FILTER_BITS):
+        place = (hashes[found] >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
+        found = found[(bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+    return found
 
 
 def text_clusters(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarray) -> DataFrame:
@@ -108,12 +119,10 @@ def text_clusters(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarra
     schema = pa.schema([("cluster", pa.string()), ("doc_id", pa.int64()), ("from", pa.int64()), ("words", pa.list_(pa.int64())), ("seeds", kind)])
 
     def run(batches):
-        known = np.unpackbits(shared.value).astype(bool)
-        low = np.uint64((1 << FILTER_BITS) - 1)
         for batch in batches:
             s = Stretches(batch.column(1).to_pylist())
             ids = batch.column(0).to_pylist()
-            hits = [(at[k], h[k]) for at, h in s.seeds() for k in [known[(h & low).astype(np.int64)]]]
+            hits = [(at[k], h[k]) for at, h in s.seeds() for k in [may_hit(shared.value, h)]]
             if not hits:
                 continue
             at, h = (np.concatenate(x) for x in zip(*hits, strict=True))
