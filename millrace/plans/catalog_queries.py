@@ -82,7 +82,7 @@ SELECT n_nationkey AS pos, CASE n_nationkey WHEN 0 THEN '# comment' WHEN 1 THEN
   WHEN 13 THEN 'User-agent: third' WHEN 14 THEN 'Disallow: /' ELSE '' END AS line FROM {nation}"""
 register(
     "robots_rules", lambda lines: C.robots_rules(lines),
-    """SELECT group_no, agents, allow, pattern, crawl_delay FROM (VALUES (1, ['*'], false, '/page/Special:', 2.0::DOUBLE), (2, ['millbot', 'other'], false, '/page/', 5.0), (2, ['millbot', 'other'], true, '/page/Item:', 5.0),
+    """SELECT group_no, agents, allow, pattern, crawl_delay FROM (VALUES (1::BIGINT, ['*'], false, '/page/Special:', 2.0::DOUBLE), (2, ['millbot', 'other'], false, '/page/', 5.0), (2, ['millbot', 'other'], true, '/page/Item:', 5.0),
       (2, ['millbot', 'other'], false, '/*?', 5.0), (2, ['millbot', 'other'], true, '/page/ECONOMY$', 5.0), (3, ['third'], false, '/', NULL)) v(group_no, agents, allow, pattern, crawl_delay)""",
     lines=ROBOTS,
 )
