@@ -30,6 +30,22 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Column of keyed(): told apart from every column of the provided tables.
+ROW = "_row"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with a column ROW, unique among rows whatever their ids, written once so that it stays the same."""
+    return cut(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def first_rows(rows: DataFrame, placed: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of keyed rows: of each part of placed(row, id, part) the row of the smallest id, null ids last."""
+    first = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row")).alias("h")
+    kept = placed.groupBy("part").agg(first).select(F.col("h.row").alias("_kept"))
+    return rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi").select(*columns)
+
+
 def small_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
     """Whole texts make wide rows: smaller Arrow batches, by rows and bytes, keep a Python worker's memory flat."""
     # Workers on this machine find the package where the driver does.

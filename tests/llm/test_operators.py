@@ -372,3 +372,41 @@ def test_pipeline(spark, tmp_path):
     assert set(seen["benchmark_leaks"]) == clean - {1, 5, 6, 7}
     assert set(seen["target_mix"]) <= set(seen["benchmark_leaks"]) and seen["target_mix"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(seen["target_mix"])
+
+
+def brute_similar(texts: list[str | None], similarity: float = 0.8) -> list[int]:
+    """The number of the first text of each text's component."""
+    low = [WORD.findall((t or "").lower()) for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in low]
+    root = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9:
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    return root
+
+
+def test_pipeline_joins_edited_copies(spark):
+    import corpus_pipeline
+
+    draw = random.Random(11)
+    text = lambda: [f"w{draw.randrange(900)}" for _ in range(200)]
+    rows = []
+    for _ in range(30):
+        base = text()
+        rows.append(base)
+        for edits in (1, 2, 3, 4, 5, 8):  # similarity from about 0.95 to 0.67
+            copy = list(base)
+            for at in draw.sample(range(200), edits):
+                copy[at] = "edited"
+            rows.append(copy)
+    chain = text()  # every link alone is similar, the ends are not
+    for k in range(12):
+        chain = chain[:k * 12] + [f"c{k}"] * 2 + chain[k * 12 + 2 :]
+        rows.append(chain)
+    texts = [" ".join(x) for x in rows]
+    root = brute_similar(texts)
+    table = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table, DATA).collect()}
+    assert kept == set(root) and len(kept) < len(texts) / 2
