@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import ROW, cut, keyed, small_batches
 from .toxicity import Words
 from .vector import BYTES, mix, range_hashes
 
@@ -204,7 +204,7 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """docs without the texts that hold a stretch of an item."""
-    key = how.get("doc_id", "doc_id")
-    leaks = find_leaks(docs, items, **how).select(F.col(key).alias("_leak")).distinct()
-    return docs.join(leaks, F.col(key).eqNullSafe(F.col("_leak")), "left_anti")
+    """docs without the texts that hold a stretch of an item. Rows are told apart by a key of their own, never by id."""
+    rows = keyed(docs)
+    leaks = find_leaks(rows, items, **how | {"doc_id": ROW}).select(F.col(ROW).alias("_leak")).distinct()
+    return rows.join(leaks, F.col(ROW) == F.col("_leak"), "left_anti").drop(ROW)

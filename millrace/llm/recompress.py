@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
@@ -181,12 +181,13 @@ def _batched(rows: Iterator[dict], schema: pa.Schema, size: int = 4 << 20) -> It
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Blocks of whole documents, each with an id of its own, written to the shared folder."""
-    schema = pa.schema([("block", pa.string()), ("ids", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary()), ("size", pa.int64())])
+def pack(docs: DataFrame, id_col: str, text_col: str, rest: Column | None = None) -> DataFrame:
+    """Blocks of whole documents, each with an id of its own, written to the shared folder. rest: a string kept with each document."""
+    schema = pa.schema([("block", pa.string()), ("ids", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary()), ("size", pa.int64()), ("rest", pa.list_(pa.string()))])
+    carried = rest is not None
 
     def blocks(batches):
-        ids, texts, size = [], [], 0
+        ids, texts, others, size = [], [], [], 0
 
         def block():
             order = sorted(range(len(ids)), key=ids.__getitem__)
@@ -197,21 +198,22 @@ def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 "lengths": np.array([len(texts[i]) for i in order], np.int64).tobytes(),
                 "text": zstandard.ZstdCompressor(3).compress(body),
                 "size": len(body),
+                "rest": [others[i] for i in order] if carried else None,
             }
 
         for batch in batches:
-            for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, x, other in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 data = (x or "").encode()
-                ids.append(int(NULL_ID) if i is None else i), texts.append(data)
+                ids.append(int(NULL_ID) if i is None else i), texts.append(data), others.append(other)
                 size += len(data) + 1
                 if size >= BLOCK_BYTES:
                     yield block()
-                    ids, texts, size = [], [], 0
+                    ids, texts, others, size = [], [], [], 0
         if ids:
             yield block()
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return cut(slim.mapInArrow(lambda b: _batched(blocks(b), schema), "block string, ids binary, lengths binary, text binary, size long"))
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), (F.lit(None).cast("string") if rest is None else rest).alias("rest"))
+    return cut(slim.mapInArrow(lambda b: _batched(blocks(b), schema), "block string, ids binary, lengths binary, text binary, size long, rest array<string>"))
 
 
 def _split(names: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, int, int]]:
@@ -314,22 +316,24 @@ def later_windows(blocks: DataFrame, total_bytes: int, window: int) -> DataFrame
     return bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("later"))
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 20, with_text: bool = False) -> DataFrame:
-    """(id, n_words, n_removed, kept_sha256[, text]) of every row.
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 20, with_text: bool = False, rest: Column | None = None) -> DataFrame:
+    """(id, n_words, n_removed, kept_sha256[, text][, rest]) of every row.
 
     Every word goes that a window of `window` words covers whose word sequence also starts earlier in the input.
     kept_sha256: hex SHA-256 of the kept words, joined by one space. with_text: that text itself as well.
+    rest: a string of each row that stays beside its result, whatever the ids.
     """
     if window < LEAST_WINDOW:
         raise ValueError(f"windows need {LEAST_WINDOW} words at least")
     small_batches(docs.sparkSession)
-    blocks = pack(docs, id_col, text_col)
+    carried = rest is not None
+    blocks = pack(docs, id_col, text_col, rest)
     total = blocks.agg(F.sum("size")).first()[0] or 0
-    shared = cut(shared_names(blocks, total))
+    shared = cut(shared_names(blocks.drop("rest"), total))
     marked = blocks.join(shared, "block", "left")
-    later = later_windows(marked.where("shared is not null"), total, window)
+    later = later_windows(marked.drop("rest").where("shared is not null"), total, window)
     buckets, width = max(16, math.ceil(total / 20 / BUCKET_NAMES)), name_bits(total)
-    out = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *[("text", pa.string())] * with_text])
+    out = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *[("text", pa.string())] * with_text, *[("rest", pa.string())] * carried])
 
     def settle(batches):
         for row in _rows(batches):
@@ -345,9 +349,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 np.add.at(edge, hit, 1)
                 np.add.at(edge, hit + window, -1)
                 gone = np.cumsum(edge[:-1]) > 0
-            yield from kept_words(block, gone)
+            yield from kept_words(block, gone, row["rest"])
 
-    def kept_words(block: Block, gone: np.ndarray):
+    def kept_words(block: Block, gone: np.ndarray, others: list[str] | None):
         n = np.diff(block.first)
         lost = np.concatenate(([0], np.cumsum(gone)))[block.first]
         edge = np.zeros(len(block.bytes) + 1, np.int8)
@@ -360,9 +364,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         data = text[held].tobytes()
         for i, number in enumerate(block.ids.tolist()):
             body = data[size[i] : max(size[i], size[i + 1] - 1)]
+            own = carried and lost[i + 1] == lost[i]  # a row that stays whole keeps its white space
             row = {"id": None if number == NULL_ID else number, "n_words": int(n[i]), "n_removed": int(lost[i + 1] - lost[i]), "kept_sha256": hashlib.sha256(body).hexdigest()}
-            yield row | ({"text": body.decode()} if with_text else {})
+            yield row | ({"text": (block.bytes[block.edges[i] : block.edges[i + 1] - 1].tobytes() if own else body).decode()} if with_text else {}) | ({"rest": others[i]} if carried else {})
 
-    fields = "id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
+    fields = "id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text + ", rest string" * carried
     settled = marked.join(later, "block", "left").mapInArrow(lambda b: _batched(settle(b), out), fields)
     return settled.withColumnRenamed("id", id_col)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import ROW, cut, first_rows, keyed, small_batches
 from .graph import components
 
 SEED = 42
@@ -223,10 +223,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the near-duplicates of a smaller id: of each component the row with its id stays.
+    """docs without near-duplicates: of each component one row stays, that of the smallest id; rows with a null id come last.
 
-    Repeated rows with that id stay together. Rows with a null id stay only in a component without other ids.
+    Rows are told apart by a key of their own, never by id.
     """
-    found = near_duplicates(docs, id_col, text_col, **how)
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone"), F.lit(True).alias("_out")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left").where("_out is null").select(*[docs[c] for c in docs.columns])
+    rows = keyed(docs)
+    found = near_duplicates(rows, ROW, text_col, **how).select(F.col(ROW).alias("row"), F.col("component_id").alias("part"))
+    placed = found.join(rows.select(F.col(ROW).alias("row"), F.col(id_col).cast("long").alias("id")), "row")
+    return first_rows(rows, placed, docs.columns)

@@ -410,3 +410,29 @@ def test_pipeline_joins_edited_copies(spark):
     table = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], DOCS)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table, DATA).collect()}
     assert kept == set(root) and len(kept) < len(texts) / 2
+
+
+def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    draw = random.Random(12)
+    text = lambda: "\n".join(" ".join(f"w{draw.randrange(5000)}" for _ in range(20)) for _ in range(4))
+    one, item, passage = text(), " ".join(f"q{i}" for i in range(30)), " ".join(f"p{i}" for i in range(25))
+    ids = (None, 5)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", f"s{k}", len(t)) for k, (i, t) in enumerate(rows)], DOCS)
+    left = lambda stage, rows: sorted(((r.doc_id, r.text, r.source, r.n_chars) for r in stage(spark, frame(rows), str(tmp_path)).collect()), key=str)
+    want = lambda rows, change=lambda k, t: t: sorted(((i, x, f"s{k}", len(x)) for k, (i, t) in enumerate(rows) if (x := change(k, t))), key=str)
+    own = [(i, text()) for i in ids for _ in range(4)]
+
+    rows = [(1, one), *[(i, one) for i in ids], *own]  # copies of one text beside other texts of their ids
+    gone = lambda k, t: None if k in (1, 2) else t
+    assert left(corpus_pipeline.near_duplicates, rows) == want(rows, gone)
+    assert sorted(map(str, keep_one(frame(rows)).collect())) == sorted(str(r) for k, r in enumerate(frame(rows).collect()) if k not in (1, 2))
+    rows = [*own, *[(i, text() + " " + item) for i in ids]]
+    assert left(corpus_pipeline.benchmark_leaks, rows) == want(rows, lambda k, t: None if k >= len(own) else t)
+    rows = [(1, text() + "\n" + passage), *own, *[(i, text() + "\n" + passage) for i in ids], (None, passage + " x0"), (None, passage)]
+    later = lambda k, t: t if k <= len(own) else " ".join(t.replace(passage, "").split())
+    assert left(corpus_pipeline.repeated_substrings, rows) == want(rows, later)
+    rows = [(None, passage + " y0"), (None, passage + " y1")]  # at the same word of two null ids
+    assert sorted(len(x[1].split()) for x in left(corpus_pipeline.repeated_substrings, rows)) == [1, 26]
