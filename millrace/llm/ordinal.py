@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import cut, small_batches
 from .vector import BYTES, SPACE, mix, range_hashes, word_spans
 
 ROWS = 1 << 16
@@ -91,10 +91,9 @@ def train(texts: list[str], grades: np.ndarray, *, steps: int = 200, rate: float
     if len(present) < 2:
         return {"grade": int(present[0]) if len(present) else 0, "top": int(present[0]) if len(present) else 0}
     top = int(grades.max())
-    parts = [text_features(texts[at : at + 200]) for at in range(0, len(texts), 200)]  # less memory at once
-    text = np.concatenate([x + 200 * k for k, (x, _, _) in enumerate(parts)])
-    row, value = (np.concatenate([x[k] for x in parts]) for k in (1, 2))
-    del parts
+    # Features stay in parts of 200 texts, so no step makes an array over all of them.
+    spans = [slice(at, min(len(texts), at + 200)) for at in range(0, len(texts), 200)]
+    parts = [text_features(texts[x]) for x in spans]
     w = np.zeros(ROWS + 8 * BINS)
     # Thresholds are a first one and positive gaps, so they stay in order.
     free = np.concatenate(([-1.0], np.zeros(top - 1)))
@@ -104,14 +103,16 @@ def train(texts: list[str], grades: np.ndarray, *, steps: int = 200, rate: float
     for t in range(1, steps + 1):
         gaps = np.exp(free[1:])
         cuts = np.concatenate(([free[0]], free[0] + np.cumsum(gaps)))
-        s = np.bincount(text, w[row] * value, minlength=len(texts))
+        s = np.concatenate([np.bincount(text, w[row] * value, minlength=x.stop - x.start) for x, (text, row, value) in zip(spans, parts, strict=True)])
         above = np.concatenate((np.ones((len(s), 1)), tails(cuts, s), np.zeros((len(s), 1))), axis=1)
         own = np.arange(len(s))
         high, low = above[own, grades], above[own, grades + 1]
         p = np.maximum(high - low, 1e-9)
         d_high, d_low = high * (1 - high) / p, low * (1 - low) / p
         slope = -(d_high - d_low) * balance / len(s)
-        gw = np.bincount(row, slope[text] * value, minlength=len(w)) + penalty * w
+        gw = penalty * w
+        for x, (text, row, value) in zip(spans, parts, strict=True):
+            gw += np.bincount(row, slope[x][text] * value, minlength=len(w))
         d_cut = np.zeros(top)
         np.add.at(d_cut, grades[grades > 0] - 1, (d_high * balance)[grades > 0] / len(s))
         np.add.at(d_cut, grades[grades < top], -(d_low * balance)[grades < top] / len(s))
@@ -132,9 +133,11 @@ def grade(model: dict, texts: list[str | None]) -> np.ndarray:
     return tails(model["cuts"], scores(model["weights"], texts))
 
 
-def graded_sample(docs: DataFrame, labels: DataFrame, rating: Column, *, max_rows: int = 600, max_chars: int = 10_000) -> tuple[list[str], np.ndarray]:
-    """Texts and grades of at most max_rows rows of each grade 0, 1, 2, the first by a hash of their id, of at most max_chars each."""
+def graded_sample(docs: DataFrame, labels: DataFrame, rating: Column, *, max_rows: int = 1500, max_chars: int = 20_000) -> tuple[list[str], np.ndarray]:
+    """Texts and grades of at most max_rows rows of each grade 0, 1, 2, the first by a hash of their id among texts of at most max_chars."""
     rated = labels.select(F.col("doc_id").alias("_id"), rating.cast("int").alias("_y")).where("_y between 0 and 2").dropDuplicates(["_id"])
+    short = docs.where(F.length("text") <= max_chars).select(F.col("doc_id").alias("_id"))
+    rated = cut(rated.join(short, "_id", "left_semi"))
     parts = [rated.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows) for y in range(3)]
     picked = F.broadcast(parts[0].union(parts[1]).union(parts[2]))  # at most three times max_rows rows of two numbers
     rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).where(F.length("text") <= max_chars)

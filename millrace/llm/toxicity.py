@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import cut, small_batches
 from .vector import mix, range_hashes, word_spans
 
 WINDOW, STRIDE = 32, 16
@@ -324,11 +324,11 @@ def score_texts(model: dict, texts: list[str | None]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, max_rows: int = 1500, max_chars: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most max_rows rows of each label, the first by a hash of their id, of at most max_chars each."""
-    parts = []
-    for y in (0, 1):
-        ids = labels.where(F.col("toxic") == y).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_y"))
-        parts.append(ids.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
+    """Texts and labels of at most max_rows rows of each label, the first by a hash of their id among texts of at most max_chars."""
+    short = docs.where(F.length("text") <= max_chars).select(F.col("doc_id").alias("_id"))
+    marked = labels.where("toxic in (0, 1)").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_y"))
+    marked = cut(marked.dropDuplicates(["_id", "_y"]).join(short, "_id", "left_semi"))
+    parts = [marked.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows) for y in (0, 1)]
     picked = F.broadcast(parts[0].union(parts[1]))  # at most twice max_rows rows of two numbers
     rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).where(F.length("text") <= max_chars)
     found = sorted(rows.select("doc_id", "text", "_y").limit(4 * max_rows).collect())

@@ -295,6 +295,15 @@ def test_html_extraction():
         html_crf.main_text(chain, odd)
 
 
+def test_samples_fill_up_with_short_texts(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, f"t{i} " * (50 if i % 4 else 1)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 20) for i in range(40)], "doc_id long, toxic int")
+    for found, y in (toxicity.labelled_sample(docs, labels, max_rows=5, max_chars=20), ordinal.graded_sample(docs, labels, F.col("toxic"), max_rows=5, max_chars=20)):
+        assert sorted(y.tolist()) == [0] * 5 + [1] * 5 and max(map(len, found)) <= 20
+
+
 def test_viterbi_is_the_best_path():
     draw = np.random.default_rng(8)
     names = [[f"f{i}"] for i in range(7)]
