@@ -32,6 +32,7 @@ BLOCKS = frozenset(
 )
 HIDDEN = frozenset("head script style noscript template title textarea select option button svg math iframe object canvas audio video".split())
 RAW = frozenset("script style title textarea iframe noscript".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # A start tag on the left ends an open element on the right, if none of the borders lies between.
 CLOSES = {
@@ -115,6 +116,11 @@ def leaves(page: str) -> list[Leaf]:
         hidden -= tag in HIDDEN
         links -= tag == "a"
 
+    def end_head() -> None:
+        """Of what may not stand in a head, the first ends it, as </head> and <body> need not be written."""
+        if stack and stack[-1][0] == "head":
+            pop()
+
     def close(tags, borders) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in tags:
@@ -127,6 +133,8 @@ def leaves(page: str) -> list[Leaf]:
 
     def add(text: str) -> None:
         nonlocal linked
+        if hidden and text.strip(" \t\n\r\f"):
+            end_head()
         if text and not hidden:
             parts.append(text)
             if links:
@@ -154,6 +162,8 @@ def leaves(page: str) -> list[Leaf]:
                             pop()
                     break
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in RAW:
             stop = re.compile(f"</{tag}", re.I).search(page, at)
             at = stop.start() if stop else size
@@ -200,7 +210,7 @@ def features(found: list[Leaf]) -> list[list[str]]:
         names += [f"near:{k}" for k in near]
         names.append(f"kinds:{'plain' if not kinds else 'only-content' if kinds == {'content'} else 'other'}")
         names.append(f"end:{text[-1] in '.!?…:;”»'}")
-        low = text[:400].lower()
+        low = text.lower()
         names += [f"says:{k}:{n < 25}" for k, words in PHRASES.items() if any(w in low for w in words)]
         names.append(f"after-title:{first < 0 or i >= first}")
         names.append(f"plain-prose:{not kinds - {'content'} and block in ('p', 'h1', 'h2', 'h3', 'blockquote', 'pre')}")
