@@ -41,20 +41,28 @@ def _shared(nodes: DataFrame, parents: list[str]) -> DataFrame:
     return placed.withColumn("budget", F.when(full, F.col("capacity")).otherwise(F.col("_at") * F.col("weight"))).drop("_full", "_rest", "_share", "_at")
 
 
+def _given(weights: DataFrame, k: int) -> DataFrame:
+    """The weights of nodes of the first k levels."""
+    names = list(LEVELS[:k])
+    return weights.where(" and ".join([f"{x} is not null" for x in names] + [f"{x} is null" for x in LEVELS[k:]])).select(*names, "weight")
+
+
 def budgets(leaves: DataFrame, weights: DataFrame, share: float, max_epochs: int) -> DataFrame:
-    """(domain, lang, source, tokens, budget) of the leaves(domain, lang, source, tokens).
+    """(domain, lang, source, tokens, budget) of those leaves(domain, lang, source, tokens) that no weight excludes.
 
     weights(domain, lang, source, weight): lang and source are null for a domain's weight, source for a language's.
-    The whole budget is share of all tokens.
+    The whole budget is share of all tokens. A node can supply what the leaves below it can that no weight excludes.
     """
     nodes = leaves.withColumn("capacity", F.col("tokens") * F.lit(float(max_epochs)))
     above = nodes.agg((F.sum("tokens") * F.lit(share)).alias("parent_budget")).withColumn("_root", F.lit(1))
     parents: list[str] = ["_root"]
+    for k in range(1, len(LEVELS) + 1):
+        names = list(LEVELS[:k])
+        nodes = nodes.join(_given(weights, k).where("weight <= 0"), names, "left_anti")
     for k, level in enumerate(LEVELS, 1):
         names = list(LEVELS[:k])
-        given = weights.where(" and ".join([f"{x} is not null" for x in names] + [f"{x} is null" for x in LEVELS[k:]])).select(*names, "weight")
         summed = nodes.withColumn("_root", F.lit(1)).groupBy("_root", *names).agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens"))
-        sized = summed.join(above, parents).join(given, names, "left").withColumn("weight", F.coalesce(F.col("weight").cast("double"), F.lit(1.0)))
+        sized = summed.join(above, parents).join(_given(weights, k), names, "left").withColumn("weight", F.coalesce(F.col("weight").cast("double"), F.lit(1.0)))
         done = _shared(sized, parents)
         parents = ["_root", *names]
         above = done.select(*parents, F.col("budget").alias("parent_budget"))

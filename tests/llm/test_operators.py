@@ -313,6 +313,15 @@ def test_samples_fill_up_with_short_texts(spark):
         assert sorted(y.tolist()) == [0] * 5 + [1] * 5 and max(map(len, found)) <= 20
 
 
+def test_mixing_passes_on_what_excluded_children_leave(spark):
+    rows = [(i, "w " * 100, "xx" if i < 50 else "en", "a" if i < 60 else "b", 0) for i in range(100)]
+    weights = spark.createDataFrame([("da", "xx", None, 0.0)], "domain string, lang string, source string, weight double")
+    from pyspark.sql import functions as F
+
+    got = mix_sources(spark.createDataFrame(rows, DOCS), weights, domain=F.concat(F.lit("d"), F.col("source")), share=0.5, max_epochs=1).collect()
+    assert sum(r.n_tokens * r.n_epochs for r in got) == 5000 and all(r.lang == "en" for r in got)
+
+
 def test_viterbi_is_the_best_path():
     draw = np.random.default_rng(8)
     names = [[f"f{i}"] for i in range(7)]
