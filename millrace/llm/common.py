@@ -30,6 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shelved(df: DataFrame, column: str, shelves: int) -> DataFrame:
+    """Write df into the shared folder in so many buckets by a column and read it back: joins on it need no shuffle."""
+    spark = df.sparkSession
+    name = f"shelf_{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").bucketBy(shelves, column).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only; the rows stay in the shared folder
+    return found
+
+
 #: Column of keyed(): told apart from every column of the provided tables.
 ROW = "_row"
 

@@ -1,21 +1,26 @@
 """Exact substring dedup by recompression.
 
-Words are symbols. Rounds of recompression rename runs and pairs: a run of two equal symbols becomes one, then
-twice every pair of a left and a right symbol, the sides drawn by a bit of the symbol's name. Names are computed
-from the symbols that they replace, so equal substrings get equal names on every executor. Whether a symbol
-boundary survives depends on no more than CONTEXT words to either side, and no symbol spans more than
-CAPS[-1] words; so every window of `window` words holds a surviving boundary whose context lies inside it, at the
-same place in every copy of the window. One Spark round shares the names of these contexts; those met twice
-reveal where repeats can be. A second round shares the exact windows around them (two independent hashes, 96 bits)
-and keeps the first start of each, which settles every word.
-
-Documents are packed into blocks once. Blocks send sorted name lists, without positions, to hash buckets and get
-back which of them are shared: a name counts once per block, so a passage in a third of all documents is one
-entry a block, and no bucket, task or driver gathers documents.
+Words are symbols. A first Spark round names every word and every maximal run of a word, of any length; each further
+round draws a side for every name and names the pairs of a left and a right symbol, so symbols grow and texts shrink;
+a last round names every two neighbours. Names are numbers of a dictionary that the round itself makes: each bucket of
+keys gathers the distinct keys of all blocks, numbers those that the corpus holds twice or more, and sends the numbers
+back. So equal names stand for equal words, on every executor, without any hash that could collide. A key that is met
+once gets no name: no repeat can hold it.
+
+Every symbol knows the words [low, high) that determine it: its own and those neighbours that decided over a run's end
+or against a pair. A window of words that holds them holds the symbol, wherever else the window stands; so a window
+that holds a symbol met once has no copy. What is left are candidates. Each goes by the highest symbols that it holds,
+the one of least hash among them, to a bucket, together with its words. There the words themselves are compared and the first
+start of each window is kept. This settles every word.
+
+Documents are packed into blocks once, and blocks and names lie bucketed by block, so rounds read them without a
+shuffle. Blocks send sorted lists of distinct keys: a key, and a passage of one form, counts once per block, so a
+passage in a third of all documents is one entry a block, and no bucket, task or driver gathers documents.
 
 Defined results. Null text has no words. Documents with fewer words than a window lose none. "Earlier" goes by
 (id, start): rows that repeat an id are one document to this order and keep the same words; null ids come last.
-An empty table gives an empty result; other columns of the input are ignored.
+An empty table gives an empty result; other columns of the input are ignored. A long text is a block of its own, whose
+task needs some 100 bytes for each of its bytes.
 """
 
 from __future__ import annotations
@@ -24,131 +29,294 @@ import hashlib
 import math
 import uuid
 from collections.abc import Iterator
+from itertools import compress
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
-from .vector import BASE2, BYTES, SPACE, mix, range_hashes, word_spans
+from .common import shelved, small_batches
+from .vector import mix
 
-#: Words to either side on which a boundary depends after the three rounds, and the largest span after each.
-CONTEXT = 8
-CAPS = (2, 4, 5)
-#: Smallest window with a surviving boundary whose context it holds.
-LEAST_WINDOW = 2 * CONTEXT + CAPS[-1] - 1
+#: Rounds that name pairs.
+ROUNDS = 4
 BLOCK_BYTES = 2 << 20
-#: Names that a bucket gathers, about.
-BUCKET_NAMES = 1 << 19
+#: Keys that a bucket gathers, about.
+BUCKET_KEYS = 1 << 18
+#: Bytes of text that a task of a round reads, about, and the largest number of tasks.
+TASK_BYTES, MOST_TASKS = 1 << 24, 100_000
 NULL_ID = np.iinfo(np.int64).max
 
 _U = np.uint64
+_TIMES = _U(0x9E3779B97F4A7C15)
+
+
+class Layer(NamedTuple):
+    """The symbols of a block after a round, in order: names (0: met once), document, first word, words that determine it."""
+
+    name: np.ndarray
+    doc: np.ndarray
+    at: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+class Tokens:
+    """Named words and runs of the documents of a block. first: word number at which each document begins, and the end."""
+
+    def __init__(self, ids: np.ndarray, first: np.ndarray, words: np.ndarray, runs: np.ndarray) -> None:
+        self.ids, self.first, self.words, self.runs = ids, first, words, runs
+        self.doc = np.repeat(np.arange(len(ids)), np.diff(first))
+
+    def base(self) -> Layer:
+        """Maximal runs as symbols: their end is seen by the word before and the word behind."""
+        at = run_starts(self.words, self.doc, self.first)
+        end = np.append(at[1:], len(self.words)).astype(np.int64)
+        return Layer(self.runs, self.doc[at], at, at - 1, end + 1)
+
+    def layers(self, returned: list[np.ndarray]) -> tuple[list[Layer], np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """The layers that the rounds so far have named, each of the symbols it made; then the places of the next round's
+        keys in the last full layer, and the keys."""
+        full = self.base()
+        found = [full]
+        for level in range(1, ROUNDS + 1):
+            places = pair_places(full, level)
+            keys = full.name[places], full.name[places + 1]
+            if len(returned) < level:
+                return found, places, keys
+            full, made = joined(full, places, named(keys, returned[level - 1]), self.first, level)
+            found.append(made)
+        places = np.flatnonzero((full.doc[1:] == full.doc[:-1]) & (full.name[1:] > 0) & (full.name[:-1] > 0))
+        keys = full.name[places], full.name[places + 1]
+        if len(returned) > ROUNDS:
+            found.append(Layer(named(keys, returned[ROUNDS]), full.doc[places], full.at[places], full.low[places], full.high[places + 1]))
+        return found, places, keys
+
+
+def run_starts(words: np.ndarray, doc: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Word numbers at which a maximal run begins; a word met once (0) is a run of its own."""
+    new = np.ones(len(words), bool)
+    new[1:] = (words[1:] != words[:-1]) | (doc[1:] != doc[:-1]) | (words[1:] == 0)
+    return np.flatnonzero(new)
+
+
+def right_side(names: np.ndarray, level: int) -> np.ndarray:
+    return (mix(names.astype(np.uint64) * _U(16) + _U(level)) >> _U(63)).astype(bool)
+
+
+def pair_places(layer: Layer, level: int) -> np.ndarray:
+    """Numbers of the symbols that join the next one: left before right, both named, of one document."""
+    right, known = right_side(layer.name, level), layer.name > 0
+    return np.flatnonzero((layer.doc[1:] == layer.doc[:-1]) & known[1:] & known[:-1] & ~right[:-1] & right[1:])
+
+
+def joined(layer: Layer, places: np.ndarray, names: np.ndarray, first: np.ndarray, level: int) -> tuple[Layer, Layer]:
+    """The layer with pairs joined, and the pairs alone. A symbol that stays single depends on the neighbour on its open side."""
+    n = len(layer.name)
+    right = right_side(layer.name, level)
+    same = layer.doc[1:] == layer.doc[:-1]
+    before, behind = first[layer.doc] - 1, first[layer.doc + 1] + 1
+    before[1:] = np.where(same, layer.low[:-1], before[1:])
+    behind[:-1] = np.where(same, layer.high[1:], behind[:-1])
+    low, high = np.where(right, np.minimum(before, layer.low), layer.low), np.where(right, layer.high, np.maximum(behind, layer.high))
+    name, keep = layer.name.copy(), np.ones(n, bool)
+    name[places], low[places], high[places] = names, layer.low[places], layer.high[places + 1]
+    keep[places + 1] = False
+    made = Layer(names, layer.doc[places], layer.at[places], low[places], high[places])
+    return Layer(name[keep], layer.doc[keep], layer.at[keep], low[keep], high[keep]), made
+
+
+def distinct(keys: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order of (bucket hash, left, right), that hash, whether met twice, and the number of each key given."""
+    a, b = keys
+    h = mix(a.astype(np.uint64) * _TIMES + mix(b.astype(np.uint64)))
+    order = np.lexsort((b, a, h))
+    a, b, h = a[order], b[order], h[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    head = np.flatnonzero(new)
+    number = np.empty(len(a), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return np.stack((a[head], b[head])), h[head], np.diff(np.append(head, len(a))) > 1, number
+
+
+def named(keys: tuple[np.ndarray, np.ndarray], names: np.ndarray) -> np.ndarray:
+    """The name of each key; names: of the distinct keys in order."""
+    return names[distinct(keys)[3]] if len(keys[0]) else np.empty(0, np.int64)
+
+
+def window_hashes(values: np.ndarray, window: int) -> np.ndarray:
+    """A hash of every `window` neighbouring values."""
+    power, done = 1, 0
+    block, out = mix(values.astype(np.uint64)), None
+    while power <= window:
+        if window & power:
+            part = block[done:]
+            out = part if out is None else mix(out[: len(part)] * _TIMES + part)
+            done += power
+        block = mix(block[: max(0, len(block) - power)] * _TIMES + block[power:])
+        power *= 2
+    return out[: max(0, len(values) - window + 1)]
+
+
+def leftmost_least(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of each range [begin, end) of values, none empty, the number of the first least one."""
+    table, out = np.arange(len(values)), np.zeros(len(begin), np.int64)
+    width, size = 1, end - begin
+    less = lambda i, j: np.where(values[i] <= values[j], i, j)
+    while len(size) and width <= size.max():
+        now = (size >= width) & (size < 2 * width)
+        out[now] = less(table[begin[now]], table[end[now] - width])
+        table = less(table[: max(0, len(table) - width)], table[width:])
+        width *= 2
+    return out
+
+
+class Entries:
+    """Candidate windows of a block: runs of neighbouring starts that share a symbol. Those of equal words count once, by the
+    first (id, offset); heads are in order of their bucket."""
+
+    def __init__(self, tokens: Tokens, layers: list[Layer], window: int, buckets: int) -> None:
+        self.tokens, self.window = tokens, window
+        words, first = tokens.words, tokens.first
+        starts = self._candidates(layers)
+        route, place = self._symbols(layers, starts)
+        new = np.ones(len(starts), bool)
+        new[1:] = (np.diff(starts) != 1) | (place[1:] != place[:-1]) | (route[1:] != route[:-1]) | (tokens.doc[starts[1:]] != tokens.doc[starts[:-1]])
+        at = np.flatnonzero(new)
+        self.start, self.count = starts[at], np.diff(np.append(at, len(starts)))
+        doc = tokens.doc[self.start]
+        self.id, self.offset = tokens.ids[doc], self.start - first[doc]
+        hashes = window_hashes(words, window) if len(at) else np.empty(0, np.uint64)
+        key = mix(hashes[self.start] * _TIMES + mix(hashes[self.start + self.count - 1] + self.count.astype(np.uint64))) if len(at) else hashes
+        bucket = (mix(route[at]) % _U(buckets)).astype(np.int64)
+        order = np.lexsort((self.offset, self.id, key, bucket))
+        lead = np.ones(len(order), bool)
+        lead[1:] = (key[order][1:] != key[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])
+        head = order[np.flatnonzero(lead)][np.cumsum(lead) - 1] if len(order) else order
+        same = self._equal(order, head)
+        lead |= ~same
+        self.heads = order[lead]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(lead) - 1
+        self.head = np.empty(len(order), np.int64)  # of every entry the place among the heads of the one that it equals
+        self.head[order] = place[np.where(lead, order, head)]
+        self.bucket = bucket[self.heads]
+
+    def _candidates(self, layers: list[Layer]) -> np.ndarray:
+        tokens, window = self.tokens, self.window
+        n = len(tokens.words)
+        if n < window:
+            return np.empty(0, np.int64)
+        low, high = [np.flatnonzero(tokens.words == 0)], []
+        high.append(low[0] + 1)
+        for x in layers:
+            once = (x.name == 0) & (x.high - x.low <= window)
+            low.append(x.low[once]), high.append(x.high[once])
+        low, high = np.concatenate(low), np.concatenate(high)
+        edge = np.bincount(np.clip(high - window, 0, n), minlength=n + 1) - np.bincount(np.clip(low + 1, 0, n), minlength=n + 1)
+        free = np.cumsum(edge)[: n - window + 1] <= 0
+        return np.flatnonzero(free & (tokens.doc[: n - window + 1] == tokens.doc[window - 1 :]))
+
+    def _symbols(self, layers: list[Layer], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each start the hash and first word of the symbol that its window goes by: of the highest layer with a symbol inside,
+        the one of least hash; a window without any goes by its first word."""
+        route, place = mix(self.tokens.words[starts].astype(np.uint64)), starts.copy()
+        left = np.arange(len(starts))
+        for x in reversed(layers):
+            if not len(x.name) or not len(left):
+                continue
+            s = starts[left]
+            begin, end = np.searchsorted(x.low, s), np.searchsorted(x.high, s + self.window, "right")
+            held = np.flatnonzero(begin < end)
+            value = mix(x.name.astype(np.uint64) * _U(3))
+            pick = leftmost_least(value, begin[held], end[held])
+            route[left[held]], place[left[held]] = value[pick], x.at[pick]
+            left = np.delete(left, held)
+        return route, place
+
+    def _equal(self, order: np.ndarray, head: np.ndarray) -> np.ndarray:
+        """Whether the entries in order have the words of their heads."""
+        same = self.count[order] == self.count[head]
+        size = np.where(same, self.count[order] + self.window - 1, 0)
+        words = self.tokens.words
+        differ = words[spread(self.start[order], size)] != words[spread(self.start[head], size)]
+        same[np.repeat(np.arange(len(order)), size)[differ]] = False
+        return same
+
+    def messages(self) -> Iterator[dict]:
+        """One a bucket: words, sizes and places of the heads."""
+        cuts = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(self.heads)], strict=False):
+            e = self.heads[a:b]
+            size = self.count[e] + self.window - 1
+            yield {
+                "bucket": int(self.bucket[a]),
+                "words": planes(self.tokens.words[spread(self.start[e], size)]),
+                "counts": planes(self.count[e]),
+                "ids": planes(self.id[e]),
+                "offsets": planes(self.offset[e]),
+            }
 
-
-class Block:
-    """Some whole documents: ids, bytes, and words as arrays over all of them."""
-
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, text: bytes) -> None:
-        self.ids = ids
-        self.bytes = np.frombuffer(text, np.uint8)
-        self.starts, self.ends = word_spans(~SPACE[self.bytes])
-        self.edges = np.concatenate(([0], np.cumsum(lengths + 1)))
-        self.first = np.searchsorted(self.starts, self.edges)  # word number at which a document begins
-        self.doc = np.repeat(np.arange(len(ids)), np.diff(self.first))
-        self.words = range_hashes(BYTES[self.bytes], self.starts, self.ends)
-
-    @classmethod
-    def packed(cls, row: dict) -> Block:
-        text = zstandard.ZstdDecompressor().decompress(row["text"])
-        return cls(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64), text)
-
-    def boundaries(self) -> np.ndarray:
-        """Word numbers at which a symbol begins after all rounds; symbols never cross documents."""
-        name, at, doc = self.words, np.arange(len(self.words)), self.doc
-        span = np.ones(len(name), np.int64)
-        for k, cap in enumerate(CAPS):
-            if len(name) < 2:
-                break
-            same = doc[1:] == doc[:-1]
-            if k == 0:
-                run = same & (name[1:] == name[:-1])
-                join = run & ~np.concatenate(([False], run[:-1])) & ~np.concatenate((run[1:], [False]))
-            else:
-                right = (mix(name + _U(k)) >> _U(63)).astype(bool)
-                join = same & ~right[:-1] & right[1:] & (span[1:] + span[:-1] <= cap)
-            head = np.concatenate((join, [False]))
-            keep = ~np.concatenate(([False], join))
-            joined = mix(name * _U(3) + np.concatenate((name[1:], name[:1])) * BASE2 + _U(k))
-            name = np.where(head, joined, name)[keep]
-            span = (span + np.where(head, np.concatenate((span[1:], [0])), 0))[keep]
-            at, doc = at[keep], doc[keep]
-        return at
-
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Boundaries whose context lies inside their document, and the names of the contexts."""
-        at = self.boundaries()
-        doc = self.doc[at]
-        at = at[(at - CONTEXT >= self.first[doc]) & (at + CONTEXT <= self.first[doc + 1])]
-        return at, range_hashes(self.words, at - CONTEXT, at + CONTEXT)
-
-    def candidates(self, shared: np.ndarray, bits: int, window: int) -> np.ndarray:
-        """Starts of the windows whose first boundary with its context inside has a shared name (its top bits)."""
-        at, names = self.anchors()
-        found = _contains(shared, names >> _U(64 - bits))
-        starts = np.arange(max(0, len(self.words) - window + 1))
-        if not len(at) or not len(starts):
-            return starts[:0]
-        inside = self.doc[starts] == self.doc[starts + window - 1]
-        pick = np.searchsorted(at, starts + CONTEXT)
-        ok = inside & (pick < len(at))
-        pick = np.minimum(pick, len(at) - 1)
-        return starts[ok & (at[pick] + CONTEXT <= starts + window) & found[pick]]
-
-    def windows(self, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-        """A 64-bit and an independent 32-bit hash of every window."""
-        one = range_hashes(self.words, starts, starts + window)
-        two = range_hashes(mix(self.words ^ BASE2), starts, starts + window, BASE2)
-        return one, (two >> _U(32)).astype(np.uint32)
-
-    def order(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(id, start within the document) of windows: what "earlier" compares."""
-        doc = self.doc[starts]
-        return self.ids[doc], starts - self.first[doc]
-
-
-def name_bits(total_bytes: int) -> int:
-    """Bits of a context name that are sent: enough that few of so many names agree by chance."""
-    return min(63, max(32, max(1, total_bytes // 4).bit_length() + 14))
-
-
-def _contains(known: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Which names are among the ascending known ones."""
-    if not len(known):
-        return np.zeros(len(names), bool)
-    at = np.searchsorted(known, names)
-    return known[np.minimum(at, len(known) - 1)] == names
-
-
-def _planes(values: np.ndarray) -> bytes:
-    """The values byte plane by byte plane, compressed: high planes of small values vanish."""
-    width = values.dtype.itemsize
-    return zstandard.ZstdCompressor(1).compress(values.view(np.uint8).reshape(-1, width).T.tobytes())
-
-
-def _values(data: bytes, dtype) -> np.ndarray:
+    def removed(self, flags: np.ndarray) -> np.ndarray:
+        """Which words go. flags: of every window of the heads, in order, whether it starts earlier elsewhere."""
+        edge = np.zeros(len(self.tokens.words) + 1, np.int64)
+        if len(self.start):
+            h = self.heads[self.head]
+            own = (self.id == self.id[h]) & (self.offset == self.offset[h])
+            base = np.concatenate(([0], np.cumsum(self.count[self.heads])))[self.head]
+            starts = spread(self.start, self.count)
+            hit = starts[~np.repeat(own, self.count) | flags[spread(base, self.count)]]
+            edge += np.bincount(hit, minlength=len(edge)) - np.bincount(hit + self.window, minlength=len(edge))
+        return np.cumsum(edge[:-1]) > 0
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for sizes[0] numbers, then the same of the next."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def later_windows(words: np.ndarray, counts: np.ndarray, ids: np.ndarray, offsets: np.ndarray, window: int) -> np.ndarray:
+    """Whether each window of some entries starts earlier in one of them. Entries of `count` windows lie end to end in words."""
+    size = counts + window - 1
+    at = spread(np.cumsum(size) - size, counts)
+    step = spread(np.zeros_like(counts), counts)
+    ids, offsets = np.repeat(ids, counts), np.repeat(offsets, counts) + step
+    h = window_hashes(words, window)[at]
+    order = np.lexsort((offsets, ids, h))
+    new = np.ones(len(order), bool)
+    new[1:] = h[order][1:] != h[order][:-1]
+    head = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
+    strange: set[int] = set()  # hashes that stand for different words
+    for a in range(0, len(order), 1 << 16):
+        x, y = order[a : a + (1 << 16)], head[a : a + (1 << 16)]
+        differ = np.zeros(len(x), bool)
+        for k in range(window):
+            differ |= words[at[x] + k] != words[at[y] + k]
+        strange.update(h[x[differ]].tolist())
+    later = np.empty(len(order), bool)
+    later[order] = (ids[order] != ids[head]) | (offsets[order] != offsets[head])
+    if strange:
+        firsts: dict[bytes, tuple[int, int]] = {}
+        for i in order[np.isin(h[order], np.array(sorted(strange), np.uint64))].tolist():
+            place = (int(ids[i]), int(offsets[i]))
+            later[i] = firsts.setdefault(words[at[i] : at[i] + window].tobytes(), place) != place
+    return later
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, compressed: high planes of small values vanish."""
+    data = np.ascontiguousarray(values.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(1).compress(data.tobytes())
+
+
+def from_planes(data: bytes) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(dtype).ravel()
-
-
-def _gaps(ascending: np.ndarray) -> bytes:
-    return _planes(np.diff(ascending, prepend=_U(0)))
-
-
-def _ascending(data: bytes) -> np.ndarray:
-    return np.cumsum(_values(data, np.uint64), dtype=np.uint64)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.int64).ravel()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -181,139 +349,234 @@ def _batched(rows: Iterator[dict], schema: pa.Schema, size: int = 4 << 20) -> It
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, rest: Column | None = None) -> DataFrame:
-    """Blocks of whole documents, each with an id of its own, written to the shared folder. rest: a string kept with each document."""
-    schema = pa.schema([("block", pa.string()), ("ids", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary()), ("size", pa.int64()), ("rest", pa.list_(pa.string()))])
-    carried = rest is not None
+def _schema(**kinds) -> tuple[pa.Schema, str]:
+    """An Arrow schema and its SQL form, of columns int, str, bytes or a list of str."""
+    arrow = {"int": pa.int64(), "str": pa.string(), "bytes": pa.binary(), "list": pa.list_(pa.string())}
+    sql = {"int": "long", "str": "string", "bytes": "binary", "list": "array<string>"}
+    return pa.schema([(k, arrow[v]) for k, v in kinds.items()]), ", ".join(f"{k} {sql[v]}" for k, v in kinds.items())
+
+
+class Dedup:
+    """The rounds over one table: each method is a Spark stage or an exchange between blocks and buckets."""
 
-    def blocks(batches):
-        ids, texts, others, size = [], [], [], 0
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, window: int, rest: Column | None) -> None:
+        self.window, self.carried = window, rest is not None
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        self.slim = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), (F.lit(None).cast("string") if rest is None else rest).alias("rest"))
+        total = self.slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.tasks = min(MOST_TASKS, max(8, total // TASK_BYTES))
+        self.buckets = max(16, total // 10 // BUCKET_KEYS)
 
-        def block():
+    def blocks(self) -> DataFrame:
+        """Whole documents packed by (block, ids, lengths, text, rest)."""
+        schema, sql = _schema(block="int", ids="bytes", lengths="bytes", text="bytes", rest="list")
+        carried = self.carried
+
+        def pack(ids, texts, others):
             order = sorted(range(len(ids)), key=ids.__getitem__)
-            body = b"".join(texts[i] + b"\n" for i in order)
             return {
-                "block": uuid.uuid4().hex,
-                "ids": np.array([ids[i] for i in order], np.int64).tobytes(),
-                "lengths": np.array([len(texts[i]) for i in order], np.int64).tobytes(),
-                "text": zstandard.ZstdCompressor(3).compress(body),
-                "size": len(body),
+                "block": uuid.uuid4().int >> 65,
+                "ids": planes(np.array([ids[i] for i in order], np.int64)),
+                "lengths": planes(np.array([len(texts[i]) for i in order], np.int64)),
+                "text": zstandard.ZstdCompressor(3).compress(b"".join(texts[i] for i in order)),
                 "rest": [others[i] for i in order] if carried else None,
             }
 
-        for batch in batches:
-            for i, x, other in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                data = (x or "").encode()
-                ids.append(int(NULL_ID) if i is None else i), texts.append(data), others.append(other)
-                size += len(data) + 1
-                if size >= BLOCK_BYTES:
-                    yield block()
-                    ids, texts, others, size = [], [], [], 0
-        if ids:
-            yield block()
-
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), (F.lit(None).cast("string") if rest is None else rest).alias("rest"))
-    return cut(slim.mapInArrow(lambda b: _batched(blocks(b), schema), "block string, ids binary, lengths binary, text binary, size long, rest array<string>"))
-
-
-def _split(names: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, int, int]]:
-    """(bucket, from, to) of ascending names of so many bits."""
-    edges = np.arange(1, buckets, dtype=object) * (1 << bits) // buckets
-    at = [0, *np.searchsorted(names, np.array(edges.tolist(), np.uint64)).tolist(), len(names)]
+        def run(batches):
+            ids, texts, others, size = [], [], [], 0
+            for batch in batches:
+                for i, x, other in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    data = x.encode()
+                    if size + len(data) > BLOCK_BYTES and ids:
+                        yield pack(ids, texts, others)
+                        ids, texts, others, size = [], [], [], 0
+                    ids.append(int(NULL_ID) if i is None else i), texts.append(data), others.append(other)
+                    size += len(data)
+            if ids:
+                yield pack(ids, texts, others)
+
+        return shelved(self.slim.mapInArrow(lambda b: _batched(run(b), schema), sql), "block", self.tasks)
+
+    def exchange(self, source: DataFrame, send, judge, **kinds) -> DataFrame:
+        """(block, back array<struct<bucket, names>>): what judge makes of the messages that send makes of the blocks of source.
+
+        send: row -> messages with bucket; judge: the messages of one bucket -> an answer for each.
+        """
+        sent, sent_sql = _schema(bucket="int", block="int", **kinds)
+        kept, kept_sql = _schema(block="int", bucket="int", names="bytes")
+
+        def out(batches):
+            return _batched(({"block": row["block"], **m} for row in _rows(batches) for m in send(row)), sent)
+
+        def answers(group):
+            return ({"block": x["block"], "bucket": x["bucket"], "names": y} for x, y in zip(group, judge(group), strict=True))
+
+        def back(batches):
+            return _batched((x for group in _groups(batches, "bucket") for x in answers(group)), kept)
+
+        met = source.mapInArrow(out, sent_sql).repartition(min(MOST_TASKS, max(8, self.buckets // 2)), "bucket").sortWithinPartitions("bucket")
+        answered = met.mapInArrow(back, kept_sql).repartition(self.tasks, "block")
+        return shelved(answered.groupBy("block").agg(F.collect_list(F.struct("bucket", "names")).alias("back")), "block", self.tasks)
+
+    def words(self, blocks: DataFrame) -> DataFrame:
+        """Names the words and the runs of words of all blocks."""
+        buckets = self.buckets
+
+        def send(row):
+            keys = sorted(_word_keys(row)[0].items(), key=lambda x: (xxhash.xxh64_intdigest(x[0]) % buckets, x[0]))
+            at = [xxhash.xxh64_intdigest(k) % buckets for k, _ in keys]
+            cuts = [i for i in range(len(at)) if i == 0 or at[i] != at[i - 1]]
+            for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True):
+                text = zstandard.ZstdCompressor(1).compress(b"\n".join(k for k, _ in keys[a:b]))
+                yield {"bucket": at[a], "keys": text, "twice": planes(np.array([n > 1 for _, n in keys[a:b]]))}
+
+        def judge(group):
+            lists = [zstandard.ZstdDecompressor().decompress(x["keys"]).split(b"\n") for x in group]
+            met: dict[bytes, int] = {}
+            for row, mine in zip(group, lists, strict=True):
+                for key, twice in zip(mine, from_planes(row["twice"]).tolist(), strict=True):
+                    met[key] = met.get(key, 0) + 1 + twice
+            serial = {key: i for i, key in enumerate((k for k, n in met.items() if n > 1), 1)}
+            return (planes(_names(np.array([serial.get(k, 0) for k in mine], np.int64), group[0]["bucket"], buckets, 0)) for mine in lists)
+
+        return self.exchange(blocks, send, judge, keys="bytes", twice="bytes")
+
+    def tokens(self, blocks: DataFrame, back: DataFrame) -> DataFrame:
+        """(block, ids, first, words, runs): texts as names."""
+        schema, sql = _schema(block="int", ids="bytes", first="bytes", words="bytes", runs="bytes")
+        buckets = self.buckets
+
+        def run(batches):
+            for row in _rows(batches):
+                counts, first, words = _word_keys(row)
+                keys = sorted(counts, key=lambda k: (xxhash.xxh64_intdigest(k) % buckets, k))
+                name = dict(zip(keys, _answer(row["back"]).tolist(), strict=True))
+                of = np.array([name[x] for x in words], np.int64)
+                doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                at = run_starts(of, doc, first)
+                size = np.diff(np.append(at, len(of)))
+                runs = of[at]
+                for i in np.flatnonzero(size > 1).tolist():
+                    runs[i] = name[b"%b %d" % (words[at[i]], size[i])]
+                yield {"block": row["block"], "ids": row["ids"], "first": planes(first), "words": planes(of), "runs": planes(runs)}
+
+        joined_ = blocks.drop("rest").join(back.hint("shuffle_hash"), "block", "left")
+        return shelved(joined_.mapInArrow(lambda b: _batched(run(b), schema), sql), "block", self.tasks)
+
+    def pairs(self, state: DataFrame, level: int) -> DataFrame:
+        """Names the pairs of one round, or, in the last, all neighbours."""
+        buckets = self.buckets
+
+        def send(row):
+            tokens, returned = _state(row, level - 1)
+            _, _, keys = tokens.layers(returned)
+            (a, b), h, twice, _ = distinct(keys)
+            # The hash falls into even ranges, one a bucket.
+            for k, i, j in _ranges(h, buckets):
+                yield {"bucket": k, "left": planes(a[i:j]), "right": planes(b[i:j]), "twice": planes(twice[i:j])}
+
+        def judge(group):
+            lists = [(from_planes(x["left"]), from_planes(x["right"])) for x in group]
+            sizes = [len(a) for a, _ in lists]
+            a, b = (np.concatenate(x) for x in zip(*lists, strict=True))
+            _, _, often, number = distinct((a, b))
+            often = often.copy()
+            often[number[np.concatenate([from_planes(x["twice"]) for x in group]) > 0]] = True
+            serial = np.where(often, np.cumsum(often), 0)[number]
+            return (planes(_names(x, group[0]["bucket"], buckets, level)) for x in np.split(serial, np.cumsum(sizes)[:-1]))
+
+        return self.exchange(state, send, judge, left="bytes", right="bytes", twice="bytes")
+
+    def settle(self, state: DataFrame) -> DataFrame:
+        """Of every candidate window whether it starts earlier in another block."""
+        buckets, window = self.buckets, self.window
+
+        def send(row):
+            yield from _entries(row, window, buckets).messages()
+
+        def judge(group):
+            lists = [[from_planes(x[k]) for x in group] for k in ("words", "counts", "ids", "offsets")]
+            later = later_windows(*map(np.concatenate, lists), window)
+            return (np.packbits(x).tobytes() for x in np.split(later, np.cumsum([x.sum() for x in lists[1]])[:-1]))
+
+        return self.exchange(state, send, judge, words="bytes", counts="bytes", ids="bytes", offsets="bytes")
+
+    def cleaned(self, blocks: DataFrame, state: DataFrame, settled: DataFrame, with_text: bool) -> DataFrame:
+        schema, sql = _schema(id="int", n_words="int", n_removed="int", kept_sha256="str", **{"text": "str"} if with_text else {}, **{"rest": "str"} if self.carried else {})
+        buckets, window, carried = self.buckets, self.window, self.carried
+
+        def run(batches):
+            for row in _rows(batches):
+                entries = _entries(row, window, buckets)
+                sizes = [int(entries.count[entries.heads[entries.bucket == k]].sum()) for k in np.unique(entries.bucket)]
+                bits = [x["names"] for x in sorted(row["settled"] or (), key=lambda x: x["bucket"])]
+                flags = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(bits, sizes, strict=True)]
+                gone = entries.removed(np.concatenate([np.empty(0, np.uint8), *flags]).astype(bool))
+                first = entries.tokens.first
+                for i, text in enumerate(_texts(row)):
+                    own, words = gone[first[i] : first[i + 1]], text.split()
+                    lost = int(own.sum())
+                    body = b" ".join(compress(words, (~own).tolist()) if lost else words)
+                    number = int(entries.tokens.ids[i])
+                    found = {"id": None if number == NULL_ID else number, "n_words": len(words), "n_removed": lost, "kept_sha256": hashlib.sha256(body).hexdigest()}
+                    if with_text:  # where the row's own columns stay, a text that loses nothing keeps its white space
+                        found["text"] = (body if lost or not carried else text).decode()
+                    if carried:
+                        found["rest"] = row["rest"][i]
+                    yield found
+
+        every = state.drop("ids").join(blocks, "block").join(settled.withColumnRenamed("back", "settled").hint("shuffle_hash"), "block", "left")
+        return every.mapInArrow(lambda b: _batched(run(b), schema), sql)
+
+
+def _texts(row: dict) -> list[bytes]:
+    data, ends = zstandard.ZstdDecompressor().decompress(row["text"]), np.cumsum(from_planes(row["lengths"])).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _word_keys(row: dict) -> tuple[dict[bytes, int], np.ndarray, list[bytes]]:
+    """How often a block holds each word and each run of two or more (word, blank, length); where documents begin; all words."""
+    lists = [x.split() for x in _texts(row)]
+    words = [w for x in lists for w in x]
+    first = np.cumsum([0, *map(len, lists)])
+    counts: dict[bytes, int] = {}
+    for w in words:
+        counts[w] = counts.get(w, 0) + 1
+    number = {w: i for i, w in enumerate(counts)}
+    of = np.array([number[w] for w in words], np.int64) + 1
+    at = run_starts(of, np.repeat(np.arange(len(lists)), np.diff(first)), first)
+    size = np.diff(np.append(at, len(words)))
+    for i in np.flatnonzero(size > 1).tolist():
+        key = b"%b %d" % (words[at[i]], size[i])
+        counts[key] = counts.get(key, 0) + 1
+    return counts, first, words
+
+
+def _names(serial: np.ndarray, bucket: int, buckets: int, level: int) -> np.ndarray:
+    """Names of serial numbers from 1 within a bucket and round; 0 stays 0."""
+    return np.where(serial > 0, (serial * buckets + bucket) * 8 + level, 0)
+
+
+def _ranges(h: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, from, to) of ascending hashes."""
+    edges = [k * (1 << 64) // buckets for k in range(1, buckets)]
+    at = [0, *np.searchsorted(h, np.array(edges, np.uint64)).tolist(), len(h)]
     return ((k, a, b) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b)
 
 
-def shared_names(blocks: DataFrame, total_bytes: int) -> DataFrame:
-    """(block, shared array<binary>): per block the context names that it has more than once or shares with another block."""
-    bits = name_bits(total_bytes)
-    buckets = max(16, math.ceil(total_bytes / 10 / BUCKET_NAMES))
-    sent = pa.schema([("bucket", pa.int32()), ("block", pa.string()), ("names", pa.binary())])
-    kept = pa.schema([("block", pa.string()), ("names", pa.binary())])
-
-    def send(batches):
-        for row in _rows(batches):
-            _, names = Block.packed(row).anchors()
-            names, counts = np.unique(names >> _U(64 - bits), return_counts=True)
-            marked = (names << _U(1)) | (counts > 1).astype(np.uint64)  # the lowest bit: met twice in this block
-            for k, a, b in _split(names, buckets, bits):
-                yield {"bucket": k, "block": row["block"], "names": _gaps(marked[a:b])}
-
-    def share(batches):
-        for group in _groups(batches, "bucket"):
-            lists = [_ascending(x["names"]) for x in group]
-            every = np.concatenate(lists)
-            names, counts = np.unique(every >> _U(1), return_counts=True)
-            often = np.union1d(names[counts > 1], every[(every & _U(1)) > 0] >> _U(1))
-            for row, mine in zip(group, lists, strict=True):
-                mine >>= _U(1)
-                found = mine[_contains(often, mine)]
-                if len(found):
-                    yield {"block": row["block"], "names": _gaps(found)}
-
-    lists = blocks.mapInArrow(lambda b: _batched(send(b), sent), "bucket int, block string, names binary")
-    met = lists.repartition("bucket").sortWithinPartitions("bucket")
-    return met.mapInArrow(lambda b: _batched(share(b), kept), "block string, names binary").groupBy("block").agg(F.collect_list("names").alias("shared"))
-
-
-def _shared(row: dict) -> np.ndarray:
-    lists = [_ascending(x) for x in row["shared"] or ()]
-    return np.sort(np.concatenate(lists)) if lists else np.empty(0, np.uint64)
-
-
-def _ranked(block: Block, starts: np.ndarray, window: int):
-    """Candidate windows of a block, grouped by content in ascending order of hash: hashes, check, first (id, start) per
-    group; the group of every window and whether it is the block's first of it."""
-    one, two = block.windows(starts, window)
-    ids, offsets = block.order(starts)
-    order = np.lexsort((offsets, ids, two, one))
-    one, two, ids, offsets = one[order], two[order], ids[order], offsets[order]
-    new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    group = np.cumsum(new) - 1
-    head = np.flatnonzero(new)
-    first = (ids == ids[head][group]) & (offsets == offsets[head][group])
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    return (one[head], two[head], ids[head], offsets[head]), group[back], first[back]
-
-
-def later_windows(blocks: DataFrame, total_bytes: int, window: int) -> DataFrame:
-    """(block, later array<struct<bucket, bits>>): per block and bucket, which of its distinct candidate windows start
-    earlier in another block."""
-    buckets, width = max(16, math.ceil(total_bytes / 20 / BUCKET_NAMES)), name_bits(total_bytes)
-    sent = pa.schema([("bucket", pa.int32()), ("block", pa.string()), *[(x, pa.binary()) for x in ("one", "two", "ids", "offsets")]])
-    kept = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("bits", pa.binary())])
-
-    def send(batches):
-        for row in _rows(batches):
-            block = Block.packed(row)
-            starts = block.candidates(_shared(row), width, window)
-            (one, two, ids, offsets), _, _ = _ranked(block, starts, window)
-            for k, a, b in _split(one, buckets, 64):
-                yield {"bucket": k, "block": row["block"], "one": _gaps(one[a:b]), "two": two[a:b].tobytes(), "ids": _planes(ids[a:b]), "offsets": _planes(offsets[a:b].astype(np.uint32))}
-
-    def compare(batches):
-        for group in _groups(batches, "bucket"):
-            one = [_ascending(x["one"]) for x in group]
-            sizes = np.array([len(x) for x in one])
-            one = np.concatenate(one)
-            two = np.concatenate([np.frombuffer(x["two"], np.uint32) for x in group])
-            ids = np.concatenate([_values(x["ids"], np.int64) for x in group])
-            offsets = np.concatenate([_values(x["offsets"], np.uint32) for x in group])
-            order = np.lexsort((offsets, ids, two, one))
-            new = np.ones(len(order), bool)
-            new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-            head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-            later = np.empty(len(order), bool)
-            later[order] = (ids[order] != ids[head]) | (offsets[order] != offsets[head])
-            ends = np.cumsum(sizes)
-            for row, a, b in zip(group, ends - sizes, ends, strict=True):
-                yield {"block": row["block"], "bucket": row["bucket"], "bits": np.packbits(later[a:b]).tobytes()}
-
-    lists = blocks.mapInArrow(lambda b: _batched(send(b), sent), "bucket int, block string, one binary, two binary, ids binary, offsets binary")
-    met = lists.repartition("bucket").sortWithinPartitions("bucket")
-    bits = met.mapInArrow(lambda b: _batched(compare(b), kept), "block string, bucket int, bits binary")
-    return bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("later"))
+def _answer(back: list | None) -> np.ndarray:
+    """Names in the order in which their keys went out."""
+    return np.concatenate([np.empty(0, np.int64), *[from_planes(x["names"]) for x in sorted(back or (), key=lambda x: x["bucket"])]])
+
+
+def _state(row: dict, levels: int) -> tuple[Tokens, list[np.ndarray]]:
+    tokens = Tokens(*(from_planes(row[k]) for k in ("ids", "first", "words", "runs")))
+    return tokens, [_answer(row[f"back_{k}"]) for k in range(1, levels + 1)]
+
+
+def _entries(row: dict, window: int, buckets: int) -> Entries:
+    tokens, returned = _state(row, ROUNDS + 1)
+    return Entries(tokens, tokens.layers(returned)[0], window, buckets)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = 20, with_text: bool = False, rest: Column | None = None) -> DataFrame:
@@ -323,51 +586,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept_sha256: hex SHA-256 of the kept words, joined by one space. with_text: that text itself as well.
     rest: a string of each row that stays beside its result, whatever the ids.
     """
-    if window < LEAST_WINDOW:
-        raise ValueError(f"windows need {LEAST_WINDOW} words at least")
+    if window < 1:
+        raise ValueError("a window has one word at least")
     small_batches(docs.sparkSession)
-    carried = rest is not None
-    blocks = pack(docs, id_col, text_col, rest)
-    total = blocks.agg(F.sum("size")).first()[0] or 0
-    shared = cut(shared_names(blocks.drop("rest"), total))
-    marked = blocks.join(shared, "block", "left")
-    later = later_windows(marked.drop("rest").where("shared is not null"), total, window)
-    buckets, width = max(16, math.ceil(total / 20 / BUCKET_NAMES)), name_bits(total)
-    out = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *[("text", pa.string())] * with_text, *[("rest", pa.string())] * carried])
-
-    def settle(batches):
-        for row in _rows(batches):
-            block = Block.packed(row)
-            gone = np.zeros(len(block.words), bool)
-            starts = block.candidates(_shared(row), width, window)
-            if len(starts):
-                (one, *_), group, first = _ranked(block, starts, window)
-                bits = {x["bucket"]: x["bits"] for x in row["later"]}
-                later = np.concatenate([np.unpackbits(np.frombuffer(bits[k], np.uint8), count=b - a) for k, a, b in _split(one, buckets, 64)])
-                hit = starts[~first | later[group].astype(bool)]
-                edge = np.zeros(len(gone) + 1, np.int64)
-                np.add.at(edge, hit, 1)
-                np.add.at(edge, hit + window, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-            yield from kept_words(block, gone, row["rest"])
-
-    def kept_words(block: Block, gone: np.ndarray, others: list[str] | None):
-        n = np.diff(block.first)
-        lost = np.concatenate(([0], np.cumsum(gone)))[block.first]
-        edge = np.zeros(len(block.bytes) + 1, np.int8)
-        edge[block.starts[~gone]] += 1
-        edge[block.ends[~gone] + 1] -= 1
-        held = np.cumsum(edge[:-1], dtype=np.int8) > 0
-        text = block.bytes.copy()
-        text[SPACE[text]] = 32
-        size = np.concatenate(([0], np.cumsum(held)))[block.edges]
-        data = text[held].tobytes()
-        for i, number in enumerate(block.ids.tolist()):
-            body = data[size[i] : max(size[i], size[i + 1] - 1)]
-            own = carried and lost[i + 1] == lost[i]  # a row that stays whole keeps its white space
-            row = {"id": None if number == NULL_ID else number, "n_words": int(n[i]), "n_removed": int(lost[i + 1] - lost[i]), "kept_sha256": hashlib.sha256(body).hexdigest()}
-            yield row | ({"text": (block.bytes[block.edges[i] : block.edges[i + 1] - 1].tobytes() if own else body).decode()} if with_text else {}) | ({"rest": others[i]} if carried else {})
-
-    fields = "id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text + ", rest string" * carried
-    settled = marked.join(later, "block", "left").mapInArrow(lambda b: _batched(settle(b), out), fields)
-    return settled.withColumnRenamed("id", id_col)
+    job = Dedup(docs, id_col, text_col, window, rest)
+    blocks = job.blocks()
+    state = job.tokens(blocks, job.words(blocks.drop("rest")))
+    for level in range(1, ROUNDS + 2):
+        state = state.join(job.pairs(state, level).withColumnRenamed("back", f"back_{level}").hint("shuffle_hash"), "block", "left")
+    return job.cleaned(blocks, state, job.settle(state), with_text).withColumnRenamed("id", id_col)
