@@ -6,7 +6,9 @@ The loss mask comes from prefix sums over segment lengths. Turns are formatted o
 only the assembled pieces of a conversation meet, sorted by turn, and stream through.
 
 Defined results. Null role or text counts as empty. Rows go by turn, null turns first, ties by role and text;
-repeated rows are repeated turns. Rows with a null conversation id form one conversation of their own.
+repeated rows are repeated turns. Rows with a null conversation id form one conversation of their own. A text of any
+length is encoded whole, so its ids are those of its own encoding. An empty table gives an empty result; other columns
+of the input are ignored.
 """
 
 from __future__ import annotations
@@ -18,31 +20,58 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
 
-#: Where the driver's machine and the executors keep the public vocabulary files.
+#: Where the driver's machine keeps the public vocabulary file; executors get its bytes, less than 1 MB, in a broadcast.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the vocabulary's byte-level BPE splits a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Control strings, in the order of their reserved ids after the vocabulary.
 START, MIDDLE, END = CONTROL = ("<|im_start|>", "<|im_sep|>", "<|im_end|>")
-#: Longest piece of a text that is encoded at once; keeps the merges of run-on texts linear.
-PIECE = 4096
+#: White space so long that the pattern's look-ahead would exhaust its matcher; the pattern takes all of it but the last sign as one
+#: piece, or all of it at the end of the text.
+GAP = regex.compile(r"\p{White_Space}{1000,}")
 LEARNED_ROLE = "assistant"
 
-_encodings: dict[str, tiktoken.Encoding] = {}
+_encodings: dict[str, Encoder] = {}
 
 
-def encoding(path: str) -> tiktoken.Encoding:
-    if path not in _encodings:
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        _encodings[path] = tiktoken.Encoding("chat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[path]
+class Encoder:
+    """A vocabulary's encoding of texts, and of texts that are one piece already."""
+
+    def __init__(self, data: bytes) -> None:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines())}
+        self.pieces, self.piece = (tiktoken.Encoding("chat", pat_str=x, mergeable_ranks=ranks, special_tokens={}) for x in (PATTERN, r"[\s\S]+"))
+        self.n_vocab = self.pieces.n_vocab
+
+    def encode(self, text: str) -> list[int]:
+        ids, at = [], 0
+        for m in GAP.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            ids += self.pieces.encode_ordinary(text[at : m.start()]) + self.piece.encode_ordinary(text[m.start() : end])
+            at = end
+        return ids + self.pieces.encode_ordinary(text[at:])
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        return self.pieces.decode_bytes(ids)
+
+
+def read_vocabulary(path: str = VOCABULARY) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def encoding(data: bytes) -> Encoder:
+    """The encoder of a vocabulary file's bytes, made once a process."""
+    key = hashlib.sha256(data).hexdigest()
+    if key not in _encodings:
+        _encodings[key] = Encoder(data)
+    return _encodings[key]
 
 
 def escape(text: str) -> str:
@@ -54,14 +83,10 @@ def unescape(text: str) -> str:
     return re.sub(r"<\\(\\*)\|", r"<\1|", text)
 
 
-def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
-    return [i for at in range(0, len(text), PIECE) for i in enc.encode_ordinary(text[at : at + PIECE])]
-
-
-def format_turn(enc: tiktoken.Encoding, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+def format_turn(enc: Encoder, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of one turn and its loss mask: over the text of an assistant's turn, never over control ids."""
     first = enc.n_vocab
-    segments = [[first], encode_text(enc, escape(role)), [first + 1], encode_text(enc, escape(text)), [first + 2]]
+    segments = [[first], enc.encode(escape(role)), [first + 1], enc.encode(escape(text)), [first + 2]]
     ends = np.cumsum([len(x) for x in segments])
     ids = np.fromiter((i for x in segments for i in x), np.int32, int(ends[-1]))
     edge = np.zeros(len(ids) + 1, np.int8)
@@ -71,7 +96,7 @@ def format_turn(enc: tiktoken.Encoding, role: str, text: str) -> tuple[np.ndarra
     return ids, np.cumsum(edge[:-1]).astype(bool)
 
 
-def decode(enc: tiktoken.Encoding, ids: np.ndarray) -> str:
+def decode(enc: Encoder, ids: np.ndarray) -> str:
     """The formatted string of token ids, control strings included."""
     first, out, at = enc.n_vocab, [], 0
     for i in [*np.flatnonzero(ids >= first), len(ids)]:
@@ -82,7 +107,7 @@ def decode(enc: tiktoken.Encoding, ids: np.ndarray) -> str:
     return "".join(out)
 
 
-def read_turns(enc: tiktoken.Encoding, ids: np.ndarray) -> Iterator[tuple[str, str]]:
+def read_turns(enc: Encoder, ids: np.ndarray) -> Iterator[tuple[str, str]]:
     """(role, text) of every turn in token ids."""
     first = enc.n_vocab
     starts, middles, ends = (np.flatnonzero(ids == first + k) for k in range(3))
@@ -101,9 +126,10 @@ def format_turns(conversations: DataFrame, vocabulary: str = VOCABULARY) -> Data
     A conversation's tokens are those of its turns in order (conv_id, turn, role, text), end to end.
     """
     small_batches(conversations.sparkSession)
+    shared = conversations.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(vocabulary)
+        enc = encoding(shared.value)
         for batch in batches:
             made = [format_turn(enc, r, x) for r, x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             columns = [*batch.columns, pa.array([x for x, _ in made], pa.list_(pa.int32())), pa.array([m for _, m in made], pa.list_(pa.bool_()))]
@@ -126,9 +152,10 @@ def digests(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """
     kinds = {"conv_id": pa.int64(), "n_turns": pa.int64(), "turns_sha256": pa.string(), "loss_chars": pa.int64(), "loss_sha256": pa.string(), "formatted_chars": pa.int64()}
     schema = pa.schema(kinds)
+    shared = formatted.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(vocabulary)
+        enc = encoding(shared.value)
         now, state = None, None
 
         def row():

@@ -14,12 +14,15 @@ SPACE = r"\x20\x09-\x0D"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """Folder of this application below spark.checkpoint.dir, which driver and executors share; what cut() and shelved() write
+    there can go when the application ends. Where the setting is missing a local session gets a folder of its own; a cluster fails."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return f"{found.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -40,8 +43,8 @@ def shelved(df: DataFrame, column: str, shelves: int) -> DataFrame:
     return found
 
 
-#: Column of keyed(): told apart from every column of the provided tables.
-ROW = "_row"
+#: Column of keyed(), of a name that no input has.
+ROW = f"_row_{uuid.UUID(int=20).hex}"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -52,16 +55,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 def first_rows(rows: DataFrame, placed: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of keyed rows: of each part of placed(row, id, part) the row of the smallest id, null ids last."""
     first = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row")).alias("h")
-    kept = placed.groupBy("part").agg(first).select(F.col("h.row").alias("_kept"))
-    return rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi").select(*columns)
+    kept = placed.groupBy("part").agg(first).select(F.col("h.row").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*columns)
 
 
-def small_batches(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
-    """Whole texts make wide rows: smaller Arrow batches, by rows and bytes, keep a Python worker's memory flat."""
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts make wide rows: Arrow batches of at most 128 rows and some 2 MB keep a Python worker's memory flat. All stages take
+    the same limits, so it does not matter which of them was planned last."""
     # Workers on this machine find the package where the driver does.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "128")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
 
 
 def words(text: Column) -> Column:

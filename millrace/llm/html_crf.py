@@ -7,7 +7,8 @@ Viterbi. Extraction is one narrow stage: a page is parsed, decoded and joined wh
 
 Defined results. Null html is an empty page with empty text. Character references are decoded, white space inside
 a block becomes one space, blocks are joined by one line feed. Nothing of a chosen block is dropped or capped.
-Repeated rows are extracted each for itself.
+Repeated rows are extracted each for itself. A null url stays null. An empty table gives an empty result; other columns
+of the input are ignored. Pages of any length and depth are read whole, in memory that grows with their length.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +72,10 @@ PHRASES = {
     "more": ("read more", "related", "you may also", "most popular", "skip to"),
 }
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?""", re.S)
+#: Kinds of blocks that are never main text in composed pages.
+FURNITURE = frozenset(("advert", "comment", "notice", "footer", "menu", "side", "social"))
+
+_TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -85,50 +90,68 @@ def _meanings(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
-class Leaf:
-    """A run of text between block borders. path: (tag, meanings) of its open elements, outermost first."""
+class Place(NamedTuple):
+    """An open element and what it and its ancestors say, so deep nesting costs no more than its distinct tags."""
+
+    tag: str
+    block: str  # nearest block
+    tags: frozenset[str]
+    kinds: frozenset[str]  # what classes and ids of all of them stand for
+    near: frozenset[str]  # the nearest that stand for something
+
+    def inner(self, tag: str, own: frozenset[str]) -> Place:
+        tags = self.tags if tag in self.tags else self.tags | {tag}
+        return Place(tag, tag if tag in BLOCKS else self.block, tags, self.kinds if own <= self.kinds else self.kinds | own, own or self.near)
+
+
+ROOT = Place("", "none", frozenset(), frozenset(), frozenset())
+
 
-    __slots__ = ("text", "linked", "path")
+class Leaf(NamedTuple):
+    """A run of text between block borders. linked: its characters inside links."""
 
-    def __init__(self, text: str, linked: int, path: tuple) -> None:
-        self.text, self.linked, self.path = text, linked, path
+    text: str
+    linked: int
+    place: Place
 
 
 def leaves(page: str) -> list[Leaf]:
     """The leaf blocks of a page in order; unclosed elements end where HTML ends them."""
     found: list[Leaf] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack: list[Place] = []
     parts: list[str] = []
     linked = hidden = links = at = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
-                found.append(Leaf(text, linked, tuple(stack)))
+                found.append(Leaf(text, linked, stack[-1] if stack else ROOT))
             parts.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal hidden, links
-        tag, _ = stack.pop()
+        tag = stack.pop().tag
         hidden -= tag in HIDDEN
         links -= tag == "a"
 
     def end_head() -> None:
         """Of what may not stand in a head, the first ends it, as </head> and <body> need not be written."""
-        if stack and stack[-1][0] == "head":
+        if stack and stack[-1].tag == "head":
             pop()
 
     def close(tags, borders) -> None:
+        if not stack or tags.isdisjoint(stack[-1].tags):
+            return
         for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in tags:
+            if stack[k].tag in tags:
                 flush()
                 while len(stack) > k:
                     pop()
                 return
-            if stack[k][0] in borders:
+            if stack[k].tag in borders:
                 return
 
     def add(text: str) -> None:
@@ -136,7 +159,7 @@ def leaves(page: str) -> list[Leaf]:
         if hidden and text.strip(" \t\n\r\f"):
             end_head()
         if text and not hidden:
-            parts.append(text)
+            parts.append(html.unescape(text))  # a reference never goes on behind a tag
             if links:
                 linked += len(text)
 
@@ -155,12 +178,14 @@ def leaves(page: str) -> list[Leaf]:
         if end:
             if tag in BLOCKS:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCKS or not any(x in BLOCKS for x, _ in stack[k + 1 :]):
+            if stack and tag in stack[-1].tags:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag == tag:
                         while len(stack) > k:
                             pop()
-                    break
+                        break
+                    if tag not in BLOCKS and stack[k].tag in BLOCKS:  # the end of an inline element ends no block
+                        break
             continue
         if tag not in IN_HEAD:
             end_head()
@@ -176,10 +201,10 @@ def leaves(page: str) -> list[Leaf]:
             if tag in CLOSES:
                 close(*CLOSES[tag])
         if tag == "body":  # an open head ends here
-            while any(x == "head" for x, _ in stack):
+            while stack and "head" in stack[-1].tags:
                 pop()
         if tag not in VOID and not attributes.endswith("/"):
-            stack.append((tag, _meanings(attributes)))
+            stack.append((stack[-1] if stack else ROOT).inner(tag, _meanings(attributes)))
             hidden += tag in HIDDEN
             links += tag == "a"
     flush()
@@ -193,20 +218,17 @@ def _bin(x: float, edges: tuple) -> int:
 def features(found: list[Leaf]) -> list[list[str]]:
     """Names of the features of every block."""
     out = []
-    titles = [any(t in ("h1", "h2") for t, _ in x.path) for x in found]
+    titles = ["h1" in x.place.tags or "h2" in x.place.tags for x in found]
     first = titles.index(True) if True in titles else -1
     for i, leaf in enumerate(found):
         text = leaf.text
-        tags = [t for t, _ in leaf.path]
-        block = next((t for t in reversed(tags) if t in BLOCKS), "none")
+        _, block, tags, kinds, near = leaf.place
         n = text.count(" ") + 1
         stops = sum(map(text.count, ".!?"))
         density = _bin(leaf.linked / max(1, len(text)), (0.01, 0.3, 0.7))
         names = ["bias", f"tag:{block}", f"words:{_bin(n, (2, 5, 10, 20, 40, 80))}", f"stops:{_bin(stops, (1, 2, 4, 8))}", f"links:{density}"]
-        names += [f"in:{t}" for t in set(tags) & BLOCKS]
-        kinds = {k for _, own in leaf.path for k in own}
+        names += [f"in:{t}" for t in tags & BLOCKS]
         names += [f"kind:{k}" for k in kinds]
-        near = next((own for _, own in reversed(leaf.path) if own), ())
         names += [f"near:{k}" for k in near]
         names.append(f"kinds:{'plain' if not kinds else 'only-content' if kinds == {'content'} else 'other'}")
         names.append(f"end:{text[-1] in '.!?…:;”»'}")
@@ -404,7 +426,7 @@ def training_pages(texts: list[str], n: int = 700, seed: int = 2) -> list[tuple[
         wanted = [_plain(x) for x in main]
         labels, at = [], 0
         for leaf in found:  # the main blocks stand in order; what equals none of the next is furniture
-            hit = at < len(wanted) and leaf.text == wanted[at] and not any(k in ("advert", "comment", "notice", "footer", "menu", "side", "social") for _, own in leaf.path for k in own)
+            hit = at < len(wanted) and leaf.text == wanted[at] and leaf.place.kinds.isdisjoint(FURNITURE)
             labels.append(int(hit))
             at += hit
         if at == len(wanted):
@@ -427,7 +449,7 @@ def main_text(chain: Chain, page: str | None) -> str:
 
 def extract_main_text(pages: DataFrame, chain: Chain | None = None, *, id_col: str = "page_id", text_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every page. Without a chain one is trained on text of a sample of the pages."""
-    small_batches(pages.sparkSession, 128, "2m")
+    small_batches(pages.sparkSession)
     if chain is None:
         chain = Chain.train(training_pages(page_sample(pages, text_col)))
     shared = pages.sparkSession.sparkContext.broadcast(chain)

@@ -10,7 +10,8 @@ one, so a source with a third of all rows is never sorted in one task.
 
 Defined results. Null text has no tokens, and a row without tokens is never taken. Null language or source is the
 empty string. Rows that repeat an id stand together: all are taken or none. Nodes without a weight have weight 1;
-weight 0 excludes. An empty table gives an empty result. Columns named n_tokens, n_epochs or domain are replaced.
+weight 0 excludes. An empty table gives an empty result. Columns named n_tokens, n_epochs or domain are replaced, all
+others stay, whatever their names. Long texts are only counted.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, cut
 
 LEVELS = ("domain", "lang", "source")
+#: Parts into which the rows of a leaf are dealt when they meet its plan.
+SALTS = 32
 
 
 def _shared(nodes: DataFrame, parents: list[str]) -> DataFrame:
@@ -81,37 +84,50 @@ def mix_sources(
     seed: int = 7,
     id_col: str = "doc_id",
     text_col: str = "text",
+    tokens_col: str | None = None,
 ) -> DataFrame:
-    """The rows of docs that are taken, with domain, n_tokens and n_epochs, how often each is taken (at least once)."""
+    """The rows of docs that are taken, with domain, n_tokens and n_epochs, how often each is taken (at least once).
+
+    tokens_col: a column that holds the number of tokens already; else the words of text_col are counted, once for the plan and
+    once where the rows that are taken are read.
+    """
     own = [c for c in docs.columns if c.lower() not in ("domain", "n_tokens", "n_epochs")]
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    leaf = {"_domain": domain.cast("string"), "_lang": named("lang"), "_source": named("source")}
-    tokens = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
-    key = [F.col(f"_{x}").alias(x) for x in LEVELS]
-    slim = cut(docs.withColumns(leaf).select(*key, F.col(id_col).alias("id"), tokens.alias("n_tokens")).where("n_tokens > 0"))
+    counted = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(f"[^{SPACE}]+")) if tokens_col is None else F.coalesce(F.col(tokens_col), F.lit(0))
+    leaf = F.struct(F.coalesce(domain.cast("string"), F.lit("")).alias("domain"), named("lang").alias("lang"), named("source").alias("source"))
+    # All that is internal stands in one struct, so no name of the input can clash.
+    inner = F.struct(leaf.alias("leaf"), F.col(id_col).cast("string").alias("id"), counted.cast("long").alias("n_tokens"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int").alias("salt"))
+    slim = cut(docs.select(inner.alias("x")).select("x.*").where("n_tokens > 0")).select("leaf.*", "id", "n_tokens", "salt")
     leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     # One row a leaf: whole epochs, the tokens left for one more, and its number for the order's seed.
     plan = budgets(leaves, weights, share, max_epochs).select(
         *LEVELS, F.floor(F.col("budget") / F.col("tokens")).alias("whole"), (F.floor("budget") - F.floor(F.col("budget") / F.col("tokens")) * F.col("tokens")).alias("rest")
     )
     plan = cut(plan.where("whole > 0 or rest > 0"))
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("whole").cast("string"), F.col("id").cast("string")).cast("binary"))
-    placed = slim.join(plan, list(LEVELS)).withColumn("order", order).withColumn("bucket", F.substring("order", 1, 3))
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("whole").cast("string"), F.col("id")).cast("binary"))
+    placed = slim.join(_dealt(plan), [*LEVELS, "salt"]).withColumn("order", order).withColumn("bucket", F.substring("order", 1, 3))
     sums = placed.groupBy(*LEVELS, "bucket", "rest").agg(F.sum("n_tokens").alias("tokens"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ends = sums.withColumn("upto", F.sum("tokens").over(running)).where("upto > rest")
     ends = ends.groupBy(*LEVELS).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("tokens")).alias("before"))).alias("end"))
     last = cut(plan.join(ends, list(LEVELS), "left").select(*LEVELS, "whole", "rest", F.col("end.bucket").alias("end"), F.col("end.before").alias("before")))
-    cuts = last.select(*[F.col(x).alias(f"_{x}") for x in LEVELS], F.col("whole").alias("_whole"), F.col("end").alias("_end"))
     # The rows of the bucket in which a leaf's prefix ends, one by one.
-    edge = placed.join(last.select(*LEVELS, "end", "before"), list(LEVELS)).where("bucket = end").groupBy(*LEVELS, "order", "id", "rest", "before").agg(F.sum("n_tokens").alias("tokens"))
+    edge = placed.drop("rest").join(_dealt(last.select(*LEVELS, "rest", "end", "before")), [*LEVELS, "salt"]).where("bucket = end")
+    edge = edge.groupBy(*LEVELS, "order", "id", "rest", "before").agg(F.sum("n_tokens").alias("tokens"))
     within = Window.partitionBy(*LEVELS).orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).where("upto <= rest").select(*[F.col(x).alias(f"_e_{x}") for x in LEVELS], F.col("id").alias("_e_id"))
-    found = docs.select(*own).withColumns(leaf).withColumn("_n", tokens).where("_n > 0")
-    found = found.join(cuts, [f"_{x}" for x in LEVELS])
-    found = found.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_whole").cast("string"), F.col(id_col).cast("string")).cast("binary")), 1, 3))
-    at_edge = F.expr("_bucket <=> _end and _domain = _e_domain and _lang = _e_lang and _source = _e_source") & F.col(id_col).eqNullSafe(F.col("_e_id"))
-    found = found.join(edge.withColumn("_in", F.lit(1)), at_edge, "left")
-    more = (F.col("_bucket") < F.col("_end")) | F.col("_in").isNotNull()
-    taken = found.withColumn("_epochs", (F.col("_whole") + F.when(more, 1).otherwise(0)).cast("long")).where("_epochs > 0")
-    return taken.select(*own, F.col("_domain").alias("domain"), F.col("_n").alias("n_tokens"), F.col("_epochs").alias("n_epochs"))
+    edge = edge.withColumn("upto", F.col("before") + F.sum("tokens").over(within)).where("upto <= rest").select(*LEVELS, "id")
+    # Rows and decisions meet as structs x, c and e.
+    found = docs.select(F.struct(*own).alias("row"), inner.alias("x")).where("x.n_tokens > 0")
+    found = found.join(_dealt(last).select(F.struct("*").alias("c")), F.expr(" and ".join([*[f"x.leaf.{k} = c.{k}" for k in LEVELS], "x.salt = c.salt"])))
+    found = found.withColumn("at", F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("c.whole").cast("string"), F.col("x.id")).cast("binary")), 1, 3))
+    same = [f"x.leaf.{k} = e.{k}" for k in LEVELS]
+    found = found.join(edge.select(F.struct("*").alias("e")), F.expr(" and ".join(["at <=> c.end", *same, "x.id <=> e.id"])), "left")
+    more = F.coalesce(F.col("at") < F.col("c.end"), F.lit(False)) | F.col("e").isNotNull()
+    epochs = (F.col("c.whole") + F.when(more, 1).otherwise(0)).cast("long")
+    taken = found.select("row", "x", epochs.alias("epochs")).where("epochs > 0")
+    return taken.select(*[F.col("row")[c].alias(c) for c in own], F.col("x.leaf.domain").alias("domain"), F.col("x.n_tokens").alias("n_tokens"), F.col("epochs").alias("n_epochs"))
+
+
+def _dealt(plan: DataFrame) -> DataFrame:
+    """One row a leaf in SALTS copies: the rows of a leaf meet them in as many parts, so none is read by one task whole."""
+    return plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

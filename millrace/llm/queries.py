@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, line_quality, ordinal, toxicity, warc
-from .common import table
+from .common import SPACE, cut, table
 from .decontaminate import find_leaks
 from .html_crf import extract_main_text
 from .line_quality import clean_lines
@@ -43,16 +41,17 @@ MIX = [
 ]
 
 
-def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """docs mixed to MIX: a source's domain is drawn by its crc32, the budget is 0.6 of all tokens, at most four epochs."""
+def mixed(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """docs mixed to MIX: a source's domain is drawn by its md5, the budget is 0.6 of all tokens, at most four epochs."""
     weights = spark.createDataFrame(MIX, "domain string, lang string, source string, weight double")
-    domain = F.concat(F.lit("d"), F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4)
-    return mix_sources(docs, weights, domain=domain)
+    digit = F.conv(F.substring(F.md5(F.coalesce("source", F.lit("")).cast("binary")), 1, 1), 16, 10).cast("int")
+    return mix_sources(docs, weights, domain=F.concat(F.lit("d"), (digit % 4).cast("string")), **how)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixed(spark, docs).select("doc_id", "domain", "lang", "source", "n_tokens", "n_epochs")
+    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(f"[^{SPACE}]+"))
+    docs = cut(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", tokens.alias("tokens")))  # counts texts once
+    return mixed(spark, docs, tokens_col="tokens").select("doc_id", "domain", "lang", "source", "n_tokens", "n_epochs")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,51 +108,57 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+#: One level of the tree: a water level for each parent, found among the levels at which a child is full. Children above it get
+#: its height times their weight, the others what they can supply.
 _LEVEL = """
 {name}_nodes AS (
-  SELECT l.root, {keys}, sum(l.tokens) AS tokens, sum(l.tokens * 4.0::DOUBLE) AS capacity, any_value(p.budget) AS parent_budget,
-         coalesce(any_value(w.weight), 1.0::DOUBLE) AS weight
-  FROM leaves l JOIN {parent} p ON {on_parent}
-  LEFT JOIN weights w ON {on_weight}
-  GROUP BY ALL
-), {name}_placed AS (
-  SELECT *, (parent_budget - coalesce(sum(capacity) OVER (PARTITION BY {parents} ORDER BY capacity / weight, {own} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(weight) OVER (PARTITION BY {parents} ORDER BY capacity / weight, {own} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
-  FROM {name}_nodes WHERE weight > 0 AND capacity > 0
-), {name}_shares AS (
-  SELECT *, min_by(share, capacity / weight) FILTER (share * weight < capacity) OVER (PARTITION BY {parents}) AS part FROM {name}_placed
+  SELECT {keys}, sum(tokens) * 4.0::DOUBLE AS supply, any_value(w{k}) AS weight FROM live GROUP BY ALL
+), {name}_heights AS (
+  SELECT {parents_h} h.supply / h.weight AS height, sum(least(n.supply, n.weight * (h.supply / h.weight))) AS used
+  FROM {name}_nodes h JOIN {name}_nodes n ON {siblings} GROUP BY ALL
+), {name}_levels AS (
+  SELECT {parents_p} p.budget, coalesce(max(height) FILTER (used <= p.budget), 0) AS low, coalesce(max(used) FILTER (used <= p.budget), 0) AS used
+  FROM {parent} p LEFT JOIN {name}_heights h ON {on_parent} GROUP BY ALL
 ), {name}_done AS (
-  SELECT *, CASE WHEN share * weight >= capacity THEN capacity ELSE part * weight END AS budget FROM {name}_shares
+  SELECT {keys_n}, CASE WHEN n.supply / n.weight <= l.low THEN n.supply
+    ELSE n.weight * (l.low + (l.budget - l.used) / sum(n.weight) FILTER (n.supply / n.weight > l.low) OVER (PARTITION BY {over})) END AS budget
+  FROM {name}_nodes n JOIN {name}_levels l ON {on_level}
 )"""
 
 
-def _mix_sql() -> str:
+def mix_sql(mix: list[tuple]) -> str:
+    """Mixing to the weights of mix, level by level, for DuckDB."""
     text = lambda x: "NULL" if x is None else f"'{x}'"
-    rows = ", ".join(f"({text(d)}, {text(g)}, {text(s)}, {w}::DOUBLE)" for d, g, s, w in MIX)
-    level = lambda name, keys, parent, up, nulls: _LEVEL.format(
-        name=name,
-        parent=parent,
-        keys=", ".join(f"l.{k}" for k in keys),
-        own=keys[-1],
-        parents=", ".join(["root", *up]),
-        on_parent=" AND ".join(f"l.{k} = p.{k}" for k in ["root", *up]),
-        on_weight=" AND ".join([f"w.{k} = l.{k}" for k in keys] + [f"w.{k} IS NULL" for k in nulls]),
-    )
-    crc = "CASE coalesce(source, '') " + " ".join(f"WHEN 'src{k}' THEN 'd{zlib.crc32(f'src{k}'.encode()) % 4}'" for k in range(64)) + " END"
+    rows = ", ".join(f"({text(d)}, {text(g)}, {text(s)}, {w}::DOUBLE)" for d, g, s, w in mix)
+    names = ["domain", "lang", "source"]
+
+    def level(k: int, parent: str) -> str:
+        own, up = names[:k], names[: k - 1]
+        on = lambda a, b: " AND ".join([f"{a}.{x} = {b}.{x}" for x in up] or ["true"])
+        each = lambda a: "".join(f"{a}.{x}, " for x in up)
+        return _LEVEL.format(
+            name="abc"[k - 1], k=k, keys=", ".join(own), keys_n=", ".join(f"n.{x}" for x in own), parents_h=each("h"), parents_p=each("p"), siblings=on("h", "n"),
+            parent=parent, on_parent=on("p", "h"), over=", ".join([f"n.{x}" for x in up] or ["1"]), on_level=on("n", "l"),
+        )
+
+    given = lambda k: " AND ".join([f"w{k}.{x} = l.{x}" for x in names[:k]] + [f"w{k}.{x} IS NULL" for x in names[k:]])
+    joins = " ".join(f"LEFT JOIN weights w{k} ON {given(k)}" for k in (1, 2, 3))
     return f"""
 WITH weights(domain, lang, source, weight) AS (VALUES {rows}),
 docs AS (
-  SELECT doc_id, {crc} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  SELECT doc_id, 'd' || (('0x' || substr(md5(coalesce(source, '')), 1, 1))::INT % 4)::VARCHAR AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
          len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+'))::BIGINT AS n_tokens
   FROM documents
-), leaves AS (
-  SELECT 1 AS root, domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM docs WHERE n_tokens > 0 GROUP BY ALL
-), whole AS (SELECT 1 AS root, sum(tokens) * 0.6::DOUBLE AS budget FROM leaves),
-{level("a", ["domain"], "whole", [], ["lang", "source"])},
-{level("b", ["domain", "lang"], "a_done", ["domain"], ["source"])},
-{level("c", ["domain", "lang", "source"], "b_done", ["domain", "lang"], [])},
+), leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM docs WHERE n_tokens > 0 GROUP BY ALL
+), live AS (
+  SELECT l.*, coalesce(w1.weight, 1) AS w1, coalesce(w2.weight, 1) AS w2, coalesce(w3.weight, 1) AS w3 FROM leaves l {joins}
+  WHERE coalesce(w1.weight, 1) > 0 AND coalesce(w2.weight, 1) > 0 AND coalesce(w3.weight, 1) > 0
+), whole AS (SELECT sum(tokens) * 0.6::DOUBLE AS budget FROM leaves),
+{level(1, "whole")},
+{level(2, "a_done")},
+{level(3, "b_done")},
 plan AS (
-  SELECT domain, lang, source, floor(budget / tokens)::BIGINT AS whole, floor(budget)::BIGINT - floor(budget / tokens)::BIGINT * tokens AS rest FROM c_done
+  SELECT domain, lang, source, floor(budget / tokens)::BIGINT AS whole, floor(budget)::BIGINT - floor(budget / tokens)::BIGINT * tokens AS rest FROM c_done JOIN leaves USING (domain, lang, source)
 ), placed AS (
   SELECT d.*, p.whole, p.rest,
          sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5(concat_ws('|', '7', p.whole::VARCHAR, doc_id::VARCHAR))) AS upto
@@ -218,7 +223,7 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT
 #: DuckDB SQL of the queries that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {
     "op3_quality_rules": _quality_sql(),
-    "op4_mixing": _mix_sql(),
+    "op4_mixing": mix_sql(MIX),
     "op7_chat_format": _CHAT_SQL,
     "op8_warc": _WARC_SQL,
     "op10_substring_dedup": _SUBSTRING_SQL,

@@ -29,7 +29,7 @@ import hashlib
 import math
 import uuid
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 from typing import NamedTuple
 
 import numpy as np
@@ -72,6 +72,12 @@ class Tokens:
         self.ids, self.first, self.words, self.runs = ids, first, words, runs
         self.doc = np.repeat(np.arange(len(ids)), np.diff(first))
 
+    @classmethod
+    def of(cls, row: dict) -> Tokens:
+        """Of a block that knows the names of its words and runs."""
+        names = _answer(row["back_0"])
+        return cls(from_planes(row["ids"]), from_planes(row["first"]), names[from_planes(row["words"])], names[from_planes(row["runs"])])
+
     def base(self) -> Layer:
         """Maximal runs as symbols: their end is seen by the word before and the word behind."""
         at = run_starts(self.words, self.doc, self.first)
@@ -131,17 +137,21 @@ def joined(layer: Layer, places: np.ndarray, names: np.ndarray, first: np.ndarra
 
 
 def distinct(keys: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in ascending order of (bucket hash, left, right), that hash, whether met twice, and the number of each key given."""
+    """Distinct keys in ascending order of a hash, that hash, whether met twice, and the number of each key given."""
     a, b = keys
     h = mix(a.astype(np.uint64) * _TIMES + mix(b.astype(np.uint64)))
-    order = np.lexsort((b, a, h))
-    a, b, h = a[order], b[order], h[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    order = np.argsort(h, kind="stable")
+    x, y, z = a[order], b[order], h[order]
+    new, other = np.ones(len(x), bool), (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    new[1:] = z[1:] != z[:-1]
+    if (other & ~new[1:]).any():  # two keys of one hash: sort by the keys as well
+        order = np.lexsort((b, a, h))
+        x, y, z = a[order], b[order], h[order]
+        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     head = np.flatnonzero(new)
-    number = np.empty(len(a), np.int64)
+    number = np.empty(len(x), np.int64)
     number[order] = np.cumsum(new) - 1
-    return np.stack((a[head], b[head])), h[head], np.diff(np.append(head, len(a))) > 1, number
+    return np.stack((x[head], y[head])), z[head], np.diff(np.append(head, len(x))) > 1, number
 
 
 def named(keys: tuple[np.ndarray, np.ndarray], names: np.ndarray) -> np.ndarray:
@@ -309,14 +319,17 @@ def later_windows(words: np.ndarray, counts: np.ndarray, ids: np.ndarray, offset
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Whole numbers byte plane by byte plane, compressed: high planes of small values vanish."""
-    data = np.ascontiguousarray(values.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(1).compress(data.tobytes())
+    """Whole numbers from 0 on, byte plane by byte plane without empty ones, compressed."""
+    values = np.ascontiguousarray(values, np.int64)
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8) if values.min(initial=0) >= 0 else 8
+    return bytes([width]) + zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.int64).ravel()
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, : data[0]] = raw.T
+    return out.view(np.int64).ravel()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -368,18 +381,45 @@ class Dedup:
         self.buckets = max(16, total // 10 // BUCKET_KEYS)
 
     def blocks(self) -> DataFrame:
-        """Whole documents packed by (block, ids, lengths, text, rest)."""
-        schema, sql = _schema(block="int", ids="bytes", lengths="bytes", text="bytes", rest="list")
+        """Whole documents packed by block: ids, lengths and text; the distinct words and runs of words (keys, twice: met twice
+        there) in order of a hash; by their numbers the words and runs of the text, and where documents begin."""
+        schema, sql = _schema(block="int", ids="bytes", lengths="bytes", text="bytes", rest="list", first="bytes", words="bytes", runs="bytes", keys="bytes", hashes="bytes", twice="bytes")
         carried = self.carried
 
         def pack(ids, texts, others):
             order = sorted(range(len(ids)), key=ids.__getitem__)
+            texts = [texts[i] for i in order]
+            lists = [x.split() for x in texts]
+            words = list(chain.from_iterable(lists))
+            first = np.cumsum([0, *map(len, lists)])
+            number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+            of = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            counts = np.bincount(of, minlength=len(number)).tolist()
+            at = run_starts(of + 1, np.repeat(np.arange(len(lists)), np.diff(first)), first)
+            size, runs = np.diff(np.append(at, len(of))), of[at]
+            for i in np.flatnonzero(size > 1).tolist():
+                key = b"%b %d" % (words[at[i]], size[i])
+                runs[i] = n = number.setdefault(key, len(number))
+                if n == len(counts):
+                    counts.append(0)
+                counts[n] += 1
+            hashes = np.array([xxhash.xxh64_intdigest(x) for x in number], np.uint64)
+            by_hash = np.argsort(hashes, kind="stable")
+            place = np.empty(len(number), np.int64)
+            place[by_hash] = np.arange(len(number))
+            keys = list(number)
             return {
                 "block": uuid.uuid4().int >> 65,
                 "ids": planes(np.array([ids[i] for i in order], np.int64)),
-                "lengths": planes(np.array([len(texts[i]) for i in order], np.int64)),
-                "text": zstandard.ZstdCompressor(3).compress(b"".join(texts[i] for i in order)),
+                "lengths": planes(np.array(list(map(len, texts)), np.int64)),
+                "text": zstandard.ZstdCompressor(3).compress(b"".join(texts)),
                 "rest": [others[i] for i in order] if carried else None,
+                "first": planes(first),
+                "words": planes(place[of]),
+                "runs": planes(place[runs]),
+                "keys": zstandard.ZstdCompressor(1).compress(b"\n".join(keys[i] for i in by_hash.tolist())),
+                "hashes": hashes[by_hash].tobytes(),
+                "twice": planes(np.array(counts, np.int64)[by_hash] > 1),
             }
 
         def run(batches):
@@ -423,12 +463,9 @@ class Dedup:
         buckets = self.buckets
 
         def send(row):
-            keys = sorted(_word_keys(row)[0].items(), key=lambda x: (xxhash.xxh64_intdigest(x[0]) % buckets, x[0]))
-            at = [xxhash.xxh64_intdigest(k) % buckets for k, _ in keys]
-            cuts = [i for i in range(len(at)) if i == 0 or at[i] != at[i - 1]]
-            for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True):
-                text = zstandard.ZstdCompressor(1).compress(b"\n".join(k for k, _ in keys[a:b]))
-                yield {"bucket": at[a], "keys": text, "twice": planes(np.array([n > 1 for _, n in keys[a:b]]))}
+            keys, twice = zstandard.ZstdDecompressor().decompress(row["keys"]).split(b"\n"), from_planes(row["twice"])
+            for k, a, b in _ranges(np.frombuffer(row["hashes"], np.uint64), buckets):
+                yield {"bucket": k, "keys": zstandard.ZstdCompressor(1).compress(b"\n".join(keys[a:b])), "twice": planes(twice[a:b])}
 
         def judge(group):
             lists = [zstandard.ZstdDecompressor().decompress(x["keys"]).split(b"\n") for x in group]
@@ -439,29 +476,7 @@ class Dedup:
             serial = {key: i for i, key in enumerate((k for k, n in met.items() if n > 1), 1)}
             return (planes(_names(np.array([serial.get(k, 0) for k in mine], np.int64), group[0]["bucket"], buckets, 0)) for mine in lists)
 
-        return self.exchange(blocks, send, judge, keys="bytes", twice="bytes")
-
-    def tokens(self, blocks: DataFrame, back: DataFrame) -> DataFrame:
-        """(block, ids, first, words, runs): texts as names."""
-        schema, sql = _schema(block="int", ids="bytes", first="bytes", words="bytes", runs="bytes")
-        buckets = self.buckets
-
-        def run(batches):
-            for row in _rows(batches):
-                counts, first, words = _word_keys(row)
-                keys = sorted(counts, key=lambda k: (xxhash.xxh64_intdigest(k) % buckets, k))
-                name = dict(zip(keys, _answer(row["back"]).tolist(), strict=True))
-                of = np.array([name[x] for x in words], np.int64)
-                doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                at = run_starts(of, doc, first)
-                size = np.diff(np.append(at, len(of)))
-                runs = of[at]
-                for i in np.flatnonzero(size > 1).tolist():
-                    runs[i] = name[b"%b %d" % (words[at[i]], size[i])]
-                yield {"block": row["block"], "ids": row["ids"], "first": planes(first), "words": planes(of), "runs": planes(runs)}
-
-        joined_ = blocks.drop("rest").join(back.hint("shuffle_hash"), "block", "left")
-        return shelved(joined_.mapInArrow(lambda b: _batched(run(b), schema), sql), "block", self.tasks)
+        return self.exchange(blocks.select("block", "keys", "hashes", "twice"), send, judge, keys="bytes", twice="bytes")
 
     def pairs(self, state: DataFrame, level: int) -> DataFrame:
         """Names the pairs of one round, or, in the last, all neighbours."""
@@ -525,7 +540,7 @@ class Dedup:
                         found["rest"] = row["rest"][i]
                     yield found
 
-        every = state.drop("ids").join(blocks, "block").join(settled.withColumnRenamed("back", "settled").hint("shuffle_hash"), "block", "left")
+        every = state.join(blocks.select("block", "lengths", "text", "rest"), "block").join(settled.withColumnRenamed("back", "settled").hint("shuffle_hash"), "block", "left")
         return every.mapInArrow(lambda b: _batched(run(b), schema), sql)
 
 
@@ -534,24 +549,6 @@ def _texts(row: dict) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def _word_keys(row: dict) -> tuple[dict[bytes, int], np.ndarray, list[bytes]]:
-    """How often a block holds each word and each run of two or more (word, blank, length); where documents begin; all words."""
-    lists = [x.split() for x in _texts(row)]
-    words = [w for x in lists for w in x]
-    first = np.cumsum([0, *map(len, lists)])
-    counts: dict[bytes, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    number = {w: i for i, w in enumerate(counts)}
-    of = np.array([number[w] for w in words], np.int64) + 1
-    at = run_starts(of, np.repeat(np.arange(len(lists)), np.diff(first)), first)
-    size = np.diff(np.append(at, len(words)))
-    for i in np.flatnonzero(size > 1).tolist():
-        key = b"%b %d" % (words[at[i]], size[i])
-        counts[key] = counts.get(key, 0) + 1
-    return counts, first, words
-
-
 def _names(serial: np.ndarray, bucket: int, buckets: int, level: int) -> np.ndarray:
     """Names of serial numbers from 1 within a bucket and round; 0 stays 0."""
     return np.where(serial > 0, (serial * buckets + bucket) * 8 + level, 0)
@@ -570,8 +567,7 @@ def _answer(back: list | None) -> np.ndarray:
 
 
 def _state(row: dict, levels: int) -> tuple[Tokens, list[np.ndarray]]:
-    tokens = Tokens(*(from_planes(row[k]) for k in ("ids", "first", "words", "runs")))
-    return tokens, [_answer(row[f"back_{k}"]) for k in range(1, levels + 1)]
+    return Tokens.of(row), [_answer(row[f"back_{k}"]) for k in range(1, levels + 1)]
 
 
 def _entries(row: dict, window: int, buckets: int) -> Entries:
@@ -591,7 +587,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     small_batches(docs.sparkSession)
     job = Dedup(docs, id_col, text_col, window, rest)
     blocks = job.blocks()
-    state = job.tokens(blocks, job.words(blocks.drop("rest")))
-    for level in range(1, ROUNDS + 2):
-        state = state.join(job.pairs(state, level).withColumnRenamed("back", f"back_{level}").hint("shuffle_hash"), "block", "left")
+    state = blocks.select("block", "ids", "first", "words", "runs")
+    for level in range(ROUNDS + 2):
+        back = job.pairs(state, level) if level else job.words(blocks)
+        state = state.join(back.withColumnRenamed("back", f"back_{level}").hint("shuffle_hash"), "block", "left")
     return job.cleaned(blocks, state, job.settle(state), with_text).withColumnRenamed("id", id_col)

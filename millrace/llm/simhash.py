@@ -8,7 +8,10 @@ complete distance of what meets there is verified. A bucket yields a spanning fo
 never its pairs; buckets beyond a bound go on as blocks that are compared block by block in other tasks.
 
 Defined results. Null text counts as empty; a text without words has fingerprint zero and links like any
-other. Repeated rows are kept. A null id never becomes a component's id unless the component has no other.
+other. Repeated rows are kept. A null id never becomes a component's id unless the component has no other. An empty
+table gives an empty result; other columns are ignored, whatever their names. A text's fingerprint takes memory for
+eight bytes a shingle. With two segments of 32 bits a key of the tables holds some N * 33 / 2^32 of N distinct
+fingerprints, so buckets are short up to 10^9 of them and grow in proportion from there.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from .graph import components
 
 SEED = 42
 BITS = 64
+#: Parts into which the members of a component are dealt when they get its label.
+SALTS = 32
 #: Members of a bucket compared in the task that read it; larger buckets go on in blocks of this size.
 BLOCK = 2048
 PAIRS_AT_ONCE = 1 << 20
@@ -211,10 +216,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = cut(fingerprints(docs, id_col, text_col, size))
     nodes = cut(marks.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
     roots = components(fingerprint_links(nodes.select("fp"), limit)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("n_links"))
-    by_fp = placed.select("fp", "root").join(groups, "root").select("fp", "component_id", "n_links")
-    return marks.join(by_fp, "fp").select(
+    linked = cut(nodes.join(roots, "fp"))
+    # A label goes out in SALTS copies, so no task reads a large component whole.
+    groups = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("n_links")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    labels = linked.select("fp", "root", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int").alias("salt")).join(groups, ["root", "salt"]).drop("root", "salt")
+    alone = nodes.join(roots, "fp", "left_anti").select("fp", F.col("least").alias("component_id"), F.col("rows").alias("n_links"))
+    return marks.join(labels.union(alone), "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",

@@ -300,7 +300,7 @@ def test_html_head_ends_by_itself():
     for end in ("", "</head>", "<body>", "</head><body>"):
         assert text(f"<html><head><title>T</title>\n<meta a=b><style>p {{}}</style>{end}<h1>A</h1><p>B <b>c</b>") == ["A", "B c"]
     assert text("<head><title>T</title><script>x</script> plain <p>B") == ["plain", "B"]
-    long = [html_crf.Leaf("word " * 100 + "All rights reserved.", 0, ())]
+    long = [html_crf.Leaf("word " * 100 + "All rights reserved.", 0, html_crf.ROOT)]
     assert "says:rights:False" in html_crf.features(long)[0]
 
 
