@@ -45,9 +45,9 @@ def _shared(nodes: DataFrame, parents: list[str]) -> DataFrame:
 
 
 def _given(weights: DataFrame, k: int) -> DataFrame:
-    """The weights of nodes of the first k levels."""
+    """The weights of nodes of the first k levels; of repeated ones the least."""
     names = list(LEVELS[:k])
-    return weights.where(" and ".join([f"{x} is not null" for x in names] + [f"{x} is null" for x in LEVELS[k:]])).select(*names, "weight")
+    return weights.where(" and ".join([f"{x} is not null" for x in names] + [f"{x} is null" for x in LEVELS[k:]])).groupBy(*names).agg(F.min("weight").alias("weight"))
 
 
 def budgets(leaves: DataFrame, weights: DataFrame, share: float, max_epochs: int) -> DataFrame:
