@@ -26,27 +26,25 @@ task needs some 100 bytes for each of its bytes.
 from __future__ import annotations
 
 import hashlib
-import math
 import uuid
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import shelved, small_batches
-from .vector import mix
+from .vector import SPACE, mix, word_hashes, word_spans
 
 #: Rounds that name pairs.
 ROUNDS = 4
-BLOCK_BYTES = 2 << 20
-#: Keys that a bucket gathers, about.
-BUCKET_KEYS = 1 << 18
+BLOCK_BYTES = 4 << 20
+#: Bytes of text of which a bucket gathers the keys, about, so that a bucket has a million of them at most.
+BUCKET_BYTES = 20 << 20
 #: Bytes of text that a task of a round reads, about, and the largest number of tasks.
 TASK_BYTES, MOST_TASKS = 1 << 24, 100_000
 NULL_ID = np.iinfo(np.int64).max
@@ -103,6 +101,45 @@ class Tokens:
         return found, places, keys
 
 
+def numbered(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts end to end: where documents begin, in words; the distinct words and runs of two or more (word, blank, length), a
+    hash and the number of each; by their numbers the words and the runs."""
+    edges = np.concatenate(([0], np.cumsum(lengths)))
+    inside = np.concatenate((~SPACE[np.frombuffer(text, np.uint8)], [False]))
+    starts, ends = word_spans(inside)
+    # A word goes no further than its document.
+    cut = np.unique(edges[1:-1])
+    cut = cut[inside[cut - 1] & inside[cut]] if len(cut) else cut
+    starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
+    first = np.searchsorted(starts, edges)
+    data = np.frombuffer(text, np.uint8)
+    hashes = word_hashes(data, starts, ends)
+    order = np.argsort(hashes, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = hashes[order][1:] != hashes[order][:-1]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    head = order[new]
+    size = ends - starts
+    same = size == size[head][number]
+    at = np.flatnonzero(same)
+    differ = data[spread(starts[at], size[at])] != data[spread(starts[head][number[at]], size[at])]
+    if not same.all() or differ.any():  # two words of one hash
+        every: dict[bytes, int] = {}
+        number = np.array([every.setdefault(text[a:b], len(every)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        head = np.unique(number, return_index=True)[1]
+    keys = [text[a:b] for a, b in zip(starts[head].tolist(), ends[head].tolist(), strict=True)]
+    counts = np.bincount(number, minlength=len(keys))
+    begin = run_starts(number + 1, np.repeat(np.arange(len(lengths)), np.diff(first)), first)
+    length, runs = np.diff(np.append(begin, len(number))), number[begin]
+    many = np.flatnonzero(length > 1)
+    kinds, which, met = np.unique(np.stack((runs[many], length[many])), axis=1, return_inverse=True, return_counts=True)
+    runs[many] = len(keys) + which.ravel()
+    keys += [b"%b %d" % (keys[i], n) for i, n in kinds.T.tolist()]
+    own = mix(hashes[head[kinds[0]]] + kinds[1].astype(np.uint64)) if len(many) else hashes[:0]
+    return first, keys, np.concatenate((hashes[head], own)), np.concatenate((counts, met if len(many) else counts[:0])), number, runs
+
+
 def run_starts(words: np.ndarray, doc: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Word numbers at which a maximal run begins; a word met once (0) is a run of its own."""
     new = np.ones(len(words), bool)
@@ -378,7 +415,7 @@ class Dedup:
         self.slim = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), (F.lit(None).cast("string") if rest is None else rest).alias("rest"))
         total = self.slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.tasks = min(MOST_TASKS, max(8, total // TASK_BYTES))
-        self.buckets = max(16, total // 10 // BUCKET_KEYS)
+        self.buckets = max(16, total // BUCKET_BYTES)
 
     def blocks(self) -> DataFrame:
         """Whole documents packed by block: ids, lengths and text; the distinct words and runs of words (keys, twice: met twice
@@ -389,37 +426,23 @@ class Dedup:
         def pack(ids, texts, others):
             order = sorted(range(len(ids)), key=ids.__getitem__)
             texts = [texts[i] for i in order]
-            lists = [x.split() for x in texts]
-            words = list(chain.from_iterable(lists))
-            first = np.cumsum([0, *map(len, lists)])
-            number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-            of = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            counts = np.bincount(of, minlength=len(number)).tolist()
-            at = run_starts(of + 1, np.repeat(np.arange(len(lists)), np.diff(first)), first)
-            size, runs = np.diff(np.append(at, len(of))), of[at]
-            for i in np.flatnonzero(size > 1).tolist():
-                key = b"%b %d" % (words[at[i]], size[i])
-                runs[i] = n = number.setdefault(key, len(number))
-                if n == len(counts):
-                    counts.append(0)
-                counts[n] += 1
-            hashes = np.array([xxhash.xxh64_intdigest(x) for x in number], np.uint64)
+            text = b"".join(texts)
+            first, keys, hashes, counts, of, runs = numbered(text, np.array(list(map(len, texts)), np.int64))
             by_hash = np.argsort(hashes, kind="stable")
-            place = np.empty(len(number), np.int64)
-            place[by_hash] = np.arange(len(number))
-            keys = list(number)
+            place = np.empty(len(keys), np.int64)
+            place[by_hash] = np.arange(len(keys))
             return {
                 "block": uuid.uuid4().int >> 65,
                 "ids": planes(np.array([ids[i] for i in order], np.int64)),
                 "lengths": planes(np.array(list(map(len, texts)), np.int64)),
-                "text": zstandard.ZstdCompressor(3).compress(b"".join(texts)),
+                "text": zstandard.ZstdCompressor(3).compress(text),
                 "rest": [others[i] for i in order] if carried else None,
                 "first": planes(first),
                 "words": planes(place[of]),
                 "runs": planes(place[runs]),
                 "keys": zstandard.ZstdCompressor(1).compress(b"\n".join(keys[i] for i in by_hash.tolist())),
                 "hashes": hashes[by_hash].tobytes(),
-                "twice": planes(np.array(counts, np.int64)[by_hash] > 1),
+                "twice": planes(counts[by_hash] > 1),
             }
 
         def run(batches):
@@ -454,7 +477,7 @@ class Dedup:
         def back(batches):
             return _batched((x for group in _groups(batches, "bucket") for x in answers(group)), kept)
 
-        met = source.mapInArrow(out, sent_sql).repartition(min(MOST_TASKS, max(8, self.buckets // 2)), "bucket").sortWithinPartitions("bucket")
+        met = source.mapInArrow(out, sent_sql).repartition(min(MOST_TASKS, self.buckets), "bucket").sortWithinPartitions("bucket")
         answered = met.mapInArrow(back, kept_sql).repartition(self.tasks, "block")
         return shelved(answered.groupBy("block").agg(F.collect_list(F.struct("bucket", "names")).alias("back")), "block", self.tasks)
 
