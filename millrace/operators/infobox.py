@@ -238,10 +238,10 @@ def page_links(parsed: DataFrame, host: str) -> DataFrame:
 def pick_infobox(cells: DataFrame) -> DataFrame:
     """The cells of each page's infobox: most rows, and an effects label counts a hundred; the first table wins a tie."""
     label = normalize_label(F.col("label"))
-    scored = cells.groupBy("page_id", "a").agg((F.count("*") + 100 * F.max(label.isin(*EFFECT_LABELS).cast("int"))).alias("score"))
-    w = Window.partitionBy("page_id").orderBy(F.desc("score"), "a")
-    best = scored.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("page_id", "a", "score")
-    return cells.join(best, ["page_id", "a"])
+    table = Window.partitionBy("page_id", "a")
+    scored = cells.withColumn("score", F.count("*").over(table) + 100 * F.max(label.isin(*EFFECT_LABELS).cast("int")).over(table))
+    best = F.max(F.struct("score", (-F.col("a")).alias("col2"))).over(Window.partitionBy("page_id"))
+    return scored.withColumn("_best", best).where("score = _best.score and -a = _best.col2").drop("_best")
 
 
 def map_rows(cells: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from ..operators import analysis as A
 from ..operators import ledger as L
 from ..sources import tables as S
 from ..streaming import guard as G
+from ..workers import shared
 from .ledger_queries import QUEUE, SEED
 from .registry import ORACLES, QUERIES, register, relation
 
@@ -82,26 +82,20 @@ OLD = "SELECT 'update-' || CAST(p_size AS STRING) AS update, p_name AS page_key,
 register("write_reports", S.write_reports, "SELECT update, page_key, seq, line FROM (SELECT *, row_number() OVER (PARTITION BY update, page_key ORDER BY seq DESC) AS rn FROM (FROM old UNION ALL FROM new)) WHERE rn = 1", old=OLD, new=OLD.replace("% 2 = 0", "% 3 = 0"))
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _scan_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared(spark, "seed")
+    folder = shared(spark, "seed")
     relation(spark, sf_dir, SEED).select(F.concat(F.lit("  - "), "page", F.lit("  # listing")).alias("value")).repartition(4).write.text(folder)
     return S.scan_seed(spark, folder).select("page")
 
 
 def _write_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared(spark, "registry")
+    folder = shared(spark, "registry")
     S.write_registry(relation(spark, sf_dir, "SELECT c_mktsegment AS id, c_custkey AS page_id, c_name AS title FROM {customer}"), folder)
     return spark.read.schema("id string, page_id bigint, title string").json(folder)
 
 
 def _write_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared(spark, "items")
+    folder = shared(spark, "items")
     rows = relation(spark, sf_dir, "SELECT p_partkey AS id, p_name AS name, p_type AS category, 'update-' || CAST(p_size AS STRING) AS update FROM {part}")
     S.write_items(rows, folder)
     S.write_items(rows.where("category = 'ECONOMY'").withColumn("name", F.upper("name")), folder)
@@ -109,14 +103,14 @@ def _write_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared(spark, "catalog")
+    folder = shared(spark, "catalog")
     rows = relation(spark, sf_dir, "SELECT n_regionkey AS category, n_nationkey AS id, n_name AS name FROM {nation}")
     rows.repartition("category").write.partitionBy("category").json(folder)
     return S.scan_items(spark, folder).select(F.substring_index("path", "/", 1).alias("folder"), (F.size(F.split(F.btrim("record", F.lit("\n")), "\n"))).alias("records"))
 
 
 def _scan_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared(spark, "bundle")
+    folder = shared(spark, "bundle")
     rows = relation(spark, sf_dir, "SELECT lower(r_name) AS key, r_name AS name FROM {region}")
     whole = rows.agg(F.to_json(F.array_sort(F.collect_list(F.struct("key", "name")))).alias("value"))  # a bundle file is one document
     whole.coalesce(1).write.text(f"{folder}/servers.json")
@@ -134,19 +128,19 @@ ORACLES |= {
 
 
 def _stream_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, name = _shared(spark, "log"), f"guard_{uuid.uuid4().hex}"
+    folder, name = shared(spark, "log"), f"guard_{uuid.uuid4().hex}"
     relation(spark, sf_dir, LOG).write.parquet(folder)
     stream = spark.readStream.schema("run string, seq long, kind string").parquet(folder)
-    target, checkpoint = _shared(spark, "stops"), _shared(spark, "guard")
+    target, checkpoint = shared(spark, "stops"), shared(spark, "guard")
     query = G.stream_guard(stream).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").queryName(name).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(G.OUTPUT).parquet(target)
 
 
 def _stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, target = _shared(spark, "pages"), _shared(spark, "extracted")
+    folder, target = shared(spark, "pages"), shared(spark, "extracted")
     relation(spark, sf_dir, "SELECT page_id, url, html FROM {pages}").write.parquet(folder)
-    checkpoint = _shared(spark, "extract")
+    checkpoint = shared(spark, "extract")
     for _ in range(2):  # the second run finds nothing new
         stream = spark.readStream.schema("page_id long, url string, html string").option("maxFilesPerTrigger", 1).parquet(folder)
         G.stream_extract(stream, lambda batch: batch.select("page_id", F.regexp_extract("html", "(?s)<h1[^>]*>(.*?)</h1>", 1).alias("title")), target, checkpoint)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import entries as E
 from ..operators import infobox as I
+from ..operators import items
 from ..operators.ledger import first_by, list_listings, with_number
 from .registry import register
 from .text_queries import HOST
@@ -145,20 +145,52 @@ register(
 )
 
 
-def extract_items(wrapped):
-    """The whole path: parse, pick, map, coerce, pivot, classify, one row a page."""
-    parsed = I.parse_pages(wrapped)
-    box = I.pick_infobox(parsed.where("kind = 'cell'")).select("page_id", F.col("b").alias("row_pos"), "label", "text")
-    values = I.coerced(I.map_rows(box))
-    fields = I.pivot_fields(values, ("minimum_level", "base_value_cp", "weapon_stats.proficiency"))
-    entries = parsed.where("kind = 'entry'").select("page_id", F.col("label").cast("int").alias("entry_pos"), "text", "tooltip", "hrefs", "children", "tooltip_items")
-    found = E.effects(E.captures(E.first_match(E.split_note(entries)))).groupBy("page_id").agg(F.array_sort(F.collect_list(F.concat_ws("|", "name", F.col("value").cast("int").cast("string"), "bonus_type"))).alias("effects"))
-    get = lambda c: F.get_json_object(c, "$.v")
-    return fields.join(found, "page_id", "left").select("page_id", get("minimum_level").cast("bigint").alias("minimum_level"), get("base_value_cp").cast("bigint").alias("base_value_cp"), get("weapon_stats_proficiency").alias("proficiency"), "effects")
+# Pages with a row for most fields; the key decides over the kind and what cannot be read.
+_ROW = "'<tr><th>{0}</th><td>' || {1} || '</td></tr>'"
+_KIND = "CASE p_partkey % 4 WHEN 0 THEN 'Proficiency Class' WHEN 1 THEN 'Armor Type' WHEN 2 THEN 'Shield Type' ELSE 'Item Type' END"
+_FULL = [
+    ("Minimum Level", _N), ("Required Race", "'r ' || p_brand"), ("Binding", "CASE p_partkey % 3 WHEN 0 THEN 'Bound to Account on Acquire, Exclusive' WHEN 1 THEN 'Unbound' ELSE 'Odd' END"),
+    ("Material", "p_brand"), ("Hardness", "CASE p_partkey % 5 WHEN 0 THEN 'soft' ELSE '7' END"), ("Base Value", f"{_N} || ' gp, 1,005 cp'"), ("Weight", f"{_N} || '.5 lbs'"), ("Accepts Sentience?", "'Yes'"),
+    ("Damage and Type", "'1.5[2d6 + 3] +2 Slash, Cold'"), ("Critical threat range", "'19-20 / x2'"), ("Weapon type", "'Club / Simple'"), ("Armor Bonus", "'Light: +3 Heavy: 5'"), ("Shield Bonus", "'None'"), ("Equips To", "'Ring, Neck or Left Hand'"),
+    ("Location", "'<b><a href=\"/page/Q\">' || p_name || '</a></b>, end chest + <a href=\"/page/Item:X\">Ore</a>'"), ("Notes", "'n ' || p_name"),
+]
+ITEM_PAGES = f"""
+SELECT CAST(p_partkey AS BIGINT) AS page_id, '/page/Item:' || CAST(p_partkey AS STRING) AS url, '<html><head><script>X={{{{"wgArticleId":' || CAST(p_partkey + 7 AS STRING) || ',"wgRevisionId":' || {_N} || ',"wgCategories":["Rune Arms"]}}}};</script></head><body><h1>Item:' || p_name || '</h1><div class="mw-parser-output"><table><tr><th>small</th><td><ul><li>Lost +9</li></ul></td></tr></table><table><tr><th>' || {_KIND} || '</th><td>' || CASE p_partkey % 4 WHEN 3 THEN 'Jewelry / ' ELSE '' END || p_type || '</td></tr>'
+  || {" || ".join(_ROW.format(*x) for x in _FULL)}
+  || '<tr><th>Enchantments</th><td><ul><li>Glow +' || {_N} || ' (Bug: odd)<span class="tooltip">+4 Insight bonus</span></li><li>Red Augment Slot</li><li>2 Pieces Equipped: ' || p_type || '</li><li>Haste &mdash; 3 Charges</li></ul></td></tr></table></div></body></html>' AS html
+FROM {{part}} WHERE p_partkey % 10 < 8"""
 
 
+def flat_items(pages):
+    """Items with their nested fields as columns."""
+    rows = items.extract_items(pages.repartition("page_id"))
+    stats = [F.col(f"{g}.{m}").alias(f"{g}_{m}") for g in ("weapon_stats", "armor_stats", "shield_stats", "wiki", "source") for m in rows.schema[g].dataType.names if m != "armor_bonus_variants"]
+    plain = [c for c in rows.columns if c not in ("weapon_stats", "armor_stats", "shield_stats", "wiki", "source", "effects", "customisation_hints", "named_set", "extraction_errors")]
+    said = lambda c, *names: F.transform(c, lambda x: F.concat_ws("|", *[F.coalesce(x[n].cast("string"), F.lit("-")) for n in names])).alias(c)
+    whole = F.transform("effects", lambda x: F.concat_ws("|", x["name"], F.coalesce(x["value"].cast("bigint").cast("string"), F.lit("-")), *[F.coalesce(x[n].cast("string"), F.lit("-")) for n in ("value_kind", "bonus_type", "tooltip", "charges", "note")]))
+    return rows.select(
+        *plain, *stats, F.transform("armor_stats.armor_bonus_variants", lambda v: F.concat_ws(":", v["name"], v["value"].cast("string"))).alias("armor_stats_variants"), whole.alias("effects"),
+        said("customisation_hints", "kind", "raw", "colour"), F.transform("named_set.bonuses", lambda b: F.concat_ws("|", b["pieces"].cast("string"), b["text"])).alias("set_bonuses"), F.col("named_set.name").alias("set_name"),
+        F.array_sort(F.transform(F.map_entries("extraction_errors"), lambda e: F.concat_ws("|", e["key"], e["value"]))).alias("errors"),
+    )
+
+
+_MINTED = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-4' || substr(h, 14, 3) || '-a' || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 register(
-    "extract_items", lambda wrapped, parts: extract_items(wrapped),
-    "SELECT page_id, n::BIGINT AS minimum_level, n::BIGINT * 100 AS base_value_cp, p_type AS proficiency, ['Glow|' || n || '|insight'] AS effects FROM parts",
-    wrapped=WRAPPED, parts=PARTS,
+    "extract_items", flat_items,
+    f"""SELECT k AS page_key, {_MINTED} AS id, p_name AS name, ['weapon', 'armor', 'shield', 'accessory'][k % 4 + 1] AS template, ['weapon', 'armor', 'shield', 'jewelry'][k % 4 + 1] AS category,
+      CASE k % 4 WHEN 0 THEN 'Club' ELSE p_type END AS item_type, CASE k % 4 WHEN 0 THEN ['main_hand'] WHEN 1 THEN ['body'] WHEN 2 THEN ['off_hand'] ELSE ['ring', 'neck', 'left_hand'] END AS equip_slots,
+      p_size::BIGINT AS minimum_level, 'r ' || p_brand AS required_race, NULL::VARCHAR AS excluded_race, NULL::VARCHAR AS required_class, NULL::VARCHAR AS required_feat, NULL::VARCHAR AS required_trait,
+      CASE k % 3 WHEN 0 THEN 'account' WHEN 1 THEN 'unbound' END AS binding, CASE k % 3 WHEN 0 THEN 'Bound to Account on Acquire, Exclusive' WHEN 1 THEN 'Unbound' END AS binding_raw, k % 3 = 0 AS exclusive,
+      p_brand AS material, CASE WHEN k % 5 > 0 THEN 7::BIGINT END AS hardness, NULL::BIGINT AS durability, (p_size * 100 + 1005)::BIGINT AS base_value_cp, p_size + 0.5::DOUBLE AS weight, NULL::VARCHAR AS upgradeable, true AS accepts_sentience, NULL::VARCHAR AS umd_dc, NULL::VARCHAR AS umd_exempt_classes,
+      NULL::VARCHAR AS flavor_text, 'n ' || p_name AS notes, NULL::VARCHAR AS tips,
+      CASE WHEN k % 4 = 0 THEN p_type END AS weapon_stats_proficiency, 'Club' AS weapon_stats_weapon_type, NULL::VARCHAR AS weapon_stats_handedness, 1.5::DOUBLE AS weapon_stats_damage_multiplier, '2d6' AS weapon_stats_damage_dice, 3::BIGINT AS weapon_stats_damage_bonus, 2::BIGINT AS weapon_stats_enhancement_bonus,
+      ['Slashing', 'Cold'] AS weapon_stats_damage_types, '19-20' AS weapon_stats_critical_range, 2::BIGINT AS weapon_stats_critical_multiplier, NULL::VARCHAR AS weapon_stats_attack_mod, NULL::VARCHAR AS weapon_stats_damage_mod,
+      CASE WHEN k % 4 = 1 THEN p_type END AS armor_stats_armor_type, NULL::BIGINT AS armor_stats_armor_bonus, NULL::BIGINT AS armor_stats_max_dex_bonus, NULL::BIGINT AS armor_stats_armor_check_penalty, NULL::BIGINT AS armor_stats_arcane_spell_failure,
+      CASE WHEN k % 4 = 2 THEN p_type END AS shield_stats_shield_type, NULL::BIGINT AS shield_stats_shield_bonus, NULL::BIGINT AS shield_stats_damage_reduction,
+      k + 7 AS wiki_page_id, p_size::BIGINT AS wiki_revision_id, 'Item:' || p_name AS wiki_title, url AS wiki_url, [p_name] AS source_quests, 'end chest' AS source_detail, ['Ore'] AS source_crafted_from, p_name || ' , end chest + Ore' AS source_raw,
+      ['Light:3', 'Heavy:5'] AS armor_stats_variants, ['Glow|' || p_size || '|flat|insight|+4 Insight bonus|-|Bug: odd', 'Haste|-|-|-|-|3|-'] AS effects, ['augment_slot|Red Augment Slot|Red'] AS customisation_hints, ['2|' || p_type] AS set_bonuses, NULL::VARCHAR AS set_name,
+      list_sort(list_filter([CASE WHEN k % 3 = 2 THEN 'binding|Odd' END, CASE WHEN k % 5 = 0 THEN 'hardness|soft' END], lambda x: x IS NOT NULL)) AS errors
+    FROM (SELECT *, p_partkey::BIGINT AS k, md5('catalog|' || (p_partkey + 7)::VARCHAR) AS h, '/page/Item:' || p_partkey::VARCHAR AS url FROM part WHERE p_partkey % 10 < 8)""",
+    pages=ITEM_PAGES,
 )

@@ -1,14 +1,35 @@
-"""Python workers of a local session find this package where the driver does; clusters install it on the executors."""
+"""Python workers of a local session find this package where the driver does; clusters install it on the executors. Folders that
+driver and executors share."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def ready(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
-    """Path for the workers, and Arrow batches small enough for whole pages."""
+def ready(spark: SparkSession) -> None:
+    """Path for the workers, and Arrow batches small enough for whole pages, the same for all stages."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "128")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
+
+
+def shared(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, or, in a local session without that setting, below one of its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written to a shared folder and read back: what follows reads it as often as it likes, and lost executors lose nothing."""
+    path = shared(df.sparkSession, "rows")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
