@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import analysis as A
 from ..operators import ledger as L
+from ..operators.shapes import SHAPES
 from ..sources import tables as S
 from ..streaming import guard as G
 from ..workers import shared
@@ -97,33 +99,37 @@ def _write_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _write_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared(spark, "items")
     rows = relation(spark, sf_dir, "SELECT p_partkey AS id, p_name AS name, p_type AS category, 'update-' || CAST(p_size AS STRING) AS update FROM {part}")
-    S.write_items(rows, folder)
-    S.write_items(rows.where("category = 'ECONOMY'").withColumn("name", F.upper("name")), folder)
-    return spark.read.parquet(folder).select("id", "name", F.col("category").cast("string"), F.col("update").cast("string"))
+    S.write_items(None, rows, folder)
+    later = shared(spark, "items")
+    changed = rows.where("id % 7 = 0").withColumns({"name": F.upper("name"), "category": F.lit("other"), "update": F.lit("update-9")})
+    S.write_items(spark.read.parquet(folder), changed, later)
+    return spark.read.parquet(later).select("id", "name", F.col("category").cast("string"), F.col("update").cast("string"))
 
 
 def _scan_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared(spark, "catalog")
-    rows = relation(spark, sf_dir, "SELECT n_regionkey AS category, n_nationkey AS id, n_name AS name FROM {nation}")
+    rows = relation(spark, sf_dir, "SELECT p_partkey % 4 AS category, p_partkey AS id, p_name AS name FROM {part}")
     rows.repartition("category").write.partitionBy("category").json(folder)
-    return S.scan_items(spark, folder).select(F.substring_index("path", "/", 1).alias("folder"), (F.size(F.split(F.btrim("record", F.lit("\n")), "\n"))).alias("records"))
+    records = S.scan_items(spark, folder).select(F.substring_index("path", "/", 1).alias("folder"), F.explode(F.split(F.btrim("record", F.lit("\n")), "\n")).alias("record"))
+    return records.select("folder", F.from_json("record", "id bigint, name string").alias("r")).select("folder", "r.*")
 
 
 def _scan_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared(spark, "bundle")
-    rows = relation(spark, sf_dir, "SELECT lower(r_name) AS key, r_name AS name FROM {region}")
-    whole = rows.agg(F.to_json(F.array_sort(F.collect_list(F.struct("key", "name")))).alias("value"))  # a bundle file is one document
-    whole.coalesce(1).write.text(f"{folder}/servers.json")
-    return S.scan_bundle(spark, folder, ("servers",))["servers"].select("key", "name")
+    for name, sql in (("servers", "SELECT lower(s_name) AS key, s_name AS name FROM {supplier}"), ("effects", "SELECT p_type AS key, p_name AS name FROM {part}")):
+        relation(spark, sf_dir, sql).write.json(f"{folder}/{name}.json")
+    tables, missing = S.scan_bundle(spark, folder, dict.fromkeys(SHAPES, "key string, name string"))
+    found = [t.select(F.lit(n).alias("table_name"), "key", "name") for n, t in tables.items()]
+    return reduce(DataFrame.union, [*found, missing.select(F.col("name").alias("table_name"), F.lit(None).cast("string"), F.lit("missing"))])
 
 
 QUERIES |= {"scan_seed": _scan_seed, "write_registry": _write_registry, "write_items": _write_items, "scan_items": _scan_items, "scan_bundle": _scan_bundle}
 ORACLES |= {
     "scan_seed": "SELECT DISTINCT 'Update_' || s_suppkey::VARCHAR || '_named_items' AS page FROM supplier",
     "write_registry": "SELECT c_mktsegment AS id, c_custkey AS page_id, c_name AS title FROM customer",
-    "write_items": "SELECT p_partkey AS id, CASE WHEN p_type = 'ECONOMY' THEN upper(p_name) ELSE p_name END AS name, p_type AS category, 'update-' || p_size::VARCHAR AS update FROM part",
-    "scan_items": "SELECT 'category=' || n_regionkey::VARCHAR AS folder, count(*)::INTEGER AS records FROM nation GROUP BY n_regionkey",
-    "scan_bundle": "SELECT lower(r_name) AS key, r_name AS name FROM region",
+    "write_items": "SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 0 THEN upper(p_name) ELSE p_name END AS name, CASE WHEN p_partkey % 7 = 0 THEN 'other' ELSE p_type END AS category, 'update-' || (CASE WHEN p_partkey % 7 = 0 THEN least(p_size, 9) ELSE p_size END)::VARCHAR AS update FROM part",
+    "scan_items": "SELECT 'category=' || (p_partkey % 4)::VARCHAR AS folder, p_partkey AS id, p_name AS name FROM part",
+    "scan_bundle": "SELECT 'servers' AS table_name, lower(s_name) AS key, s_name AS name FROM supplier UNION ALL SELECT 'effects', p_type, p_name FROM part UNION ALL SELECT unnest(['items', 'bonus_types', 'option_lists', 'redirects', 'slot_compat', 'meta']), NULL, 'missing'",
 }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog as C
 from ..operators import quality as Q
+from ..operators.shapes import shape_problems
 from .registry import register
 from .text_queries import HOST, URLS
 
@@ -96,16 +97,21 @@ register(
 # Item files: the key decides which one check fails.
 _ID = _UUID.format("f", "p_partkey")
 _NAME = "p_name || ' ' || CAST(p_partkey AS STRING)"
+# The other members: the weight of every 13th part in 29 has another type.
+_REST = "',' || " + " || ',' || ".join(
+    f"""'"{k}":' || """ + ("CASE p_partkey % 29 WHEN 13 THEN '\"heavy\"' ELSE '1.5' END" if k == "weight" else "'[]'" if k in ("equip_slots", "effects", "customisation_hints") else "'{{}}'" if k == "extraction_errors" else "'null'")
+    for k in list(Q.MEMBERS)[5:]
+)
 FILES = f"""
 SELECT CASE p_partkey % 29 WHEN 1 THEN 'odd/' || CAST(p_partkey AS STRING) || '.json' ELSE CASE p_partkey % 29 WHEN 2 THEN 'Update-3' ELSE 'update-' || CAST(p_size + 1 AS STRING) END || '/' || CASE p_partkey % 29 WHEN 3 THEN 'armor' ELSE 'weapon' END || '/' ||
     CASE p_partkey % 29 WHEN 4 THEN {_UUID.format("g", "p_partkey")} WHEN 11 THEN {_UUID.format("f", "(p_partkey - 1)")} ELSE {_ID} END || '-' || CASE p_partkey % 29 WHEN 5 THEN 'wrong' ELSE replace(p_name, ' ', '-') || '-' || CAST(p_partkey AS STRING) END || '.json' END AS path,
   CASE p_partkey % 29 WHEN 6 THEN 'nothing' WHEN 7 THEN '{{{{"name":"x","id":"' || {_ID} || '"}}}}' ELSE
-    '{{{{"id":"' || CASE p_partkey % 29 WHEN 11 THEN {_UUID.format("f", "(p_partkey - 1)")} ELSE {_ID} END || '","name":"' || {_NAME} || '","category":"weapon","page_id":' || CASE p_partkey % 29 WHEN 8 THEN ' ' ELSE '' END || CAST(p_partkey + CASE p_partkey % 29 WHEN 9 THEN 1 ELSE 0 END AS STRING) || '}}}}' END AS record
+    '{{{{"id":"' || CASE p_partkey % 29 WHEN 11 THEN {_UUID.format("f", "(p_partkey - 1)")} ELSE {_ID} END || '","name":"' || {_NAME} || '","wiki":{{{{"page_id":' || CASE p_partkey % 29 WHEN 8 THEN ' ' ELSE '' END || CAST(p_partkey + CASE p_partkey % 29 WHEN 9 THEN 1 ELSE 0 END AS STRING) || ',"revision_id":null,"title":null,"url":"u"}}}},"template":"weapon","category":"weapon"' || {_REST} || CASE p_partkey % 29 WHEN 12 THEN ',"odd":1' ELSE '' END || '}}}}' END AS record
 FROM {{part}}"""
 IDS = f"SELECT {_ID} AS id, CAST(p_partkey AS BIGINT) AS page_id FROM {{part}} WHERE p_partkey % 29 <> 10"
 _FAILS = {
     "chk_path_shape": ("path_shape", "k = 1"),
-    "chk_record": ("record", "k IN (6, 7)"),
+    "chk_record": ("record", "k IN (6, 7, 12, 13)"),
     "chk_id_filename": ("id_filename", "k = 4"),
     "chk_canonical": ("canonical", "k = 8"),
     "chk_registered": ("registered", "k IN (10, 11)"),
@@ -139,18 +145,33 @@ BONUS = "SELECT DISTINCT l_returnflag AS key FROM {lineitem} WHERE l_returnflag
 register("val_effect_ref", lambda used, effects: Q.dangling(used, "effect", effects, "key", "effect_ref", "item"), "SELECT 'effect_ref' AS check, item::VARCHAR AS subject FROM used WHERE effect NOT IN (SELECT key FROM effects)", used=USED, effects=EFFECTS)
 register("val_bonus_ref", lambda used, bonus: Q.dangling(used, "bonus", bonus, "key", "bonus_ref", "item"), "SELECT 'bonus_ref' AS check, item::VARCHAR AS subject FROM used WHERE used.bonus <> '' AND used.bonus NOT IN (SELECT key FROM bonus)", used=USED, bonus=BONUS)
 register("val_unique", lambda effects: Q.duplicates(effects, "dup", "unique"), "SELECT 'unique' AS check, dup AS subject FROM effects GROUP BY dup HAVING count(*) > 1", effects=EFFECTS)
-register(
-    "val_shape",
-    lambda effects: Q.together([Q.violations(effects, "slug", "key", ~F.col("key").rlike(Q.SLUG) | (F.length("key") > 80)), Q.violations(effects, "name", "key", F.coalesce(F.length("name"), F.lit(0)) < 1)]),
-    f"SELECT 'slug' AS check, key AS subject FROM effects WHERE NOT regexp_matches(key, '{Q.SLUG}') OR length(key) > 80 UNION ALL SELECT 'name', key FROM effects WHERE coalesce(length(name), 0) < 1",
-    effects=EFFECTS.replace("'#', '-'", "'#', CASE WHEN s_suppkey % 7 = 0 THEN '#' ELSE '-' END"),
-)
-EXTRA = """SELECT s_suppkey AS id, '{{"key": "a", "name": "b"' || CASE WHEN s_suppkey % 4 = 1 THEN ', "odd": 1' ELSE '' END || '}}' AS json FROM {supplier}"""
-register("val_strict", lambda rows: Q.unknown_keys(rows, "id", ["key", "name", "tooltip", "verified"], "strict"), "SELECT 'strict' AS check, id::VARCHAR AS subject FROM rows WHERE len(list_filter(json_keys(json), lambda k: k NOT IN ('key', 'name', 'tooltip', 'verified'))) > 0", rows=EXTRA)
+# Rows of all eight tables as JSON: the key modulo 7 decides over one defect.
+_KEY = "'k_' || CAST(s_suppkey AS STRING)"
+_ONE = "CASE s_suppkey % 7 WHEN {0} THEN '{1}' ELSE '{2}' END"
+_ROWS = {
+    "effects": f"""'{{{{"key":"' || {_KEY} || {_ONE.format(1, "-", "")} || '","name":' || {_ONE.format(2, '""', '"n"')} || {_ONE.format(3, ',"tooltip":1', ',"tooltip":null')} || {_ONE.format(4, ',"odd":1', "")} || '}}}}'""",
+    "bonus_types": f"""'{{{{"key":"b"' || {_ONE.format(1, "", ',"name":"n"')} || {_ONE.format(2, ',"stacks_with_self":"x"', ',"stacks_with_self":true')} || '}}}}'""",
+    "option_lists": f"""'{{{{"id":"o","options":[' || {_ONE.format(1, "", '{{"key":"a","name":"n","level":' + "' || " + _ONE.format(2, "1.5", "2") + " || '" + ',"value":0.5' + "' || " + _ONE.format(3, ',"odd":1', "") + " || '" + "}}")} || ']}}}}'""",
+    "servers": f"""{_ONE.format(1, "[1]", '{{"key":"s","name":"n"}}')}""",
+    "redirects": f"""'{{{{"from":"' || {_UUID.format("r", "s_suppkey")} || '"' || CASE s_suppkey % 7 WHEN 1 THEN '' WHEN 2 THEN ',"to":"x"' ELSE ',"to":null' END || '}}}}'""",
+    "slot_compat": f"""'{{{{"colour_compat":{{{{"red":[' || {_ONE.format(1, "1", '"blue"')} || ']}}}},"kind_rules":[{{{{"kind":"k","category_in":["' || {_ONE.format(2, "hat", "armor")} || '"],"allow_options":[]}}}}]}}}}'""",
+    "meta": f"""'{{{{"format_version":' || {_ONE.format(1, "0", "1")} || ',"catalog_version":"2026.01.02.0003","generated_at":"t","counts":{{{{"items":1,"effects":1,"bonus_types":1,"option_lists":1,"servers":1' || {_ONE.format(2, "", ',"redirects":-0')} || '}}}}}}}}'""",
+    "items": f"""'{{{{"id":"' || {_UUID.format("i", "s_suppkey")} || '","name":"n","category":"c","effects":[{{{{"effect":"e","value":' || {_ONE.format(1, "true", "null")} || '}}}}]' || {_ONE.format(5, "", "}}")}""",
+}
+BUNDLE = " UNION ALL ".join(f"SELECT '{name}' AS table_name, s_suppkey AS subject, {sql} AS json FROM {{supplier}}" for name, sql in _ROWS.items())
+_WRONG = [
+    ("effects", 1, ".key: text"), ("effects", 2, ".name: text"), ("effects", 3, ".tooltip: type"), ("bonus_types", 1, ".name: missing"), ("bonus_types", 2, ".stacks_with_self: type"), ("option_lists", 1, ".options: too few"),
+    ("option_lists", 2, ".options[].level: type"), ("servers", 1, ".: type"), ("redirects", 1, ".to: missing"), ("redirects", 2, ".to: text"), ("slot_compat", 1, ".colour_compat{}[]: type"), ("slot_compat", 2, ".kind_rules[].category_in[]: text"),
+    ("meta", 1, ".format_version: minimum"), ("meta", 2, ".counts.redirects: missing"), ("items", 1, ".effects[].value: type"), ("items", 5, ".: json"),
+]
+_UNKNOWN = [("effects", 4, ".odd: unknown"), ("option_lists", 3, ".options[].odd: unknown")]
+_expected = lambda rows: f"SELECT t AS table_name, s_suppkey AS subject, p AS problem FROM supplier, (VALUES {', '.join(map(str, rows))}) v(t, k, p) WHERE s_suppkey % 7 = k"
+register("val_shape", shape_problems, _expected(_WRONG), rows=BUNDLE)
+register("val_strict", lambda rows: shape_problems(rows, strict=True), _expected(_WRONG + _UNKNOWN), rows=BUNDLE)
 register(
     "val_missing_file", lambda found: Q.missing_tables(found, ["items", "effects", "bonus_types", "option_lists", "servers", "redirects", "slot_compat", "meta"]),
     "SELECT name FROM (VALUES ('items'), ('effects'), ('bonus_types'), ('option_lists'), ('servers'), ('redirects'), ('slot_compat'), ('meta')) v(name) WHERE name NOT IN (SELECT name FROM found)",
-    found="SELECT CASE r_regionkey WHEN 0 THEN 'items' WHEN 1 THEN 'effects' WHEN 2 THEN 'meta' ELSE 'servers' END AS name FROM {region}",
+    found="SELECT DISTINCT CASE s_suppkey % 4 WHEN 0 THEN 'items' WHEN 1 THEN 'effects' WHEN 2 THEN 'meta' ELSE 'servers' END AS name FROM {supplier}",
 )
 SLOTS = "SELECT o_orderkey AS item, CAST(o_custkey % 5 AS STRING) AS a, CAST(o_orderkey % 3 AS STRING) AS b, CAST(o_custkey % 3 AS STRING) AS c, o_custkey % 4 AS lo, o_orderkey % 4 AS hi, CASE WHEN o_orderkey % 6 > 0 THEN substr(o_orderpriority, 1, 1) END AS list, o_orderkey % 2 = 0 AS has_options FROM {orders}"
 register("val_slot_dup", lambda slots: Q.violations(slots.withColumn("ids", F.array("a", "b", "c")), "slot_dup", "item", F.size("ids") != F.size(F.array_distinct("ids"))), "SELECT 'slot_dup' AS check, item::VARCHAR AS subject FROM slots WHERE a = b OR a = c OR b = c", slots=SLOTS)

@@ -67,9 +67,15 @@ def write_registry(registry: DataFrame, path: str) -> None:
     registry.select("id", "page_id", "title").repartitionByRange("page_id").sortWithinPartitions("page_id").write.mode("errorifexists").json(path)
 
 
-def write_items(items: DataFrame, path: str) -> None:
-    """Items below update/category; only partitions among the rows are replaced."""
-    items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("update", "category").parquet(path)
+def write_items(held: DataFrame | None, items: DataFrame, path: str) -> None:
+    """The next snapshot below update/category: an item replaces the one of its id, which keeps the earlier of both updates, wherever
+    it lay; all others stay as they are."""
+    if held is not None:
+        rank = lambda c: F.coalesce(F.regexp_extract(c, r"^update-(\d+)$", 1).try_cast("int"), F.lit((1 << 31) - 1))
+        old = held.select("id", F.col("update").alias("_old"))
+        moved = items.join(old, "id", "left").withColumn("update", F.when(F.col("_old").isNotNull() & (rank(F.col("_old")) < rank(F.col("update"))), F.col("_old")).otherwise(F.col("update"))).drop("_old")
+        items = held.join(items, "id", "left_anti").unionByName(moved)
+    items.write.partitionBy("update", "category").parquet(path)
 
 
 def scan_items(spark: SparkSession, path: str) -> DataFrame:
@@ -83,6 +89,9 @@ def write_reports(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert_latest(old.unionByName(new), ["update", "page_key"], "seq")
 
 
-def scan_bundle(spark: SparkSession, folder: str, names: tuple[str, ...]) -> dict[str, DataFrame]:
-    """The tables of a bundle, each one JSON array of objects in a file."""
-    return {n: spark.read.option("multiLine", True).json(f"{folder}/{n}.json") for n in names}
+def scan_bundle(spark: SparkSession, folder: str, schemas: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables of a bundle that are there, JSON lines or arrays below folder/<name>.json, and (name) of those that are missing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select(F.regexp_extract("path", r"/([a-z_]+)\.json(?:/[^/]*)?$", 1).alias("name")).distinct()
+    missing = spark.createDataFrame([(x,) for x in schemas], "name string").join(files, "name", "left_anti")
+    lost = {x.name for x in missing.collect()}  # at most one row a table of the bundle
+    return {n: spark.read.schema(kind).json(f"{folder}/{n}.json") for n, kind in schemas.items() if n not in lost}, missing
