@@ -35,8 +35,8 @@ from .vector import mix, word_hashes
 
 #: Selected (1) and ignored (0) positions.
 MASKS = ("1110111", "110101011", "1101100011", "10110100111")
-#: The bitmap of item hashes has 2 to a power of bits in this range, some sixteen bits a hash; a hash sets two of them.
-LEAST_BITS, MOST_BITS = 20, 28
+#: The bitmap of item hashes has 2 to a power of bits in this range, at least 64 bits a hash below the bound; a hash sets two of them.
+LEAST_BITS, MOST_BITS = 24, 28
 
 
 class Stretches(Words):
@@ -98,7 +98,7 @@ def item_seeds(items: DataFrame, id_col: str, text_col: str, least_words: int, m
 def seed_filter(seeds: DataFrame) -> np.ndarray:
     """Bitmap of two runs of bits of seeds(hash), sized by their number. What reaches the driver are its words of 32 bits that are
     not zero, at most 2^MOST_BITS bits whatever the input; beyond that size the bitmap lets more through and the join decides."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (8 * seeds.count()).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * seeds.count()).bit_length()))
     place = lambda shift: F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit((1 << bits) - 1))
     places = seeds.select(F.explode(F.array(place(0), place(bits))).alias("place"))
     packed = places.groupBy(F.shiftright("place", 5).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 31 as int)))").alias("bits"))
