@@ -93,60 +93,60 @@ def clean_lines(
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = df.drop(*[c for c in df.columns if c.lower() in NEW_COLUMNS])
-    held = base.withColumns({"_words": words(body), "_lines": F.split(body, "\n"), "_low": F.lower(body)})
+    held = base.withColumns({"_line_quality_words": words(body), "_line_quality_lines": F.split(body, "\n"), "_line_quality_low": F.lower(body)})
     # The last two words start no full window; their shorter keys equal no other key of the text.
     triples = F.transform(
-        F.col("_words"),
-        lambda w, i: F.struct(F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("p")),
+        F.col("_line_quality_words"),
+        lambda w, i: F.struct(F.xxhash64(w, F.get("_line_quality_words", i + 1), F.get("_line_quality_words", i + 2)).alias("h"), i.alias("p")),
     )
     held = held.withColumns(
         {
-            "_triples": F.sort_array(triples),
-            "_full": F.filter("_lines", lambda x: x.rlike(f"[^{SPACE}]")),
-            "_odd": body.rlike(ODD),
-            "_phrase": reduce(or_, [F.contains(F.col("_low"), F.lit(x)) for x in BOILERPLATE]),
+            "_line_quality_triples": F.sort_array(triples),
+            "_line_quality_full": F.filter("_line_quality_lines", lambda x: x.rlike(f"[^{SPACE}]")),
+            "_line_quality_odd": body.rlike(ODD),
+            "_line_quality_phrase": reduce(or_, [F.contains(F.col("_line_quality_low"), F.lit(x)) for x in BOILERPLATE]),
         }
     )
-    neighbour = lambda i: F.get("_triples", i)["h"]
+    neighbour = lambda i: F.get("_line_quality_triples", i)["h"]
     held = held.withColumns(
         {
-            "_starts": F.sort_array(
+            "_line_quality_starts": F.sort_array(
                 F.transform(
                     F.filter(
-                        "_triples",
+                        "_line_quality_triples",
                         lambda t, i: F.coalesce(neighbour(i + 1) == t["h"], F.lit(False))
                         | ((i > 0) & F.coalesce(neighbour(i - 1) == t["h"], F.lit(False))),
                     ),
                     lambda t: t["p"],
                 )
             ),
-            "_distinct": F.array_distinct("_full"),
+            "_line_quality_distinct": F.array_distinct("_line_quality_full"),
         }
     )
     fails = lambda x: _line_fails(
-        x, F.col("_odd"), F.col("_phrase"), max_symbol_share, max_bangs_share, min_separators, boilerplate_words, min_line_words
+        x, F.col("_line_quality_odd"), F.col("_line_quality_phrase"), max_symbol_share, max_bangs_share, min_separators, boilerplate_words, min_line_words
     )
-    held = held.withColumns({"_good": F.filter("_distinct", lambda x: ~fails(x))})
-    n = F.size("_words").cast("long")
+    held = held.withColumns({"_line_quality_good": F.filter("_line_quality_distinct", lambda x: ~fails(x))})
+    n = F.size("_line_quality_words").cast("long")
     counted = held.withColumns(
         {
             "n_words": n,
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "word_chars": F.length(F.array_join("_line_quality_words", "")).cast("long"),
             "n_symbols": F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).cast("long"),
-            "n_dup_lines": (F.size("_full") - F.size("_distinct")).cast("long"),
+            "n_dup_lines": (F.size("_line_quality_full") - F.size("_line_quality_distinct")).cast("long"),
             "n_repeat_words": F.aggregate(
-                F.transform("_starts", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("_starts", i + 1) - p, F.lit(3)))),
+                F.transform("_line_quality_starts", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("_line_quality_starts", i + 1) - p, F.lit(3)))),
                 F.lit(0).cast("long"),
                 lambda acc, x: acc + x,
             ),
-            "clean_text": F.array_join("_good", "\n"),
-            "lost_chars": (F.length(F.array_join("_full", "")) - F.length(F.array_join("_good", ""))).cast("long"),
-            "_all_chars": F.length(F.array_join("_full", "")),
+            "clean_text": F.array_join("_line_quality_good", "\n"),
+            "lost_chars": (F.length(F.array_join("_line_quality_full", "")) - F.length(F.array_join("_line_quality_good", ""))).cast("long"),
+            "_line_quality_all_chars": F.length(F.array_join("_line_quality_full", "")),
         }
     )
     judged = counted.withColumn(
         "base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    ).withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("_all_chars")))
+    ).withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("_line_quality_all_chars")))
     return judged.select(*base.columns, *NEW_COLUMNS)
 
 
@@ -156,5 +156,5 @@ def passing(df: DataFrame, text: str = "text", **how) -> DataFrame:
     The row number in the filter keeps the optimizer from copying the verdict's whole expression below it, where it
     would be computed again for every step that it is made of.
     """
-    judged = clean_lines(df, text, **how).withColumn("_row", F.monotonically_increasing_id())
-    return judged.where("kept and _row >= 0").drop("_row")
+    judged = clean_lines(df, text, **how).withColumn("_line_quality_row", F.monotonically_increasing_id())
+    return judged.where("kept and _line_quality_row >= 0").drop("_line_quality_row")

@@ -42,9 +42,9 @@ from .vector import SPACE, mix, word_hashes, word_spans
 
 #: Rounds that name pairs.
 ROUNDS = 4
-BLOCK_BYTES = 4 << 20
-#: Bytes of text of which a bucket gathers the keys, about, so that a bucket has a million of them at most.
-BUCKET_BYTES = 20 << 20
+BLOCK_BYTES = 2 << 20
+#: Bytes of text of which a bucket gathers the keys, about, so that a bucket has half a million of them at most.
+BUCKET_BYTES = 10 << 20
 #: Bytes of text that a task of a round reads, about, and the largest number of tasks.
 TASK_BYTES, MOST_TASKS = 1 << 24, 100_000
 NULL_ID = np.iinfo(np.int64).max
