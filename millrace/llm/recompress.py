@@ -419,9 +419,9 @@ class Dedup:
 
     def blocks(self) -> DataFrame:
         """Whole documents packed by block: ids, lengths and text; the distinct words and runs of words (keys, twice: met twice
-        there) in order of a hash; by their numbers the words and runs of the text, and where documents begin."""
-        schema, sql = _schema(block="int", ids="bytes", lengths="bytes", text="bytes", rest="list", first="bytes", words="bytes", runs="bytes", keys="bytes", hashes="bytes", twice="bytes")
-        carried = self.carried
+        there) in order of a hash, and where buckets cut them; by their numbers the words and runs of the text, and where documents begin."""
+        schema, sql = _schema(block="int", ids="bytes", lengths="bytes", text="bytes", rest="list", first="bytes", words="bytes", runs="bytes", keys="bytes", cuts="bytes", twice="bytes")
+        buckets, carried = self.buckets, self.carried
 
         def pack(ids, texts, others):
             order = sorted(range(len(ids)), key=ids.__getitem__)
@@ -441,7 +441,7 @@ class Dedup:
                 "words": planes(place[of]),
                 "runs": planes(place[runs]),
                 "keys": zstandard.ZstdCompressor(1).compress(b"\n".join(keys[i] for i in by_hash.tolist())),
-                "hashes": hashes[by_hash].tobytes(),
+                "cuts": planes(_cuts(hashes[by_hash], buckets)),
                 "twice": planes(counts[by_hash] > 1),
             }
 
@@ -487,7 +487,10 @@ class Dedup:
 
         def send(row):
             keys, twice = zstandard.ZstdDecompressor().decompress(row["keys"]).split(b"\n"), from_planes(row["twice"])
-            for k, a, b in _ranges(np.frombuffer(row["hashes"], np.uint64), buckets):
+            at = from_planes(row["cuts"]).tolist()
+            for k, (a, b) in enumerate(zip(at, at[1:], strict=False)):
+                if a == b:
+                    continue
                 yield {"bucket": k, "keys": zstandard.ZstdCompressor(1).compress(b"\n".join(keys[a:b])), "twice": planes(twice[a:b])}
 
         def judge(group):
@@ -499,7 +502,7 @@ class Dedup:
             serial = {key: i for i, key in enumerate((k for k, n in met.items() if n > 1), 1)}
             return (planes(_names(np.array([serial.get(k, 0) for k in mine], np.int64), group[0]["bucket"], buckets, 0)) for mine in lists)
 
-        return self.exchange(blocks.select("block", "keys", "hashes", "twice"), send, judge, keys="bytes", twice="bytes")
+        return self.exchange(blocks.select("block", "keys", "cuts", "twice"), send, judge, keys="bytes", twice="bytes")
 
     def pairs(self, state: DataFrame, level: int) -> DataFrame:
         """Names the pairs of one round, or, in the last, all neighbours."""
@@ -577,10 +580,15 @@ def _names(serial: np.ndarray, bucket: int, buckets: int, level: int) -> np.ndar
     return np.where(serial > 0, (serial * buckets + bucket) * 8 + level, 0)
 
 
+def _cuts(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins among ascending hashes, and the end."""
+    edges = [k * (1 << 64) // buckets for k in range(1, buckets)]
+    return np.concatenate(([0], np.searchsorted(h, np.array(edges, np.uint64)), [len(h)]))
+
+
 def _ranges(h: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
     """(bucket, from, to) of ascending hashes."""
-    edges = [k * (1 << 64) // buckets for k in range(1, buckets)]
-    at = [0, *np.searchsorted(h, np.array(edges, np.uint64)).tolist(), len(h)]
+    at = _cuts(h, buckets).tolist()
     return ((k, a, b) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b)
 
 
