@@ -439,6 +439,23 @@ def test_pipeline_joins_edited_copies(spark):
     assert kept == set(root) and len(kept) < len(texts) / 2
 
 
+def test_pipeline_joins_a_large_group_of_edited_copies(spark):
+    import corpus_pipeline
+
+    draw = random.Random(13)
+    base = [f"w{draw.randrange(900)}" for _ in range(120)]
+    texts = []
+    for k in range(160):  # many are similar to a lightly edited copy only, or to none
+        copy = list(base)
+        for at in draw.sample(range(120), draw.randrange(1, 9)):
+            copy[at] = f"e{k}" if k % 2 else f"e{at % 3}"
+        texts.append(" ".join(copy))
+    root = brute_similar(texts)
+    table = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table, DATA).collect()}
+    assert kept == set(root) and 10 < len(kept) < len(texts)
+
+
 def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
     import corpus_pipeline
 
