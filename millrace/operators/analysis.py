@@ -17,9 +17,8 @@ def report_map_sum(reports: DataFrame, column: str) -> DataFrame:
 
 
 def report_pages(reports: DataFrame, page: str, values: Column) -> DataFrame:
-    """(value, pages): the pages of every value, in order, repeats kept."""
-    rows = reports.select(F.col(page).alias("page"), F.posexplode(values).alias("at", "value"))
-    return rows.groupBy("value").agg(F.transform(F.array_sort(F.collect_list(F.struct("page", "at"))), lambda x: x["page"]).alias("pages"))
+    """(value, page, n): the pages of every value, and how often it stands there. A row a page, so a hot value is no wide row."""
+    return reports.select(F.col(page).alias("page"), F.explode(values).alias("value")).groupBy("value", "page").agg(F.count("*").alias("n"))
 
 
 def gap_diff(gaps: DataFrame, baseline: DataFrame, held: DataFrame) -> DataFrame:

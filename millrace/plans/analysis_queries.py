@@ -25,8 +25,8 @@ register(
     "SELECT value, sum(k)::BIGINT AS n FROM (SELECT source AS value, 1 AS k FROM reports UNION ALL SELECT template, n_chars FROM reports) GROUP BY value",
     reports=REPORTS,
 )
-register("report_unmapped", lambda reports: A.report_pages(reports, "page", F.array("source")), "SELECT source AS value, list(page ORDER BY page) AS pages FROM reports GROUP BY source", reports=REPORTS)
-register("report_unclassified", lambda reports: A.report_pages(reports, "page", F.array("template", "source", "template")), "SELECT value, list(page ORDER BY page, pos) AS pages FROM (SELECT page, unnest([template, source, template]) AS value, unnest([0, 1, 2]) AS pos FROM reports) GROUP BY value", reports=REPORTS)
+register("report_unmapped", lambda reports: A.report_pages(reports, "page", F.array("source")), "SELECT source AS value, page, count(*) AS n FROM reports GROUP BY ALL", reports=REPORTS)
+register("report_unclassified", lambda reports: A.report_pages(reports, "page", F.array("template", "source", "template")), "SELECT value, page, count(*) AS n FROM (SELECT page, unnest([template, source, template]) AS value FROM reports) GROUP BY ALL", reports=REPORTS)
 GAPS = "SELECT doc_id AS page, 'toxic' AS kind, CAST(toxic AS STRING) AS value FROM {labels} WHERE toxic = 1 OR quality = 0"
 BASE = "SELECT doc_id AS page, 'toxic' AS kind, CAST(quality AS STRING) AS value FROM {labels} WHERE doc_id % 2 = 0"
 HELD = "SELECT doc_id AS page FROM {documents} WHERE doc_id % 3 > 0"
