@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, line_quality, ordinal, toxicity, warc
@@ -54,9 +54,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(spark, docs, tokens_col="tokens").select("doc_id", "domain", "lang", "source", "n_tokens", "n_epochs")
 
 
+def _held_out() -> Column:
+    """Whether crc32(doc_id) mod 3 is 1; a null id has no such remainder and is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = _held_out()
     labels = table(spark, sf_dir, "labels").where(~held_out)
     model = toxicity.train(*toxicity.labelled_sample(docs, labels))
     scored = toxicity.score_toxicity(docs, model)
@@ -66,7 +71,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades 0: poor, 1: good but toxic, 2: good; learned from labels whose crc32(doc_id) mod 3 is not 1."""
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = _held_out()
     labels = table(spark, sf_dir, "labels").where(~held_out)
     rating = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
     model = ordinal.train(*ordinal.graded_sample(docs, labels, rating))

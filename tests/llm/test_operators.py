@@ -480,3 +480,10 @@ def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
     assert left(corpus_pipeline.repeated_substrings, rows) == want(rows, later)
     rows = [(None, passage + " y0"), (None, passage + " y1")]  # at the same word of two null ids
     assert sorted(len(x[1].split()) for x in left(corpus_pipeline.repeated_substrings, rows)) == [1, 26]
+
+
+def test_held_out_is_defined_for_null_ids(spark):
+    from millrace.llm.queries import _held_out
+
+    rows = spark.createDataFrame([(i,) for i in (None, *range(60))], "doc_id long").select("doc_id", _held_out().alias("h")).collect()
+    assert [r.h for r in rows] == [r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in rows]
