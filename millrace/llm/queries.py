@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_quality, ordinal, toxicity, warc
+from . import chat, line_quality, ordinal, spelling, toxicity, warc
 from .common import SPACE, cut, table
 from .decontaminate import find_leaks
 from .html_crf import extract_main_text
 from .line_quality import clean_lines
 from .mixing import mix_sources
+from .negatives import mine_negatives, whole_vectors
 from .recompress import dedup_substrings
 from .simhash import near_duplicates
+from .url_filter import filter_urls
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +102,31 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def _one_deleted(doc_id: Column, word: Column) -> Column:
+    """The word without one code point, drawn by the crc32 of id and word, in one of 31 draws."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+    at = (h % F.length(word)).cast("int")
+    return F.when(h % 31 == 0, F.concat(F.left(word, at), F.substr(word, at + 2))).otherwise(word)
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents"), change=_one_deleted))
+
+
+#: Rules of op12: (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return mine_negatives(whole_vectors(rows), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_html_extraction": op2_html_extraction,
@@ -111,6 +138,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_url_filter": op12_url_filter,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: One level of the tree: a water level for each parent, found among the levels at which a child is full. Children above it get
@@ -225,6 +255,63 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256 FROM d LEFT JOIN kept k USING (doc_id)
 """
 
+#: CRC-32 by its bytes: a table of 256 remainders, then one step a byte. Words meet by what stays when one code point is masked or deleted.
+_SPELLING_SQL = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list(r ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS r FROM range(256) x(i))
+), runs AS (
+  SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+), met AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 7 GROUP BY ALL
+), coded AS (
+  SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS h FROM met
+), summed AS (
+  SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2), lambda k: ('0x' || h[k:k + 1])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS c
+  FROM coded, remainders
+), v AS (
+  SELECT w, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN c % 31 = 0 THEN w[:c % length(w)] || w[c % length(w) + 2:] ELSE w END AS w, n FROM summed)
+  WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2
+), cuts AS (SELECT w, n, k, w[:k - 1] AS a, w[k + 1:] AS b FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS k FROM v)
+), near AS (
+  SELECT x.w, y.w AS o, y.n AS o_n FROM cuts x JOIN cuts y ON x.k = y.k AND x.a = y.a AND x.b = y.b AND x.w <> y.w
+  UNION SELECT x.w, y.w, y.n FROM cuts x JOIN v y ON x.a || x.b = y.w
+  UNION SELECT y.w, x.w, x.n FROM cuts x JOIN v y ON x.a || x.b = y.w
+), best AS (SELECT w, count(*) AS n_near, max(o_n) AS top FROM near GROUP BY w
+), forms AS (
+  SELECT v.w, min(near.o) AS form, any_value(top) AS form_n FROM v JOIN best USING (w) JOIN near ON near.w = v.w AND near.o_n = top WHERE top >= 10 * v.n GROUP BY v.w
+), paths AS (SELECT w, form AS goal FROM forms UNION ALL SELECT p.w, f.form FROM paths p JOIN forms f ON f.w = p.goal
+), roots AS (SELECT w, goal FROM paths p WHERE NOT EXISTS (SELECT 1 FROM forms f WHERE f.w = p.goal))
+SELECT v.w AS word, forms.form, coalesce(roots.goal, v.w) AS root, v.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+FROM v LEFT JOIN best USING (w) LEFT JOIN forms USING (w) LEFT JOIN roots USING (w)
+"""
+
+_URL_SQL = rf"""
+WITH rules(h, p, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+u AS (
+  SELECT row_number() OVER () AS r, page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+)
+SELECT page_id, host, path, h || p AS rule, coalesce(v, 'allow') AS verdict
+FROM u LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(h || p) DESC, length(h) DESC) = 1
+"""
+
+_NEGATIVES_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS alike, list_inner_product(a.v, b.v)::BIGINT AS score FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.r <> b.r
+), p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER w::INT AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor = p.anchor AND NOT n.alike AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
 #: DuckDB SQL of the queries that SQL can express; tests/llm holds the others against brute force.
 ORACLES: dict[str, str] = {
     "op3_quality_rules": _quality_sql(),
@@ -232,4 +319,7 @@ ORACLES: dict[str, str] = {
     "op7_chat_format": _CHAT_SQL,
     "op8_warc": _WARC_SQL,
     "op10_substring_dedup": _SUBSTRING_SQL,
+    "op11_spelling_variants": _SPELLING_SQL,
+    "op12_url_filter": _URL_SQL,
+    "op13_hard_negatives": _NEGATIVES_SQL,
 }
