@@ -1,21 +1,26 @@
-"""Shapes of the eight bundle tables: what a JSON row must hold, as data, and the problems of rows, as one column expression.
+"""Shapes of the eight bundle tables: what a JSON row must hold, as data, and the problems of rows, as one SQL expression.
 
 Shapes are open: other keys pass. strict closes every object that names its members, at any depth.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import SLUG, UUID, VERSION
 
 
+#: The pattern of any text.
+ANY = "(?s)^.*$"
+
+
 @dataclass(frozen=True)
 class Text:
-    pattern: str = "(?s)^.*$"
+    pattern: str = ANY
     least: int = 0
     most: int = 1 << 30
     one_of: tuple[str, ...] = ()
@@ -65,8 +70,19 @@ OPTION = Row({"key": KEY, "name": NAME, "colour": Maybe(Text()), "level": Maybe(
 RULE = Row({"kind": KEY, "category_in": List(Text(one_of=("weapon", "armor", "shield", "jewelry", "clothing", "other"))), "allow_options": List(KEY)}, ("kind", "allow_options"))
 USED = Row({"effect": KEY, "bonus_type": Maybe(Text()), "value": Maybe(Number())}, ("effect",))
 SLOT = Row({"id": Text(least=1), "kind": KEY, "colour": Text(), "min": Number(True, 0), "max": Number(True, 0), "options": Row({"shared": KEY})}, ("id", "kind"))
+WHOLE, SAID = Maybe(Number(True)), Maybe(Text())
+WIKI = Row({"page_id": WHOLE, "revision_id": WHOLE, "title": SAID, "url": Text()}, ("url",))
+# Of two forms: "requires" names two slots, the others a list of them and a count.
+CONSTRAINT = Row({"type": Text(least=1), "slots": List(Text()), "count": Number(True, 0), "if_slot": Text(), "then_slot": Text()}, ("type",))
+WEAPON = Row({"proficiency": SAID, "weapon_type": SAID, "handedness": SAID, "damage_multiplier": Maybe(Number()), "damage_dice": SAID, "damage_bonus": WHOLE, "enhancement_bonus": WHOLE, "damage_types": Maybe(List(Text())), "critical_range": SAID, "critical_multiplier": WHOLE, "attack_mod": SAID, "damage_mod": SAID})
+ARMOR = Row({"armor_type": SAID, "armor_bonus": WHOLE, "armor_bonus_variants": Maybe(List(Row({"name": Text(), "value": Number(True)}, ("name", "value")))), "max_dex_bonus": WHOLE, "armor_check_penalty": WHOLE, "arcane_spell_failure": WHOLE})
+SHIELD = Row({"shield_type": SAID, "shield_bonus": WHOLE, "damage_reduction": WHOLE})
+ITEM = {
+    "id": Text(UUID), "name": NAME, "category": Text(least=1), "item_type": SAID, "introduced_update": SAID, "minimum_level": WHOLE, "binding": SAID, "effects": List(USED), "wiki": WIKI, "slots_status": Text(least=1),
+    "customisation_slots": List(SLOT), "constraints": List(CONSTRAINT), "equip_slots": List(Text()), "weapon_stats": Maybe(WEAPON), "armor_stats": Maybe(ARMOR), "shield_stats": Maybe(SHIELD),
+}
 SHAPES = {
-    "items": Row({"id": Text(UUID), "name": NAME, "category": Text(least=1), "effects": List(USED), "customisation_slots": List(SLOT), "equip_slots": List(Text())}, ("id", "name", "category")),
+    "items": Row(ITEM, ("id", "name", "category")),
     "effects": Row({"key": KEY, "name": NAME, "tooltip": Maybe(Text()), "verified": Flag()}, ("key", "name")),
     "bonus_types": Row({"key": KEY, "name": NAME, "stacks_with_self": Maybe(Flag()), "verified": Flag()}, ("key", "name")),
     "option_lists": Row({"id": KEY, "kind": KEY, "options": List(OPTION, 1)}, ("id", "options")),
@@ -77,53 +93,62 @@ SHAPES = {
 }
 
 
-def _if(bad: Column, problem: str) -> Column:
-    return F.when(bad, F.array(F.lit(problem))).otherwise(F.array().cast("array<string>"))
+_NONE = "cast(array() as array<string>)"
+
+
+def _said(problem: str) -> str:
+    return f"array('{problem}')"
+
+
+def _if(bad: str, problem: str) -> str:
+    return f"if(coalesce({bad}, false), {_said(problem)}, {_NONE})"
+
+
+def _bound(value: str, depth: int, then: Callable[[str], str]) -> str:
+    """then(value) as SQL, with the value named once however often then() uses it."""
+    return f"get(transform(array({value}), x{depth} -> {then(f'x{depth}')}), 0)"
 
 
-def problems(value: Column, shape, path: str = "", strict: bool = False) -> Column:
-    """array<string> of what is wrong with a variant, each with its path. A missing value is the row's affair."""
-    here = path or "."
-    kind = F.schema_of_variant(value)
+def problems(value: str, shape, path: str = "", strict: bool = False, depth: int = 0) -> str:
+    """SQL for array<string> of what is wrong with a variant, each with its path. A missing value is the row's affair."""
+    here, x = path or ".", f"x{depth}"
+    kind = f"schema_of_variant({value})"
     if isinstance(shape, Maybe):
-        return F.when(kind == "VOID", F.array().cast("array<string>")).otherwise(problems(value, shape.inner, path, strict))
+        return f"if({kind} = 'VOID', {_NONE}, {problems(value, shape.inner, path, strict, depth)})"
     if isinstance(shape, Flag):
-        return _if(kind != "BOOLEAN", f"{here}: type")
+        return _if(f"{kind} <> 'BOOLEAN'", f"{here}: type")
     if isinstance(shape, Number):
         # Whole numbers read as BIGINT, others as DECIMAL(p,s) or DOUBLE; 5.0 is a whole number too.
-        number = F.try_variant_get(value, "$", "double")
-        sound = kind.rlike("^(BIGINT|DECIMAL|DOUBLE)") & (F.lit(True) if not shape.whole else number == F.floor(number))
-        low = F.lit(False) if shape.least is None else number < shape.least
-        return F.when(~sound, F.array(F.lit(f"{here}: type"))).otherwise(_if(low, f"{here}: minimum"))
+        number = f"try_variant_get({value}, '$', 'double')"
+        sound = f"{kind} rlike '^(BIGINT|DECIMAL|DOUBLE)'" + (f" and {number} = floor({number})" if shape.whole else "")
+        low = _NONE if shape.least is None else _if(f"{number} < {shape.least}", f"{here}: minimum")
+        return f"if({sound}, {low}, {_said(f'{here}: type')})"
     if isinstance(shape, Text):
-        text = F.try_variant_get(value, "$", "string")
-        bad = ~text.rlike(shape.pattern) | (F.length(text) < shape.least) | (F.length(text) > shape.most)
-        bad = bad | ~text.isin(*shape.one_of) if shape.one_of else bad
-        return F.when(kind != "STRING", F.array(F.lit(f"{here}: type"))).otherwise(_if(bad, f"{here}: text"))
+        tests = [t for t, used in ((f"not {x} rlike r'{shape.pattern}'", shape.pattern != ANY), (f"length({x}) < {shape.least}", shape.least), (f"length({x}) > {shape.most}", shape.most < 1 << 30)) if used]
+        tests += [f"{x} not in ({', '.join(map(repr, shape.one_of))})"] if shape.one_of else []
+        good = _bound(f"try_variant_get({value}, '$', 'string')", depth, lambda _: _if(" or ".join(tests), f"{here}: text")) if tests else _NONE
+        return f"if({kind} <> 'STRING', {_said(f'{here}: type')}, {good})"
     if isinstance(shape, List):
-        rows = F.try_variant_get(value, "$", "array<variant>")
-        inner = F.flatten(F.transform(rows, lambda x: problems(x, shape.item, f"{path}[]", strict)))
-        return F.when(~kind.startswith("ARRAY"), F.array(F.lit(f"{here}: type"))).otherwise(F.concat(_if(F.size(rows) < shape.least, f"{here}: too few"), inner))
+        inner = f"flatten(transform({x}, x{depth + 1} -> {problems(f'x{depth + 1}', shape.item, f'{path}[]', strict, depth + 2)}))"
+        few = [_if(f"size({x}) < {shape.least}", f"{here}: too few")] if shape.least else []
+        return f"if({kind} not like 'ARRAY%', {_said(f'{here}: type')}, {_bound(f"try_variant_get({value}, '$', 'array<variant>')", depth, lambda _: f"concat({', '.join([*few, inner])})")})"
     if isinstance(shape, Table):
-        rows = F.map_values(F.try_variant_get(value, "$", "map<string,variant>"))
-        inner = F.flatten(F.transform(rows, lambda x: problems(x, shape.value, f"{path}{{}}", strict)))
-        return F.when(~kind.startswith("OBJECT"), F.array(F.lit(f"{here}: type"))).otherwise(inner)
+        rows = f"map_values(try_variant_get({value}, '$', 'map<string,variant>'))"
+        return f"if({kind} not like 'OBJECT%', {_said(f'{here}: type')}, flatten(transform({rows}, {x} -> {problems(x, shape.value, f'{path}{{}}', strict, depth + 1)})))"
     found = []
     for name, inner in shape.members.items():
-        own = F.try_variant_get(value, f"$.{name}", "variant")
-        lost = _if(F.lit(name in shape.needed), f"{path}.{name}: missing")
-        found.append(F.when(own.isNull(), lost).otherwise(problems(own, inner, f"{path}.{name}", strict)))
+        lost = _said(f"{path}.{name}: missing") if name in shape.needed else _NONE
+        found.append(_bound(f"try_variant_get({value}, '$.{name}', 'variant')", depth, lambda _, inner=inner, name=name, lost=lost: f"if({x} is null, {lost}, {problems(x, inner, f'{path}.{name}', strict, depth + 1)})"))
     if strict:
-        keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-        found.append(F.transform(F.array_except(keys, F.array(*map(F.lit, shape.members))), lambda k: F.concat(F.lit(f"{path}."), k, F.lit(": unknown"))))
-    return F.when(~kind.startswith("OBJECT"), F.array(F.lit(f"{here}: type"))).otherwise(F.concat(*found))
+        known = ", ".join(map(repr, shape.members))
+        found.append(f"transform(array_except(map_keys(try_variant_get({value}, '$', 'map<string,variant>')), array({known})), {x} -> concat('{path}.', {x}, ': unknown'))")
+    return f"if({kind} not like 'OBJECT%', {_said(f'{here}: type')}, concat({', '.join(found)}))"
 
 
 def shape_problems(rows: DataFrame, strict: bool = False) -> DataFrame:
-    """(table_name, subject, problem) of rows(table_name, subject, json) of the bundle's tables; unreadable JSON is one problem."""
-    value = F.try_parse_json("json")
-    found = F
+    """(table_name, subject, problem) of rows(table_name, subject, json or v variant) of the bundle's tables; unreadable JSON is one problem."""
+    value = F.col("v") if "v" in rows.columns else F.try_parse_json("json")
+    found = F.when(F.col("v").isNull(), F.array(F.lit(".: json")))
     for name, shape in SHAPES.items():
-        found = found.when(F.col("table_name") == name, problems(F.col("v"), shape, "", strict))
-    found = F.when(F.col("v").isNull(), F.array(F.lit(".: json"))).otherwise(found)
+        found = found.when(F.col("table_name") == name, F.expr(problems("v", shape, "", strict)))
     return rows.withColumn("v", value).select("table_name", "subject", F.explode(F.array_distinct(found)).alias("problem"))

@@ -173,23 +173,6 @@ register(
     "SELECT name FROM (VALUES ('items'), ('effects'), ('bonus_types'), ('option_lists'), ('servers'), ('redirects'), ('slot_compat'), ('meta')) v(name) WHERE name NOT IN (SELECT name FROM found)",
     found="SELECT DISTINCT CASE s_suppkey % 4 WHEN 0 THEN 'items' WHEN 1 THEN 'effects' WHEN 2 THEN 'meta' ELSE 'servers' END AS name FROM {supplier}",
 )
-SLOTS = "SELECT o_orderkey AS item, CAST(o_custkey % 5 AS STRING) AS a, CAST(o_orderkey % 3 AS STRING) AS b, CAST(o_custkey % 3 AS STRING) AS c, o_custkey % 4 AS lo, o_orderkey % 4 AS hi, CASE WHEN o_orderkey % 6 > 0 THEN substr(o_orderpriority, 1, 1) END AS list, o_orderkey % 2 = 0 AS has_options FROM {orders}"
-register("val_slot_dup", lambda slots: Q.violations(slots.withColumn("ids", F.array("a", "b", "c")), "slot_dup", "item", F.size("ids") != F.size(F.array_distinct("ids"))), "SELECT 'slot_dup' AS check, item::VARCHAR AS subject FROM slots WHERE a = b OR a = c OR b = c", slots=SLOTS)
-register("val_min_max", lambda slots: Q.violations(slots, "min_max", "item", F.col("has_options") & (F.col("lo") > F.col("hi"))), "SELECT 'min_max' AS check, item::VARCHAR AS subject FROM slots WHERE has_options AND lo > hi", slots=SLOTS)
-register("val_constraint_ref", lambda slots: Q.violations(slots, "constraint_ref", "item", F.size(F.array_except(F.array("c"), F.array("a", "b"))) > 0), "SELECT 'constraint_ref' AS check, item::VARCHAR AS subject FROM slots WHERE c <> a AND c <> b", slots=SLOTS)
-LISTS = "SELECT DISTINCT substr(o_orderpriority, 1, 1) AS id FROM {orders} WHERE o_orderpriority <> '3-MEDIUM'"
-register("val_shared_ref", lambda slots, lists: Q.dangling(slots, "list", lists, "id", "shared_ref", "item"), "SELECT 'shared_ref' AS check, item::VARCHAR AS subject FROM slots WHERE slots.list IS NOT NULL AND slots.list NOT IN (SELECT id FROM lists)", slots=SLOTS, lists=LISTS)
-register(
-    "val_colour_slot",
-    lambda slots, lists: Q.together(
-        [
-            Q.violations(slots, "colour_slot", "item", ~F.col("has_options") & F.col("list").isNull()),
-            Q.dangling(slots.where("not has_options"), "list", lists, "id", "colour_slot", "item"),
-        ]
-    ),
-    "SELECT 'colour_slot' AS check, item::VARCHAR AS subject FROM slots WHERE NOT has_options AND (slots.list IS NULL OR slots.list NOT IN (SELECT id FROM lists))",
-    slots=SLOTS, lists=LISTS,
-)
 REDIRECTS = "SELECT o_orderkey * 2 AS source, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey * 20 END AS target FROM {orders}"
 LIVE = "SELECT o_orderkey AS id FROM {orders} WHERE o_orderkey % 3 > 0"
 register("val_redirect_live", lambda redirects, live: redirects.join(live, redirects["source"] == live["id"], "left_semi").select(F.lit("redirect_live").alias("check"), F.col("source").cast("string").alias("subject")), "SELECT 'redirect_live' AS check, source::VARCHAR AS subject FROM redirects WHERE source IN (SELECT id FROM live)", redirects=REDIRECTS, live=LIVE)
