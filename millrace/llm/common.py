@@ -25,10 +25,27 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+#: Folders that cut() and shelved() wrote in this process, in order.
+WRITTEN: list[str] = []
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    WRITTEN.append(f"{shared_dir(spark)}/{name}")
+    return WRITTEN[-1]
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of WRITTEN that no DataFrame needs any more, in whatever store they lie."""
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df into the shared folder and read it back: cuts the lineage and outlives a lost executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = _new_folder(spark, uuid.uuid4().hex)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -37,7 +54,7 @@ def shelved(df: DataFrame, column: str, shelves: int) -> DataFrame:
     """Write df into the shared folder in so many buckets by a column and read it back: joins on it need no shuffle."""
     spark = df.sparkSession
     name = f"shelf_{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").bucketBy(shelves, column).saveAsTable(name)
+    df.write.option("compression", "zstd").option("path", _new_folder(spark, name)).bucketBy(shelves, column).saveAsTable(name)
     found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only; the rows stay in the shared folder
     return found

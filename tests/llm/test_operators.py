@@ -6,13 +6,14 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
 import xxhash
 
-from millrace.llm import chat, html_crf, ordinal, toxicity, warc
+from millrace.llm import chat, html_crf, minhash, ordinal, toxicity, warc
 from millrace.llm import queries as llm
 from millrace.llm.decontaminate import drop_leaks, find_leaks
 from millrace.llm.graph import components
@@ -391,16 +392,36 @@ def test_pipeline(spark, tmp_path):
         if name != "target_mix":
             assert tuple(docs.columns) == corpus_pipeline.COLUMNS
     clean = set(range(30))
-    assert set(seen["quality_rules"]) == clean - {6, 7}
-    assert set(seen["near_duplicates"]) == clean - {1, 6, 7}
-    assert set(seen["repeated_substrings"]) == clean - {1, 6, 7}
+    assert set(seen["quality_rules"]) == clean - {6}  # a text of one word stays: length alone says nothing
+    assert set(seen["near_duplicates"]) == clean - {1, 6}
+    assert set(seen["repeated_substrings"]) == clean - {1, 6}
     assert passage.split()[3] + " " + passage.split()[4] in " ".join(seen["repeated_substrings"][3].split())
     assert len(seen["repeated_substrings"][4].split()) == len(rows[4][1].split()) - len(passage.split())
-    assert set(seen["benchmark_leaks"]) == clean - {1, 5, 6, 7}
+    assert set(seen["benchmark_leaks"]) == clean - {1, 5, 6}
     assert set(seen["target_mix"]) <= set(seen["benchmark_leaks"]) and seen["target_mix"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(seen["target_mix"])
 
 
+def test_pipeline_removes_what_earlier_stages_left(spark, tmp_path):
+    import corpus_pipeline
+    from millrace.llm.common import WRITTEN
+
+    draw = random.Random(19)
+    text = lambda: " ".join(f"w{draw.randrange(5000)}" for _ in range(90)) + "."
+    rows = [(i, text(), "en", "src0", 0) for i in range(12)]
+    spark.createDataFrame([(1, text())], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, DOCS)
+    folders = lambda paths: [x for x in paths if Path(x.removeprefix("file://")).exists()]
+    before = list(WRITTEN)
+    for at, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        mark, old = len(WRITTEN), folders(WRITTEN)
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{at}")
+        assert not set(folders(WRITTEN[:mark])) - set(folders(before)), "left by an earlier stage"
+        assert set(folders(before)) <= set(old)
+        docs = spark.read.parquet(f"{tmp_path}/{at}")
+    assert docs.count()
+
+
 def brute_similar(texts: list[str | None], similarity: float = 0.8) -> list[int]:
     """The number of the first text of each text's component."""
     low = [WORD.findall((t or "").lower()) for t in texts]
@@ -454,6 +475,14 @@ def test_pipeline_joins_a_large_group_of_edited_copies(spark):
     table = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)], DOCS)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table, DATA).collect()}
     assert kept == set(root) and 10 < len(kept) < len(texts)
+    in_blocks = minhash.keep_similar(table, size=5, similarity=0.8, block=7)
+    assert {r.doc_id for r in in_blocks.collect()} == set(root)
+
+
+def test_overlaps_of_sets():
+    draw = np.random.default_rng(4)
+    x, y = ([np.unique(draw.integers(0, 400, k)) for k in sizes] for sizes in ((0, 5, 300, 90), (200, 0, 1)))
+    assert minhash.overlaps(x, y).tolist() == [[len(np.intersect1d(a, b)) for b in y] for a in x]
 
 
 def test_pipeline_tells_rows_of_one_id_apart(spark, tmp_path):
