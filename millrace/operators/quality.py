@@ -7,7 +7,9 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.canonical import rendered
 from ..functions.text import category_folder, file_slug
 
 # Shapes of item files' paths and of update folders.
@@ -76,6 +78,24 @@ NEEDED, BROKEN = ("id", "wiki.url", "template", "category"), "_broken"
 RECORD = ", ".join(f"{k} {v}" for k, v in MEMBERS.items()) + f", {BROKEN} string"
 
 
+#: The record's type as it is written: an effect's value is the text of its number, since whole numbers and floats are told apart.
+_WRITTEN_DDL = ", ".join(f"{k} {v}" for k, v in MEMBERS.items()).replace(EFFECT, EFFECT.replace("value:double", "value:string"))
+
+
+def written_type() -> StructType:
+    return StructType.fromDDL(_WRITTEN_DDL)
+
+
+def record_text(record: str) -> Column:
+    """The exact text of an item file of a struct of written_type(), newline at the end. The writer and the check share it."""
+    return F.concat(F.expr(rendered(record, written_type(), numbers=frozenset({"effects.value"}))), F.lit("\n"))
+
+
+def canonical_text(record: str) -> Column:
+    """What a column of record texts would be, had the writer written them."""
+    return record_text(f"from_json({record}, '{_WRITTEN_DDL}')")
+
+
 def item_file_checks(files: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
     """The checks of item files(path, record json) against registry(id, page_id), by name."""
     shaped, parsed = path_parts(files), parsed_records(files, RECORD)
@@ -83,13 +103,12 @@ def item_file_checks(files: DataFrame, registry: DataFrame) -> dict[str, DataFra
     broken = reduce(or_, [F.col(f"rec.{c}").isNull() for c in NEEDED], broken)
     good = parsed.where(~F.coalesce(broken, F.lit(True)))
     known = good.join(registry.select(F.col("id").alias("r_id"), F.col("page_id").alias("r_page")), F.col("rec.id") == F.col("r_id"), "left")
-    rendered = F.to_json(F.struct(*[F.col(f"rec.{c}").alias(c) for c in MEMBERS]), {"ignoreNullFields": "false"})
     many = shaped.where("p_uuid is not null").groupBy("p_uuid").agg(F.count("*").alias("n"))
     return {
         "chk_path_shape": violations(shaped, "path_shape", "path", F.col("p_uuid").isNull()),
         "chk_record": violations(parsed, "record", "path", F.coalesce(broken, F.lit(True))),
         "chk_id_filename": violations(good, "id_filename", "path", F.col("rec.id") != F.col("p_uuid")),
-        "chk_canonical": violations(good, "canonical", "path", rendered != F.col("record")),
+        "chk_canonical": violations(good, "canonical", "path", canonical_text("record") != F.col("record")),
         "chk_registered": violations(known, "registered", "path", F.col("r_id").isNull()),
         "chk_page_id": violations(known, "page_id", "path", F.col("r_id").isNotNull() & ~F.col("rec.wiki.page_id").eqNullSafe(F.col("r_page"))),
         "chk_update_folder": violations(good, "update_folder", "path", ~F.col("p_update").rlike(UPDATE)),
