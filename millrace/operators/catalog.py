@@ -10,10 +10,10 @@ from .ledger import first_by
 
 
 def minted_id(page_id: Column, namespace: str = "catalog") -> Column:
-    """A v4-shaped id that depends on the page alone, so a repeated task mints the same one."""
+    """A v4-shaped id that depends on the page alone, so a repeated task mints the same one; null without a page."""
     h = F.md5(F.concat(F.lit(namespace + "|"), page_id.cast("string")).cast("binary"))
     parts = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("4"), F.substring(h, 14, 3)), F.concat(F.lit("a"), F.substring(h, 18, 3)), F.substring(h, 21, 12)]
-    return F.concat_ws("-", *parts)
+    return F.when(page_id.isNotNull(), F.concat_ws("-", *parts))
 
 
 def registry_match(items: DataFrame, registry: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ entries. Everything after it, mapping, coercion, templates, outcomes, is DataFra
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -76,35 +77,85 @@ EFFECT_LABELS = ("enchantments", "enhancements")
 TYPE_BY_CATEGORY = {"Named wands": "Wand", "Rune Arms": "Rune Arm"}
 SKIPPED = r"^(?:Ingredients|Raw ingredients|Consumables without a type|.+ consumables)$"
 
+# What tells the parts of a page by class or id.
+MARKS = ("mw-content-text", "mw-parser-output", "tooltip", "sortkey")
+
 PARSED = "page_id long, kind string, a int, b int, label string, text string, tooltip string, hrefs array<string>, in_bold array<boolean>, texts array<string>, children array<string>, tooltip_items array<string>"
 
 
 class _Page(HTMLParser):
-    """Rows of tables with their cells, and links, of one page. Tooltips and sort keys are set aside."""
+    """Rows of tables with their cells, and links, of one page. Tooltips and sort keys are set aside.
+
+    What is open is counted as tags come and go, per cell, table and list, so no tag or text looks through the stack.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, str]] = []
-        self.links: list[list] = []
+        self.open: Counter[str] = Counter()  # by tag, and by the mark of a class or id
+        self.in_cell: list[Counter[str]] = [Counter()]  # since the last cell began
+        self.in_table: list[Counter[str]] = [Counter()]  # cells and rows since the last table began
+        self.in_list: list[int] = [0]  # list items since the last list or table began
+        self.links: list[dict] = []
         self.tables: list[dict] = []
         self.open_tables: list[dict] = []
-        self.has_body = False
+        self.has_body = self.has_content = False
+
+    def _count(self, tag: str, name: str, by: int) -> None:
+        self.open[tag] += by
+        self.in_cell[-1][tag] += by
+        for mark in MARKS:
+            if mark in name:
+                self.open[mark] += by
+                self.in_cell[-1][mark] += by
+
+    def _push(self, tag: str, name: str) -> None:
+        self.stack.append((tag, name))
+        self._count(tag, name, 1)
+        if tag in ("td", "th"):
+            self.in_cell.append(Counter())
+        if tag in ("td", "th", "tr"):
+            self.in_table[-1][tag] += 1
+        elif tag == "table":
+            self.in_table.append(Counter())
+        if tag in ("ul", "ol", "table"):
+            self.in_list.append(0)
+        elif tag == "li":
+            self.in_list[-1] += 1
+
+    def _pop(self) -> None:
+        tag, name = self.stack.pop()
+        if tag in ("td", "th"):
+            self.in_cell.pop()
+        if tag == "table":
+            self.in_table.pop()
+            if self.open_tables:
+                self.open_tables.pop()
+        elif tag in ("td", "th", "tr"):
+            self.in_table[-1][tag] -= 1
+        if tag in ("ul", "ol", "table"):
+            self.in_list.pop()
+        elif tag == "li":
+            self.in_list[-1] -= 1
+        self._count(tag, name, -1)
 
     def handle_starttag(self, tag, attrs):
-        at = dict(attrs)
-        name = f"{at.get('class') or ''} {at.get('id') or ''}"
         if tag in ("br", "img", "hr", "input", "meta", "link"):
             return
-        if tag in ("td", "th", "tr", "li") and self.stack:
-            ends = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "li": ("li",)}[tag]
-            border = ("ul", "ol", "table") if tag == "li" else ("table",)
-            while any(t in ends for t, _ in self._since(border)):
+        at = dict(attrs)
+        name = f"{at.get('class') or ''} {at.get('id') or ''}"
+        if tag in ("td", "th", "tr"):
+            since = self.in_table[-1]
+            while since["td"] or since["th"] or tag == "tr" and since["tr"]:
                 self._pop()
-        self.stack.append((tag, name))
+        elif tag == "li":
+            while self.in_list[-1]:
+                self._pop()
+        self._push(tag, name)
         self.has_body |= "mw-content-text" in name
+        self.has_content |= "mw-parser-output" in name
         if tag == "table":
-            inside = any("mw-parser-output" in n for _, n in self.stack)
-            table = {"rows": [], "inside": inside}
+            table = {"rows": [], "inside": self.open["mw-parser-output"] > 0}
             self.tables.append(table)
             self.open_tables.append(table)
         elif tag == "tr" and self.open_tables:
@@ -112,73 +163,53 @@ class _Page(HTMLParser):
         elif tag in ("td", "th") and self.open_tables and self.open_tables[-1]["rows"]:
             self.open_tables[-1]["rows"][-1].append({"tag": tag, "parts": [], "links": [], "entries": [], "lists": 0})
         elif tag == "a" and at.get("href"):
-            link = {"href": at["href"], "text": "", "bold": any(t == "b" for t, _ in self.stack), "in_body": any("mw-content-text" in n for _, n in self.stack)}
+            link = {"href": at["href"], "parts": [], "bold": self.open["b"] > 0, "in_body": self.open["mw-content-text"] > 0}
             self.links.append(link)
-            for cell in self._cells():
-                cell["links"].append(link)
+            for t in self.open_tables:
+                if t["rows"] and t["rows"][-1]:
+                    t["rows"][-1][-1]["links"].append(link)
             if (entry := self._entry()) is not None:
                 entry["hrefs"].append(at["href"])
-        elif tag == "ul" and (cell := self._cell()) is not None and not self._in_list():
+        elif tag == "ul" and (cell := self._cell()) is not None and self.in_cell[-1]["ul"] < 2:
             cell["lists"] += 1
         elif tag == "li" and (cell := self._cell()) is not None and cell["lists"] == 1:
-            depth = sum(t == "li" for t, _ in self._since(("td", "th")))
-            if depth == 1:
+            if self.in_cell[-1]["li"] == 1:
                 cell["entries"].append({"text": [], "tooltip": [], "tips": [], "hrefs": [], "children": []})
             elif (entry := self._entry()) is not None:
-                entry["tips" if self._in("tooltip") else "children"].append("")
-
-    def _since(self, borders):
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] in borders:
-                return self.stack[k + 1 :]
-        return self.stack
+                entry["tips" if self.in_cell[-1]["tooltip"] else "children"].append([])
 
-    def _in_list(self):
-        return sum(t == "ul" for t, _ in self._since(("td", "th"))) > 1
-
-    def _in(self, name):
-        return any(name in n for _, n in self._since(("td", "th")))
-
-    def _cells(self):
-        return [t["rows"][-1][-1] for t in self.open_tables if t["rows"] and t["rows"][-1]]
+    def _last_cell(self):
+        """The newest cell of the innermost open table that has one."""
+        return next((t["rows"][-1][-1] for t in reversed(self.open_tables) if t["rows"] and t["rows"][-1]), None)
 
     def _cell(self):
-        found = self._cells()
-        return found[-1] if found and any(t in ("td", "th") for t, _ in self.stack) else None
+        return self._last_cell() if self.open["td"] or self.open["th"] else None
 
     def _entry(self):
-        cell = self._cell()
-        inside = any(t == "li" for t, _ in self._since(("td", "th")))
-        return cell["entries"][-1] if cell and cell["entries"] and inside and cell["lists"] == 1 else None
-
-    def _pop(self):
-        tag, _ = self.stack.pop()
-        if tag == "table" and self.open_tables:
-            self.open_tables.pop()
+        cell = self._cell() if self.in_cell[-1]["li"] else None
+        return cell["entries"][-1] if cell and cell["entries"] and cell["lists"] == 1 else None
 
     def handle_endtag(self, tag):
-        if any(t == tag for t, _ in self.stack):
+        if self.open[tag]:
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
 
     def handle_data(self, data):
-        if any(t in ("script", "style") for t, _ in self.stack):
+        if self.open["script"] or self.open["style"]:
             return
-        if any(t == "a" for t, _ in self.stack) and self.links:
-            self.links[-1]["text"] += data.strip()
-        entry, tip = self._entry(), self._in("tooltip")
+        if self.open["a"] and self.links:
+            self.links[-1]["parts"].append(data.strip())
+        entry, tip = self._entry(), self.in_cell[-1]["tooltip"] > 0
         if entry is not None:
-            depth = sum(t == "li" for t, _ in self._since(("td", "th")))
             if tip:
                 entry["tooltip"].append(data)
-            if depth > 1 and entry["tips" if tip else "children"]:
-                entry["tips" if tip else "children"][-1] += data
+            if self.in_cell[-1]["li"] > 1 and entry["tips" if tip else "children"]:
+                entry["tips" if tip else "children"][-1].append(data)
             elif not tip:
                 entry["text"].append(data)
-        if not tip and not self._in("sortkey"):
-            for cell in self._cells()[-1:]:
-                cell["parts"].append(data.strip())
+        if not tip and not self.in_cell[-1]["sortkey"] and (cell := self._last_cell()) is not None:
+            cell["parts"].append(data.strip())
 
 
 def _clean(text: str) -> str:
@@ -187,13 +218,22 @@ def _clean(text: str) -> str:
 
 def parse_page(page_id: int, text: str | None) -> list[dict]:
     """All relations of one page: kind link (a: position), cell (a: table, b: row) and entry (a: table, b: row, position in texts)."""
+    return _relations(page_id, _read(text))
+
+
+def _read(text: str | None) -> _Page:
     page = _Page()
     page.feed(text or "")
     page.close()
+    return page
+
+
+def _relations(page_id: int, page: _Page) -> list[dict]:
     rows = []
+    said = lambda x: "".join(x["parts"])
     body = [x for x in page.links if x["in_body"]] if page.has_body else page.links
     for k, x in enumerate(body):
-        rows.append({"kind": "link", "a": k, "b": 0, "label": x["href"], "text": x["text"], "in_bold": [x["bold"]]})
+        rows.append({"kind": "link", "a": k, "b": 0, "label": x["href"], "text": said(x), "in_bold": [x["bold"]]})
     for t, table in enumerate(x for x in page.tables if x["inside"]):
         for r, cells in enumerate(table["rows"]):
             head, data = next((c for c in cells if c["tag"] == "th"), None), next((c for c in cells if c["tag"] == "td"), None)
@@ -201,30 +241,47 @@ def parse_page(page_id: int, text: str | None) -> list[dict]:
                 continue
             join = lambda c: " ".join(x for x in c["parts"] if x)
             links = data["links"]
-            rows.append({"kind": "cell", "a": t, "b": r, "label": join(head), "text": join(data), "hrefs": [x["href"] for x in links], "texts": [x["text"] for x in links], "in_bold": [x["bold"] for x in links]})
+            rows.append({"kind": "cell", "a": t, "b": r, "label": join(head), "text": join(data), "hrefs": [x["href"] for x in links], "texts": [said(x) for x in links], "in_bold": [x["bold"] for x in links]})
             for e, entry in enumerate(data["entries"]):
                 if words := _clean("".join(entry["text"])):
                     rows.append(
-                        {"kind": "entry", "a": t, "b": r, "label": str(e), "text": words, "tooltip": _clean(" ".join(entry["tooltip"])) or None, "hrefs": entry["hrefs"], "children": [_clean(x) for x in entry["children"]], "tooltip_items": [_clean(x) for x in entry["tips"]]}
+                        {"kind": "entry", "a": t, "b": r, "label": str(e), "text": words, "tooltip": _clean(" ".join(entry["tooltip"])) or None, "hrefs": entry["hrefs"], "children": [_clean("".join(x)) for x in entry["children"]], "tooltip_items": [_clean("".join(x)) for x in entry["tips"]]}
                     )
     return [{"page_id": page_id, **x} for x in rows]
 
 
-def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """The relation PARSED of all pages. Null html gives no rows. Write or cache it before splitting it by kind."""
+def judged_page(page_id: int, text: str | None, head: str | None) -> list[dict]:
+    """parse_page() with a row of kind page before it: label read, no_content or error with the exception in text; head in tooltip. A page that
+    can't be read has this row only, and no other page suffers."""
+    mark = {"page_id": page_id, "kind": "page", "a": 0, "b": 0, "tooltip": head}
+    try:
+        page = _read(text)
+        return [mark | {"label": "read" if page.has_content else "no_content"}, *_relations(page_id, page)]
+    except Exception as e:  # whatever the parser trips over is this page's outcome
+        return [mark | {"label": "error", "text": f"{type(e).__name__}: {e}"}]
+
+
+def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", head: Column | None = None) -> DataFrame:
+    """The relation PARSED of all pages. Null html gives no rows. Write or cache it before splitting it by kind.
+
+    With head, a text for each page, every page has a row of kind page too, see judged_page().
+    """
     text, numbers = pa.list_(pa.string()), pa.int32()
     schema = pa.schema(
         [("page_id", pa.int64()), ("kind", pa.string()), ("a", numbers), ("b", numbers), ("label", pa.string()), ("text", pa.string()), ("tooltip", pa.string()), ("hrefs", text), ("in_bold", pa.list_(pa.bool_())), ("texts", text), ("children", text), ("tooltip_items", text)]
     )
+    judged = head is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [x for i, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in parse_page(i, h)]
+            each = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            rows = [x for r in each for x in (judged_page(*r) if judged else parse_page(*r))]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     ready(pages.sparkSession)
-    return pages.select(F.col(id_col).cast("long"), F.col(html_col).cast("string")).mapInArrow(run, PARSED)
+    given = [F.col(id_col).cast("long").alias("page_id"), F.col(html_col).cast("string").alias("html"), *([head.cast("string").alias("head")] if judged else [])]
+    return pages.select(*given).mapInArrow(run, PARSED)
 
 
 def page_links(parsed: DataFrame, host: str) -> DataFrame:
@@ -292,17 +349,16 @@ def extraction_errors(values: DataFrame) -> DataFrame:
     return bad.groupBy("page_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("target", "text")))).alias("errors"))
 
 
+def template_of(first: Column, labels: Column) -> Column:
+    """A page's template by its first label, or by any; labels of null texts count too."""
+    known = {"proficiency class": "weapon", "armor type": "armor", "shield type": "shield"}
+    return F.coalesce(coerce.lookup(known, first), F.when(F.array_contains(labels, "item type"), "accessory"), F.lit("accessory_untyped"))
+
+
 def detect_template(mapped: DataFrame) -> DataFrame:
-    """(page_id, template): by the first row's label or any label; null texts count as labels too."""
+    """(page_id, template) of map_rows()."""
     labels = mapped.groupBy("page_id").agg(F.min_by("label", "row_pos").alias("first"), F.collect_set("label").alias("labels"))
-    template = (
-        F.when(F.col("first") == "proficiency class", "weapon")
-        .when(F.col("first") == "armor type", "armor")
-        .when(F.col("first") == "shield type", "shield")
-        .when(F.array_contains("labels", "item type"), "accessory")
-        .otherwise("accessory_untyped")
-    )
-    return labels.select("page_id", template.alias("template"))
+    return labels.select("page_id", template_of(F.col("first"), F.col("labels")).alias("template"))
 
 
 def split_parts(text: Column, separator: str) -> Column:

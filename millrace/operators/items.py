@@ -12,6 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import coerce
 from ..functions.text import page_categories, page_meta
 from ..workers import written
 from . import entries as E
@@ -43,16 +44,31 @@ def picked_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cells, entries.select("page_id", F.col("label").cast("int").alias("entry_pos"), "text", "tooltip", "hrefs", "children", "tooltip_items")
 
 
+def typed_rows(mapped: DataFrame) -> DataFrame:
+    """map_rows() with a typed column c_<coercer> each, null but for the row's own, and whether the text could be read."""
+    used = F.col("target").isNotNull() & ~F.col("is_null")
+    links = F.col("links") if "links" in mapped.columns else F.lit(None).cast("array<struct<href:string,text:string,in_bold:boolean>>")
+    make = {name: f(F.col("text")) for name, f in coerce.COERCERS.items()} | {"location": coerce.location(F.col("text"), links)}
+    rows = mapped.withColumns({f"c_{name}": F.when(used & (F.col("coercer") == name), value) for name, value in make.items()})
+    parts = {"binding": "c_binding.binding is not null", "armor_bonus": "c_armor_bonus.bonus is not null or c_armor_bonus.variants is not null"}
+    read = " or ".join(parts.get(name, f"c_{name} is not null") for name in make)
+    return rows.withColumns({"used": used, "read": F.expr(read)})
+
+
 def typed_fields(cells: DataFrame) -> DataFrame:
-    """(page_id, template, f_<target> of every target, errors map) of the picked cells."""
-    mapped = I.map_rows(cells)
-    values = written(I.coerced(mapped))  # fields and errors read the coerced values, so no coercer runs twice
-    unread = F.col("value").isin('{"v":{}}') | ((F.col("coercer") == "binding") & F.get_json_object("value", "$.v.binding").isNull())
-    errors = I.extraction_errors(values.withColumn("value", F.when(unread, None).otherwise(F.col("value"))))
-    wide = I.pivot_fields(values, tuple(TARGETS))
-    read = {t: F.from_json(t.replace(".", "_"), f"v {KINDS[c]}")["v"].alias(f"f_{t.replace('.', '_')}") for t, c in TARGETS.items()}
-    found = I.detect_template(mapped).join(wide.select("page_id", *read.values()), "page_id", "left").join(errors, "page_id", "left")
-    return found.withColumn("errors", F.coalesce("errors", F.create_map().cast("map<string,string>")))
+    """(page_id, template, f_<target> of every target, errors map) of the picked cells: one row a page, by one aggregation. A target's value is
+    that of its last row that could be read, an error the last text that could not."""
+    rows = typed_rows(I.map_rows(cells))
+    kept = F.when(F.col("used"), F.struct((-F.col("row_pos")).alias("at"), "target", "text", "read", *[f"c_{c}" for c in KINDS]))
+    pages = rows.groupBy("page_id").agg(F.min_by("label", "row_pos").alias("first"), F.collect_set("label").alias("labels"), F.array_sort(F.collect_list(kept), _newest_first).alias("r"))
+    last = [f"get(filter(r, x -> x.target = '{t}' and x.c_{c} is not null), 0).c_{c} as f_{t.replace('.', '_')}" for t, c in TARGETS.items()]
+    unread = "filter(r, x -> not x.read)"
+    errors = f"map_from_entries(array_sort(transform(filter({unread}, (x, i) -> array_position(transform({unread}, y -> y.target), x.target) = i + 1), x -> struct(x.target, x.text)))) as errors"
+    return pages.select("page_id", I.template_of(F.col("first"), F.col("labels")).alias("template"), F.expr(errors), *map(F.expr, last))
+
+
+def _newest_first(x: Column, y: Column) -> Column:
+    return F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0)
 
 
 def entry_fields(entries: DataFrame) -> DataFrame:
@@ -76,13 +92,37 @@ def _group_of(members: dict[str, Column]) -> Column:
     return F.when(reduce(or_, [c.isNotNull() for c in members.values()]), F.struct(*[c.alias(k) for k, c in members.items()]))
 
 
-def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+#: A page's row of kind page carries this beside its outcome, so the html is read once.
+HEAD = "page_key bigint, url string, meta struct<page_id:bigint,revision_id:bigint,title:string,name:string>, categories array<string>"
+
+
+def read_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """The parse of all pages, written once and keyed by row: pages of one id stay apart. Every page has a row of kind page."""
+    key = [F.col(c).alias(n) if c in pages.columns else F.lit(None).alias(n) for c, n in ((id_col, "page_key"), (url_col, "url"))]
+    head = F.to_json(F.struct(*key, page_meta(F.col(html_col)).alias("meta"), page_categories(F.col(html_col)).alias("categories")))
+    return written(I.parse_pages(pages.withColumn("_row", F.monotonically_increasing_id()), "_row", html_col, head))
+
+
+def page_heads(parsed: DataFrame) -> DataFrame:
+    """(page_id, label, text, page_key, url, meta, categories) of read_pages(), one row a page; page_id is the row's key."""
+    return parsed.where("kind = 'page'").select("page_id", "label", "text", F.from_json("tooltip", HEAD).alias("h")).select("page_id", "label", "text", "h.*")
+
+
+def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url", registry: DataFrame | None = None) -> DataFrame:
     """The item row of every page with a table: id, name, wiki, … extraction_errors, every field always, in the schema's order;
-    beside them page_key, the page's key in the input."""
-    parsed = written(I.parse_pages(pages, id_col, html_col))
+    beside them page_key, the page's key in the input. An id is the registry's (id, page_id), else minted from the page id."""
+    return items_of(read_pages(pages, id_col, html_col, url_col), registry).drop("row")
+
+
+def items_of(parsed: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """extract_items() of read_pages(), with row, the page's key in it."""
     cells, entries = picked_rows(parsed)
-    head = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), page_meta(F.col(html_col)).alias("meta"), page_categories(F.col(html_col)).alias("categories"))
+    head = page_heads(parsed).drop("label", "text")
     rows = typed_fields(cells).join(entry_fields(entries), "page_id", "left").join(head, "page_id")
+    own = minted_id(F.col("meta.page_id"))
+    if registry is not None:
+        rows = rows.join(registry.select(F.col("id").alias("known_id"), F.col("page_id").alias("known_page")), F.col("meta.page_id") == F.col("known_page"), "left")
+        own = F.coalesce("known_id", own)
     f = lambda t: F.col(f"f_{t.replace('.', '_')}")
     rows = I.derive(rows.withColumns({"item_type": f("item_type"), "slot": f("slot"), **{f"{k}_type": f(f"{k}_stats.{k}_type") for k in ("weapon", "armor", "shield")}}))
     text = lambda *names: [f(n).alias(n) for n in names]
@@ -99,8 +139,9 @@ def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     effect = "array<struct<name:string,value:double,value_is_float:boolean,value_kind:string,bonus_type:string,tooltip:string,charges:bigint,recharge_per_day:bigint,note:string>>"
     hint = "array<struct<kind:string,raw:string,name:string,colour:string,text:string,children:array<string>>>"
     return rows.select(
-        F.col("page_id").alias("page_key"),
-        minted_id(F.col("meta.page_id")).alias("id"),
+        F.col("page_id").alias("row"),
+        "page_key",
+        own.alias("id"),
         F.col("meta.name").alias("name"),
         F.struct("meta.page_id", "meta.revision_id", "meta.title", "url").alias("wiki"),
         "template",
@@ -119,6 +160,6 @@ def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
         listed("customisation_hints", hint),
         "named_set",
         *text("flavor_text", "notes", "tips"),
-        source.alias("source"),
+        F.when(source.isNotNull(), F.struct(*[source[m].alias(m) for m in ("quests", "detail", "crafted_from", "raw")])).alias("source"),
         F.col("errors").alias("extraction_errors"),
     )

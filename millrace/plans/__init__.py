@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analysis_queries, bundle_queries, catalog_queries, entry_queries, ledger_queries, page_queries, registry, text_queries  # noqa: F401  importing registers the queries
+from . import analysis_queries, bundle_queries, catalog_queries, cycle_queries, entry_queries, ledger_queries, page_queries, registry, text_queries  # noqa: F401  importing registers the queries
 
 
 def core_queries() -> tuple[dict, dict]:

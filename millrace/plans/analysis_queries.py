@@ -143,19 +143,8 @@ def _stream_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(G.OUTPUT).parquet(target)
 
 
-def _stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, target = shared(spark, "pages"), shared(spark, "extracted")
-    relation(spark, sf_dir, "SELECT page_id, url, html FROM {pages}").write.parquet(folder)
-    checkpoint = shared(spark, "extract")
-    for _ in range(2):  # the second run finds nothing new
-        stream = spark.readStream.schema("page_id long, url string, html string").option("maxFilesPerTrigger", 1).parquet(folder)
-        G.stream_extract(stream, lambda batch: batch.select("page_id", F.regexp_extract("html", "(?s)<h1[^>]*>(.*?)</h1>", 1).alias("title")), target, checkpoint)
-    return spark.read.parquet(target).select("page_id", "title")
-
-
-QUERIES |= {"stream_guard": _stream_guard, "stream_extract": _stream_extract}
+QUERIES["stream_guard"] = _stream_guard
 ORACLES |= {
-    "stream_extract": "SELECT page_id, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS title FROM pages",
     "stream_guard": f"""WITH log AS ({LOG.format(events="events")}), stops AS (SELECT run, seq, 'throttled' AS reason, 0 AS k FROM ({_STREAK}) UNION ALL SELECT run, seq, 'failures', 1 FROM ({_RATE}))
     SELECT run, seq, reason FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY seq, k) AS rn FROM stops) WHERE rn = 1""",
 }

@@ -13,14 +13,14 @@ def _rank(update: Column) -> Column:
     return F.coalesce(F.regexp_extract(update, r"^update-(\d+)$", 1).try_cast("int"), F.lit((1 << 31) - 1))
 
 
-def item_records(items: DataFrame) -> DataFrame:
-    """(id, update, category, slug, record) of items in the form of extract_items() with their update; rows without an id have no record."""
+def item_records(items: DataFrame, *more: str) -> DataFrame:
+    """(id, update, category, slug, record, more…) of items in the form of extract_items() with their update; rows without an id have no record."""
     value = lambda e: F.when(e["value_is_float"], e["value"].cast("string")).otherwise(e["value"].cast("bigint").cast("string"))
     members = [x.split(":")[0] for x in EFFECT.removeprefix("struct<").split(",")]
     effects = F.transform("effects", lambda e: F.struct(*[(value(e) if m == "value" else e[m]).alias(m) for m in members]))
     stored = items.where("id is not null").withColumn("effects", effects)
     record = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in written_type()])
-    return stored.select("id", F.coalesce("update", F.lit("unknown")).alias("update"), category_folder(F.col("category")).alias("category"), file_slug(F.col("name")).alias("slug"), record.alias("r")).select("id", "update", "category", "slug", record_text("r").alias("record"))
+    return stored.select("id", F.coalesce("update", F.lit("unknown")).alias("update"), category_folder(F.col("category")).alias("category"), file_slug(F.col("name")).alias("slug"), record.alias("r"), *more).select("id", "update", "category", "slug", record_text("r").alias("record"), *more)
 
 
 def _earliest(held: DataFrame, changes: DataFrame) -> DataFrame:

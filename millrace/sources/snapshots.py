@@ -72,6 +72,30 @@ def _publish(spark: SparkSession, root: str, now: Manifest) -> None:
         stream.close()
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name that a stream keeps as long as its checkpoint: batch numbers begin anew in a new one."""
+    fs, path = _store(spark, f"{checkpoint}/stream-name")
+    if not fs.exists(path):
+        stream = fs.create(path, False)
+        stream.write(bytearray(uuid.uuid4().hex.encode()))
+        stream.close()
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def newest(order: str, key: str) -> Merge:
+    """Of held rows and changes the one with the largest order of each key, whichever came first."""
+
+    def merge(held: DataFrame, changes: DataFrame) -> DataFrame:
+        both = held.unionByName(changes)
+        return both.groupBy(key).agg(F.max_by(F.struct(*both.columns), F.struct(order, *[c for c in both.columns if c not in (order, key)])).alias("_r")).select("_r.*")
+
+    return merge
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
 

@@ -1,12 +1,11 @@
-"""Streaming forms of the run guard and of incremental extraction."""
+"""The run guard as a stream."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -54,14 +53,3 @@ def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "app
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
-
-
-def stream_extract(pages: DataFrame, extract: Callable[[DataFrame], DataFrame], target: str, checkpoint: str) -> StreamingQuery:
-    """Extract the pages that arrive into parquet below target, one folder a batch: a repeated batch replaces its own rows."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        extract(batch).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target)
-
-    query = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
