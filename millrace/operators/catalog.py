@@ -1,4 +1,4 @@
-"""Registry, keyed upserts and link policy of the catalog. Snapshots in, snapshots out."""
+"""Registry and keyed upserts of the catalog. Snapshots in, snapshots out."""
 
 from __future__ import annotations
 
@@ -100,48 +100,3 @@ def revision_change(state: DataFrame, seen: DataFrame) -> DataFrame:
 def upsert_latest(rows: DataFrame, keys: list[str], *newest: str) -> DataFrame:
     """The last write of every key."""
     return first_by(rows, keys, *[F.desc(c) for c in newest])
-
-
-def robots_rules(lines: DataFrame) -> DataFrame:
-    """(group_no, agents, allow, pattern, crawl_delay) of robots lines(pos, line).
-
-    A user-agent line after a rule starts a group; comments and empty rules go; a group without rules has one row of
-    nulls if it sets a delay. A robots file is a small, bounded text, so its lines are ordered in one window.
-    """
-    text = F.trim(F.substring_index("line", "#", 1))
-    parsed = lines.select("pos", F.lower(F.trim(F.substring_index(text, ":", 1))).alias("key"), F.trim(F.regexp_replace(text, "^[^:]*:", "")).alias("value"), text.alias("_text")).where("instr(_text, ':') > 0")
-    parsed = parsed.where("key in ('user-agent', 'allow', 'disallow', 'crawl-delay')")
-    w = Window.partitionBy(F.lit(1)).orderBy("pos")
-    starts = (F.col("key") == "user-agent") & (F.coalesce(F.lag("key").over(w), F.lit("rule")) != "user-agent")
-    grouped = parsed.withColumn("_start", starts.cast("int")).withColumn("group_no", F.sum("_start").over(w)).where("group_no > 0")
-    agents = grouped.where("key = 'user-agent'").groupBy("group_no").agg(F.array_sort(F.collect_set(F.lower("value"))).alias("agents"))
-    delays = grouped.where("key = 'crawl-delay'").groupBy("group_no").agg(F.max_by(F.col("value").try_cast("double"), "pos").alias("crawl_delay"))
-    rules = grouped.where("key in ('allow', 'disallow') and value <> ''").select("group_no", (F.col("key") == "allow").alias("allow"), F.col("value").alias("pattern"))
-    return agents.join(delays, "group_no", "left").join(rules, "group_no", "left").select("group_no", "agents", "allow", "pattern", "crawl_delay")
-
-
-def pattern_regex(pattern: Column) -> Column:
-    """A robots pattern as an anchored regex: * matches anything, a final $ the end."""
-    body = F.regexp_replace(pattern, r"\$$", "")
-    quoted = F.regexp_replace(body, r"([.^$+?()\[\]{}|\\])", r"\\$1")
-    return F.concat(F.lit("^"), F.replace(quoted, F.lit("*"), F.lit(".*")), F.when(pattern.endswith("$"), F.lit("$")).otherwise(F.lit("")))
-
-
-def rules_for(rules: DataFrame, token: str) -> DataFrame:
-    """The rules of the groups whose agents stand in the token, else of the groups for *."""
-    mine = rules.withColumn("_own", F.exists("agents", lambda a: (a != "*") & F.contains(F.lit(token), a)))
-    picked = mine.withColumn("_any", F.max("_own").over(Window.partitionBy(F.lit(1))))
-    return picked.where(F.col("_own") | (~F.col("_any") & F.array_contains("agents", "*"))).drop("_own", "_any")
-
-
-def url_policy(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """urls(url) with allowed: of the rules that match path and query the longest pattern decides, allow on a tie; none: allowed.
-
-    Rules are few and patterns need no equal key, so Spark runs a nested loop over them for every URL.
-    """
-    path = F.nullif(F.regexp_extract("url", r"^[a-z]+://[^/?#]*([^?#]*)", 1), F.lit(""))
-    query = F.regexp_extract("url", r"^[^?#]*(\?[^#]+)", 1)
-    held = urls.withColumn("_target", F.concat(F.coalesce(path, F.lit("/")), query))
-    regex = rules.where("pattern is not null").select("allow", F.length("pattern").alias("_len"), pattern_regex(F.col("pattern")).alias("_regex"))
-    hit = held.select("url", "_target").distinct().join(regex, F.expr("_target rlike _regex")).groupBy("url").agg(F.max(F.struct("_len", "allow")).alias("_best"))
-    return held.join(hit, "url", "left").withColumn("allowed", (F.col("_target") == "/robots.txt") | F.coalesce("_best.allow", F.lit(True))).drop("_target", "_best")

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog as C
 from ..operators import quality as Q
+from ..operators import robots as R
 from ..operators.shapes import shape_problems
 from .registry import register
-from .text_queries import HOST, URLS
+from .text_queries import HOST
 
 _UUID = "substr(md5('{0}|' || CAST({1} AS STRING)), 1, 8) || '-' || substr(md5('{0}|' || CAST({1} AS STRING)), 9, 4) || '-4' || substr(md5('{0}|' || CAST({1} AS STRING)), 14, 3) || '-a' || substr(md5('{0}|' || CAST({1} AS STRING)), 18, 3) || '-' || substr(md5('{0}|' || CAST({1} AS STRING)), 21, 12)"
 REGISTRY = f"SELECT {_UUID.format('old', 'c_custkey')} AS id, c_custkey AS page_id, c_name AS title FROM {{customer}} WHERE c_custkey % 3 > 0"
@@ -78,21 +79,28 @@ register(
 STATE = "SELECT CAST(c_custkey AS STRING) AS page_name, CASE WHEN c_custkey % 5 > 0 THEN c_custkey END AS revision_id FROM {customer}"
 SEEN = "SELECT CAST(c_custkey AS STRING) AS page_name, CASE WHEN c_custkey % 7 > 0 THEN c_custkey + c_custkey % 2 END AS revision_id FROM {customer}"
 register("revision_change", C.revision_change, "SELECT page_name, s.revision_id, n.revision_id AS new_revision FROM state s JOIN seen n USING (page_name) WHERE s.revision_id IS NOT NULL AND n.revision_id IS DISTINCT FROM s.revision_id", state=STATE, seen=SEEN)
-ROBOTS = """
-SELECT n_nationkey AS pos, CASE n_nationkey WHEN 0 THEN '# comment' WHEN 1 THEN 'User-agent: *' WHEN 2 THEN 'Disallow: /page/Special:' WHEN 3 THEN 'Crawl-delay: 2' WHEN 4 THEN '' WHEN 5 THEN 'User-agent: Millbot'
-  WHEN 6 THEN 'User-agent: other' WHEN 7 THEN 'Disallow: /page/' WHEN 8 THEN 'Allow: /page/Item:  # items' WHEN 9 THEN 'Disallow: /*?' WHEN 10 THEN 'Allow: /page/ECONOMY$' WHEN 11 THEN 'Disallow:' WHEN 12 THEN 'Crawl-delay: 5'
-  WHEN 13 THEN 'User-agent: third' WHEN 14 THEN 'Disallow: /' ELSE '' END AS line FROM {nation}"""
+# A robots file for every host of pages; its parity and third digit decide over delays, groups and patterns.
+_HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
+ROBOTS = f"""
+SELECT host, pos, CASE pos WHEN 0 THEN '# comment' WHEN 1 THEN 'User-agent: *' WHEN 2 THEN 'Disallow: /en/' WHEN 3 THEN 'Crawl-delay: 2' WHEN 4 THEN 'Crawl-delay: soon' WHEN 5 THEN CASE WHEN length(host) % 2 = 0 THEN 'User-agent: Mill' ELSE 'User-agent: odd' END
+  WHEN 6 THEN 'user-agent : other' WHEN 7 THEN 'Disallow: /' || substr(host, 1, 1) WHEN 8 THEN 'Allow: /de/  # pages' WHEN 9 THEN 'Disallow: /*?' WHEN 10 THEN 'Allow: /*.html$' WHEN 11 THEN 'Disallow:' WHEN 12 THEN 'Crawl-delay: ' || CAST(length(host) AS STRING)
+  WHEN 13 THEN 'User-agent: millbot' WHEN 14 THEN CASE length(host) % 3 WHEN 0 THEN 'Disallow: /de/1' ELSE 'no rule' END WHEN 15 THEN 'Disallow: /fr/*7' ELSE '' END AS line
+FROM (SELECT DISTINCT {_HOST} AS host FROM {{pages}}) h CROSS JOIN (SELECT n_nationkey AS pos FROM {{nation}}) n"""
+_RULES = """
+SELECT host, 1 AS g, ['*'] AS agents, false AS allow, '/en/' AS pattern, 2.0::DOUBLE AS delay FROM hosts
+UNION ALL SELECT host, 2, CASE WHEN length(host) % 2 = 0 THEN ['mill', 'other'] ELSE ['odd', 'other'] END, a, CASE k WHEN 0 THEN '/' || substr(host, 1, 1) ELSE p END, length(host)::DOUBLE FROM hosts, (VALUES (0, false, ''), (1, true, '/de/'), (2, false, '/*?'), (3, true, '/*.html$')) v(k, a, p)
+UNION ALL SELECT host, 3, ['millbot'], false, '/de/1', NULL FROM hosts WHERE length(host) % 3 = 0
+UNION ALL SELECT host, 3, ['millbot'], false, '/fr/*7', NULL FROM hosts"""
+_WITH = f"WITH hosts AS (SELECT DISTINCT host FROM lines), rules AS ({_RULES})"
+register("robots_rules", R.robots_rules, f"{_WITH} SELECT host, g::BIGINT AS group_no, agents, allow, pattern, delay AS crawl_delay FROM rules", lines=ROBOTS)
+register("crawl_delays", lambda lines: R.crawl_delays(R.rules_for(R.robots_rules(lines), "millbot")), f"{_WITH} SELECT host, max(delay) AS crawl_delay FROM rules WHERE list_contains(agents, 'mill') OR list_contains(agents, 'millbot') GROUP BY host HAVING max(delay) IS NOT NULL", lines=ROBOTS)
+_REGEX = r"""'(?s)^' || replace(regexp_replace(regexp_replace(pattern, '\$$', ''), '([.^$+?()\[\]{}|\\])', '\\\1', 'g'), '*', '.*') || CASE WHEN pattern LIKE '%$' THEN '$' ELSE '' END"""
 register(
-    "robots_rules", lambda lines: C.robots_rules(lines),
-    """SELECT group_no, agents, allow, pattern, crawl_delay FROM (VALUES (1::BIGINT, ['*'], false, '/page/Special:', 2.0::DOUBLE), (2, ['millbot', 'other'], false, '/page/', 5.0), (2, ['millbot', 'other'], true, '/page/Item:', 5.0),
-      (2, ['millbot', 'other'], false, '/*?', 5.0), (2, ['millbot', 'other'], true, '/page/ECONOMY$', 5.0), (3, ['third'], false, '/', NULL)) v(group_no, agents, allow, pattern, crawl_delay)""",
-    lines=ROBOTS,
-)
-register(
-    "url_policy", lambda urls, lines: C.url_policy(urls, C.rules_for(C.robots_rules(lines), "millbot")).select("id", "allowed"),
-    r"""SELECT id, coalesce((SELECT arg_max(allow, len * 2 + allow::INT) FROM (VALUES (false, 6, '^/page/'), (true, 11, '^/page/Item:'), (false, 3, '^/.*\?'), (true, 14, '^/page/ECONOMY$')) r(allow, len, rx) WHERE regexp_matches(t.target, r.rx)), true) AS allowed
-    FROM (SELECT id, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) || regexp_extract(url, '^[^?#]*(\?[^#]+)', 1) AS target FROM urls) t""",
-    urls=URLS, lines=ROBOTS,
+    "url_policy", lambda urls, lines: R.url_policy(urls, R.rules_for(R.robots_rules(lines), "millbot")),
+    rf"""{_WITH}, mine AS (SELECT host, allow, pattern, length(pattern) * 2 + allow::INT AS rank, {_REGEX} AS rx FROM rules WHERE list_contains(agents, 'mill') OR list_contains(agents, 'millbot'))
+    SELECT id, url, coalesce((SELECT arg_max(allow, rank) FROM mine WHERE mine.host = t.host AND regexp_matches(t.target, mine.rx)), true) AS allowed
+    FROM (SELECT *, {_HOST} AS host, coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), ''), '/') || regexp_extract(url, '^[^?#]*(\?[^#]+)', 1) AS target FROM urls) t""",
+    urls="SELECT page_id AS id, url FROM {pages}", lines=ROBOTS,
 )
 
 # Item files: the key decides which one check fails.

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import coerce, text
-from millrace.operators import analysis, catalog, entries, infobox, ledger
+from millrace.operators import analysis, catalog, entries, infobox, ledger, robots
 from millrace.streaming import guard
 
 HOST = "wiki.example.org"
@@ -86,11 +87,44 @@ def test_enqueue_twice_is_a_no_op(spark):
     assert ledger.enqueue(both, links).count() == 0
 
 
+def brute_policy(text: dict[str, list[str]], url: str | None, token: str) -> tuple[bool, float | None]:
+    """Whether a URL is allowed, and its host's delay, by reading the host's lines one after another."""
+    m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)(\?[^#]+)?", url or "")
+    host, target = (m[1].lower(), (m[2] or "/") + (m[3] or "")) if m else ("", None)
+    groups, closed = [], True
+    for line in text.get(host, []):
+        key, colon, value = (x.strip() for x in line.split("#")[0].strip().partition(":"))
+        if key.lower() == "user-agent" and colon:
+            if closed:
+                groups.append({"agents": [], "rules": [], "delay": None})
+            closed = False
+            groups[-1]["agents"].append(value.lower())
+        elif key.lower() in ("allow", "disallow", "crawl-delay") and groups:
+            closed = True
+            if key.lower() == "crawl-delay":
+                groups[-1]["delay"] = float(value) if re.fullmatch(r"[\d.]+", value) else groups[-1]["delay"]
+            elif value:
+                groups[-1]["rules"].append((value, key.lower() == "allow"))
+    mine = [g for g in groups if any(a != "*" and a in token for a in g["agents"])] or [g for g in groups if "*" in g["agents"]]
+    fits = [(len(p), a) for g in mine for p, a in g["rules"] if target is not None and re.match(".*".join(map(re.escape, p.removesuffix("$").split("*"))) + ("$" if p.endswith("$") else ""), target)]
+    return target == "/robots.txt" or max(fits, default=(0, True))[1], max((g["delay"] for g in mine if g["delay"] is not None), default=None)
+
+
 def test_robots(spark):
-    lines = spark.createDataFrame(list(enumerate(["User-agent: *", "Disallow: /a*b$", "Allow: /a", "Disallow: /a"])), "pos int, line string")
-    urls = spark.createDataFrame([("https://h/axb",), ("https://h/axbc",), ("https://h/z",), ("https://h",), ("https://h/robots.txt",)], "url string")
-    got = {r.url: r.allowed for r in catalog.url_policy(urls, catalog.rules_for(catalog.robots_rules(lines), "bot")).collect()}
-    assert got == {"https://h/axb": False, "https://h/axbc": True, "https://h/z": True, "https://h": True, "https://h/robots.txt": True}
+    draw = random.Random(8)
+    pieces = ["/", "a", "b", "*", "$", "?", ".", "/a/"]
+    rule = lambda: f"{draw.choice(['Allow', 'disallow', 'Disallow '])}: {''.join(draw.choices(pieces, k=draw.randrange(5)))}"
+    other = lambda: draw.choice(["User-agent: *", "user-agent: Bot", "User-Agent: x", "Crawl-delay: 5", "Crawl-delay: soon", "Crawl-delay: 2.5 # s", "# note", "", "odd"])
+    text = {f"h{k}": [draw.choice((rule, rule, other))() for _ in range(draw.randrange(14))] for k in range(40)}
+    text["h0"] = ["User-agent: *", "Disallow: /a*b$", "Allow: /a", "Disallow: /a", "Crawl-delay: 5", "Crawl-delay: soon"]
+    lines = spark.createDataFrame([(h, i, x) for h, each in text.items() for i, x in enumerate(each)], "host string, pos int, line string")
+    urls = [None, "", "odd", "https://H0/axb", "https://h0/axbc", "https://h0", "https://h0/robots.txt", "https://h0/axb", "https://none/a"]
+    urls += [f"https://h{draw.randrange(40)}/{''.join(draw.choices(pieces[:3] + pieces[5:], k=draw.randrange(6)))}" for _ in range(300)]
+    rules = robots.rules_for(robots.robots_rules(lines), "mybot")
+    got = robots.url_policy(spark.createDataFrame(list(enumerate(urls)), "i int, url string"), rules)
+    assert {r.i: r.allowed for r in got.collect()} == {i: brute_policy(text, u, "mybot")[0] for i, u in enumerate(urls)}
+    delays = {h: d for h in text if (d := brute_policy(text, f"https://{h}/", "mybot")[1]) is not None}
+    assert {r.host: r.crawl_delay for r in robots.crawl_delays(rules).collect()} == delays and delays["h0"] == 5.0
 
 
 def test_stream_guard_equals_batch_over_micro_batches(spark, tmp_path):
