@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workers import written
+
 
 def report_counts(reports: DataFrame, column: str) -> DataFrame:
     """(value, n) of a column of reports."""
@@ -67,27 +69,67 @@ def log_tally(log: DataFrame) -> DataFrame:
     return log.groupBy("run").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("request", "completed", "failed", "skipped")])
 
 
+#: Columns of segmented(): the segment, in the order of its run.
+SEGMENT = "_seg"
+
+
+def segmented(log: DataFrame, *kinds: str) -> DataFrame:
+    """The rows of log(run, seq, kind) of these kinds, dealt by ranges of run and seq and written so: a segment is one range, in which a run's rows
+    stand together, so a long run is many segments and a small one shares its own with others."""
+    n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(log.where(F.col("kind").isin(*kinds)).select("run", "seq", "kind").repartitionByRange(n, "run", "seq").withColumn(SEGMENT, F.spark_partition_id()))
+
+
+def _carried(rows: DataFrame, **sums: Column) -> DataFrame:
+    """rows with, for each sum over its run's rows, what earlier segments have of it: one row a run and segment is all that is ordered."""
+    each = rows.groupBy("run", SEGMENT).agg(*[F.sum(c).alias(f"_{k}") for k, c in sums.items()])
+    before = Window.partitionBy("run").orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    carried = each.select("run", SEGMENT, *[F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"{k}_before") for k in sums])
+    return rows.join(carried, ["run", SEGMENT])
+
+
+def _running(rows: DataFrame, **sums: Column) -> DataFrame:
+    """rows with the sum of each column over the run so far: within the segment, and what earlier ones carry."""
+    own = Window.partitionBy("run", SEGMENT).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _carried(rows, **sums).withColumns({k: F.col(f"{k}_before") + F.sum(c).over(own) for k, c in sums.items()}).drop(*[f"{k}_before" for k in sums])
+
+
+def _streaks(rows: DataFrame, hit: Column) -> DataFrame:
+    """rows with streak: hits in a row up to each row of the run. A segment's summary is its hits after the last miss, or all of them without one;
+    they add up over segments since the last with a miss."""
+    one = hit.cast("int")
+    own = Window.partitionBy("run", SEGMENT).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = rows.withColumn("_misses", F.sum(1 - one).over(own)).withColumn("_hit", one)
+    misses = marked.groupBy("run", SEGMENT).agg(F.max("_misses").alias("m"))
+    last = marked.join(misses.select("run", SEGMENT, "m"), ["run", SEGMENT]).where("_misses = m")
+    tail = last.groupBy("run", SEGMENT, "m").agg(F.sum("_hit").alias("tail"))
+    in_order = Window.partitionBy("run").orderBy(SEGMENT)
+    since = tail.withColumn("_g", F.sum((F.col("m") > 0).cast("int")).over(in_order))
+    summed = since.withColumn("_out", F.sum("tail").over(Window.partitionBy("run", "_g").orderBy(SEGMENT)))
+    carried = summed.select("run", SEGMENT, F.coalesce(F.lag("_out").over(in_order), F.lit(0)).alias("_in"))
+    stretch = Window.partitionBy("run", SEGMENT, "_misses").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    streak = F.sum("_hit").over(stretch) + F.when(F.col("_misses") == 0, F.col("_in")).otherwise(0)
+    return marked.join(carried, ["run", SEGMENT]).withColumn("streak", streak)
+
+
+def _first(rows: DataFrame, stop: Column) -> DataFrame:
+    return rows.where(stop).groupBy("run").agg(F.min("seq").alias("seq"))
+
+
 def throttle_streak(log: DataFrame, length: int = 3) -> DataFrame:
     """(run, seq) of the first throttled answer that makes `length` in a row; stored pages and plain answers reset, others are neutral."""
-    w = Window.partitionBy("run").orderBy("seq")
-    grouped = log.where("kind in ('throttle', 'stored', 'plain')").withColumn("_g", F.sum(F.when(F.col("kind") != "throttle", 1).otherwise(0)).over(w))
-    streak = F.sum(F.when(F.col("kind") == "throttle", 1).otherwise(0)).over(Window.partitionBy("run", "_g").orderBy("seq"))
-    return grouped.withColumn("streak", streak).where(F.col("streak") == length).groupBy("run").agg(F.min("seq").alias("seq"))
+    rows = segmented(log, "throttle", "stored", "plain")
+    return _first(_streaks(rows, F.col("kind") == "throttle"), (F.col("streak") >= length) & (F.col("kind") == "throttle"))
 
 
 def failure_rate_stop(log: DataFrame, least: int = 3, per: int = 10) -> DataFrame:
     """(run, seq): where first at least `least` failed and failures times `per` exceed what was processed."""
-    w = Window.partitionBy("run").orderBy("seq")
-    done = log.where("kind in ('completed', 'failed', 'skipped')")
-    counted = done.withColumns({"failed": F.sum((F.col("kind") == "failed").cast("int")).over(w), "processed": F.count("*").over(w)})
-    return counted.where((F.col("failed") >= least) & (F.col("failed") * per > F.col("processed"))).groupBy("run").agg(F.min("seq").alias("seq"))
+    rows = _running(segmented(log, "completed", "failed", "skipped"), failed=(F.col("kind") == "failed").cast("int"), processed=F.lit(1))
+    return _first(rows, (F.col("failed") >= least) & (F.col("failed") * per > F.col("processed")))
 
 
 def challenge_switch(log: DataFrame, in_row: int = 3, ratio: float = 0.2, least: int = 10) -> DataFrame:
     """(run, seq): where plain fetching gives way: challenges in a row, or their share of at least `least` fetches too high."""
-    w = Window.partitionBy("run").orderBy("seq")
-    plain = log.where("kind in ('challenge', 'plain', 'stored')").withColumn("_c", (F.col("kind") == "challenge").cast("int"))
-    counted = plain.withColumns({"_g": F.sum(1 - F.col("_c")).over(w), "fetches": F.count("*").over(w), "challenges": F.sum("_c").over(w)})
-    streak = F.sum("_c").over(Window.partitionBy("run", "_g").orderBy("seq"))
-    hit = counted.withColumn("streak", streak).where((F.col("streak") >= in_row) | ((F.col("fetches") >= least) & (F.col("challenges") > ratio * F.col("fetches"))))
-    return hit.groupBy("run").agg(F.min("seq").alias("seq"))
+    hit = F.col("kind") == "challenge"
+    rows = _streaks(_running(segmented(log, "challenge", "plain", "stored"), challenges=hit.cast("int"), fetches=F.lit(1)), hit)
+    return _first(rows, (F.col("streak") >= in_row) | ((F.col("fetches") >= least) & (F.col("challenges") > ratio * F.col("fetches"))))

@@ -90,6 +90,15 @@ def _scan_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.scan_seed(spark, folder).select("page")
 
 
+def _scan_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of runs as files, each in the order of its events, read in splits: message and place of every line."""
+    folder = shared(spark, "logs")
+    rows = relation(spark, sf_dir, LINES).withColumn("run", F.expr("cast(run as bigint) % 5"))
+    rows.repartition("run").sortWithinPartitions("seq").select("run", F.col("line").alias("value")).write.partitionBy("run").text(folder)
+    read = S.text_lines(spark, folder).select(F.regexp_extract("path", "/run=([^/]*)/", 1).alias("run"), F.col("pos").alias("seq"), "line")
+    return S.scan_log(read)
+
+
 def _write_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared(spark, "registry")
     S.write_registry(relation(spark, sf_dir, "SELECT c_mktsegment AS id, c_custkey AS page_id, c_name AS title FROM {customer}"), folder)
@@ -123,8 +132,10 @@ def _scan_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, [*found, missing.select(F.col("name").alias("table_name"), F.lit(None).cast("string"), F.lit("missing"))])
 
 
-QUERIES |= {"scan_seed": _scan_seed, "write_registry": _write_registry, "write_items": _write_items, "scan_items": _scan_items, "scan_bundle": _scan_bundle}
+QUERIES |= {"scan_log_files": _scan_log_files, "scan_seed": _scan_seed, "write_registry": _write_registry, "write_items": _write_items, "scan_items": _scan_items, "scan_bundle": _scan_bundle}
 ORACLES |= {
+    "scan_log_files": f"""SELECT (run::BIGINT % 5)::VARCHAR AS run, row_number() OVER (PARTITION BY run::BIGINT % 5 ORDER BY seq) - 1 AS seq,
+      regexp_replace(replace(line, chr(27) || '[32m2024-01-01 | INFO | ', ''), chr(27) || '\\[0m$', '') AS message FROM ({LINES.format(events='events')})""",
     "scan_seed": "SELECT DISTINCT 'Update_' || s_suppkey::VARCHAR || '_named_items' AS page FROM supplier",
     "write_registry": "SELECT c_mktsegment AS id, c_custkey AS page_id, c_name AS title FROM customer",
     "write_items": "SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 0 THEN upper(p_name) ELSE p_name END AS name, CASE WHEN p_partkey % 7 = 0 THEN 'other' ELSE p_type END AS category, 'update-' || (CASE WHEN p_partkey % 7 = 0 THEN least(p_size, 9) ELSE p_size END)::VARCHAR AS update FROM part",

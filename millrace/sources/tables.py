@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.analysis import log_message
@@ -46,9 +46,14 @@ def upsert_pages(held: DataFrame, fetched: DataFrame) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, pos, line) of whole text files, in order."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    return whole.select("path", F.posexplode(F.split("value", "\n")).alias("pos", "line"))
+    """(path, pos, line) of text files, lines numbered from 0 in each. Large files are read in splits: a split's lines are counted, and what earlier
+    splits of the file hold is a sum over one row a split. An end of file after a line break is no line of its own."""
+    row = F.monotonically_increasing_id().alias("_row")  # ascends within a task, and so within a split
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), row, F.col("value").alias("line"))
+    splits = lines.groupBy("path", "_start").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("path", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    return lines.join(offsets, ["path", "_start"]).select("path", (F.col("_row") + F.col("_offset")).alias("pos"), "line")
 
 
 def scan_seed(spark: SparkSession, path: str) -> DataFrame:

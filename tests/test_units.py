@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import coerce, text
 from millrace.operators import analysis, catalog, entries, infobox, ledger, robots
+from millrace.sources import tables
 from millrace.streaming import guard
 
 HOST = "wiki.example.org"
@@ -143,3 +144,50 @@ def test_stream_guard_equals_batch_over_micro_batches(spark, tmp_path):
         for r in found.collect():
             want[r.run] = min(want.get(r.run, 1 << 60), r.seq)
     assert got == want
+
+
+def test_segmented_scans_equal_one_pass(spark):
+    draw = random.Random(21)
+    kinds = ("throttle", "throttle", "stored", "plain", "browser", "completed", "completed", "completed", "completed", "failed", "skipped", "challenge")
+    rows = [("one", i, draw.choice(kinds if i > 900 else kinds[3:9])) for i in range(3000)]
+    rows += [(f"r{draw.randrange(60)}", i, draw.choice(kinds)) for i in range(1500)]
+    want: dict = {"throttle": {}, "rate": {}, "switch": {}}
+    for run in {r[0] for r in rows}:
+        streak = processed = failed = row = challenges = fetches = 0
+        for _, seq, kind in sorted(r for r in rows if r[0] == run):
+            streak = streak + 1 if kind == "throttle" else 0 if kind in ("stored", "plain") else streak
+            processed += kind in ("completed", "failed", "skipped")
+            failed += kind == "failed"
+            if kind in ("challenge", "plain", "stored"):
+                row, fetches, challenges = (row + 1 if kind == "challenge" else 0), fetches + 1, challenges + (kind == "challenge")
+            for name, stop in (("throttle", streak >= 3), ("rate", failed >= 3 and failed * 10 > processed), ("switch", row >= 3 or (fetches >= 10 and challenges > 0.2 * fetches))):
+                if stop:
+                    want[name].setdefault(run, seq)
+    log = spark.createDataFrame(rows, "run string, seq long, kind string").repartition(3)
+    read = lambda found: {r.run: r.seq for r in found.collect()}
+    assert {"throttle": read(analysis.throttle_streak(log)), "rate": read(analysis.failure_rate_stop(log)), "switch": read(analysis.challenge_switch(log))} == want
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = [r["count"] for r in analysis.segmented(log.where("run = 'one'"), *kinds).groupBy(analysis.SEGMENT).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 3000 and max(sizes) <= 0.1 * 3000  # one run of all rows is many segments
+    assert read(analysis.throttle_streak(log.where("false"))) == {}
+
+
+def test_large_text_files_are_read_in_splits(spark, tmp_path):
+    draw = random.Random(22)
+    lines = {n: [f"{i} " + "é" * draw.randrange(30) for i in range(k)] for n, k in (("a", 20_000), ("b", 3), ("c", 7000))}
+    for n, each in lines.items():
+        (tmp_path / n).write_text("\n".join(each) + ("\n" if n != "b" else ""), encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        read = tables.text_lines(spark, f"file://{tmp_path}")
+        assert read.rdd.getNumPartitions() > 1 and spark.read.text(f"file://{tmp_path}").rdd.getNumPartitions() > 8
+        got: dict = {}
+        for r in read.collect():
+            got.setdefault(r.path.rsplit("/", 1)[1], {})[r.pos] = r.line
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {n: [x[i] for i in range(len(x))] for n, x in got.items()} == lines
