@@ -4,7 +4,7 @@ Only DataFrame expressions; one narrow stage, no shuffle, so one hot source or k
 
 Defined results. Null text counts as empty. An empty text has no words, so base_failed is true and kept
 false; its cleaned text is empty. Repeated rows are judged each for itself. Very long texts are processed
-whole. Extra columns of the input stay unless a new column has the same name (any case); then the new one wins.
+whole. An empty table gives no row. Extra columns of the input stay unless a new column has the same name (any case); then the new one wins.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ Training reads a bounded sample of graded rows (max_rows of each grade, texts of
 narrow stage over whole texts with the broadcast weights, whose size is fixed.
 
 Defined results. Null text counts as empty; a text without words has only its bins and is graded like any other.
-Repeated rows are graded alike. With fewer than two grades among the sample every text gets that one grade.
+Repeated rows are graded alike. With fewer than two grades among the sample every text gets that one grade. Of an id
+under several grades one counts. An empty table gives no row. Texts of any length are graded whole, and only their
+sample is bounded. Other columns of the input are dropped, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ windows under their document's label, then, as only some windows of a toxic text
 each document. Scoring is one narrow stage over whole texts with the broadcast network, whose size is fixed.
 
 Defined results. Null text counts as empty; a text without words scores 0. Repeated rows score alike. Without
-labelled rows of both kinds every score is the share of toxic labels (0 without any).
+labelled rows of both kinds every score is the share of toxic labels (0 without any). An id under both labels stands in the
+sample under both. An empty table gives no row. Texts of any length are scored whole, window after window, and only
+their sample is bounded. Other columns of the input are dropped, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ Content-Length and their block and payload digests are verified while they pass,
 unless its payload is asked for.
 
 Defined results. Null html is an empty payload; a null url has no target header; a null page id is kept as
-null. Of equal payloads of at least min_revisit bytes the row with the largest page id is the response (all
+null. An empty table writes no archive and gives no row. A payload of any length is written whole and read in
+chunks. Columns beyond page_id, url and html are dropped. Of equal payloads of at least min_revisit bytes the row with the largest page id is the response (all
 rows with that id, if it is repeated) and the others revisit it. A damaged member yields one row with error
 set and ends its archive.
 """
