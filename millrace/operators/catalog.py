@@ -44,8 +44,10 @@ def registry_defects(lines: DataFrame) -> DataFrame:
     parsed = lines.where("trim(value) <> ''").withColumns({"_keys": keys, "_id": F.get_json_object("value", "$.id"), "_title": F.get_json_object("value", "$.title")})
     number = F.regexp_extract("value", r'"page_id"\s*:\s*(-?\d+)\s*[,}]', 1)
     parsed = parsed.withColumn("_page", F.nullif(number, F.lit("")).try_cast("bigint"))
-    seen = lambda c: F.when(F.col(c).isNotNull(), F.row_number().over(Window.partitionBy(c).orderBy("line_no")) > 1).otherwise(False)
-    parsed = parsed.withColumn("_page_again", seen("_page")).withColumn("_id_again", seen("_id"))
+    # First lines by key come from partial aggregates over lines that have the key, and go back to them by plain joins.
+    first = lambda c: parsed.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("line_no").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select(c, F.col("_first").alias(f"{c}_first"))
+    for key in ("_page", "_id"):
+        parsed = parsed.join(first(key), key, "left").withColumn(f"{key}_again", F.coalesce(F.col("line_no") > F.col(f"{key}_first"), F.lit(False)))
     problem = (
         F.when(F.col("_keys").isNull(), "not an object")
         .when(F.array_sort("_keys") != F.array(F.lit("id"), F.lit("page_id"), F.lit("title")), "wrong keys")

@@ -45,6 +45,14 @@ def list_listings(state: DataFrame) -> DataFrame:
     return with_number(state, "page_name").orderBy(F.asc_nulls_last("n"), "page_name")
 
 
+def list_or_seed(found: DataFrame, seed: DataFrame) -> DataFrame:
+    """The listings found, or the seed(page_name) where none was found. Reading the result fails if both are empty: nothing could be synced."""
+    none = ~found.exists()
+    lost = none & ~seed.exists()
+    error = found.sparkSession.range(1).where(lost).select(F.raise_error(F.lit("neither the index nor the seed lists a page")).cast("string").alias("page_name"))
+    return found.select("page_name").unionByName(seed.select("page_name").where(none)).unionByName(error)
+
+
 def enqueue(queue: DataFrame, links: DataFrame) -> DataFrame:
     """The rows of links(item_name, update_page, wiki_url, pos) that are new to the queue, each pair once, the first by pos."""
     keys = ["item_name", "update_page"]

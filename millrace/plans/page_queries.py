@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import infobox as I
 from ..operators import items
-from ..operators.ledger import first_by, list_listings, with_number
+from ..operators.ledger import first_by, list_listings, list_or_seed, with_number
 from .registry import register
 from .text_queries import HOST
 
@@ -44,14 +44,9 @@ register(
 SEED = "SELECT 'Update_' || CAST(n_nationkey AS STRING) || '_named_items' AS page_name FROM {nation}"
 
 
-def seed_fallback(found, seed):
-    """found, or the seed where found is empty."""
-    return found.unionByName(seed.join(found.limit(1).select(F.lit(1).alias("_any")), F.lit(True), "left_anti"))
-
-
 register(
     "seed_fallback",
-    lambda index, seed: seed_fallback(with_number(index, "page_name").where("n > 1000").select("page_name"), seed),
+    lambda index, seed: list_or_seed(with_number(index, "page_name").where("n > 1000").select("page_name"), seed),
     r"SELECT page_name FROM seed WHERE NOT EXISTS (FROM index WHERE TRY_CAST(nullif(regexp_extract(page_name, '^Update_(\d+)_named_items$', 1), '') AS INTEGER) > 1000)",
     index=INDEX, seed=SEED,
 )

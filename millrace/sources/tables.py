@@ -14,11 +14,6 @@ def scan_pages(pages: DataFrame) -> DataFrame:
     return pages.orderBy("title")
 
 
-def held_pages(index: DataFrame, files: DataFrame) -> DataFrame:
-    """Index rows whose file exists."""
-    return index.join(files, "file", "left_semi")
-
-
 def missing_files(index: DataFrame, files: DataFrame) -> DataFrame:
     """Index rows whose file is gone."""
     return index.join(files, "file", "left_anti")

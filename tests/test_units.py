@@ -191,3 +191,22 @@ def test_large_text_files_are_read_in_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert {n: [x[i] for i in range(len(x))] for n, x in got.items()} == lines
+
+
+def test_listings_come_from_the_seed_or_not_at_all(spark):
+    frame = lambda *names: spark.createDataFrame([(n,) for n in names], "page_name string")
+    read = lambda found, seed: sorted(r.page_name for r in ledger.list_or_seed(found, seed).collect())
+    assert read(frame("a", "b"), frame("s")) == read(frame("a", "b"), frame()) == ["a", "b"]
+    assert read(frame(), frame("s", "t")) == ["s", "t"]
+    with pytest.raises(Exception, match="neither the index nor the seed"):  # noqa: B017
+        read(frame(), frame())
+
+
+def test_registry_defects_with_many_lines_without_keys(spark):
+    good = '{{"id": "{0:08d}-0000-4000-8000-000000000000", "page_id": {1}, "title": "t"}}'
+    lines = [good.format(1, 1), good.format(2, 1), good.format(1, 3), good.format(4, 4), "", "odd", '{"id": 1}', *['{"title": "x"}'] * 40, good.format(5, "null")]
+    found = catalog.registry_defects(spark.createDataFrame(list(enumerate(lines)), "line_no long, value string"))
+    got = {r.line_no: r.problem for r in found.collect()}
+    assert got == {1: "page_id again", 2: "id again", 5: "not an object", 6: "wrong keys", **dict.fromkeys(range(7, 47), "wrong keys"), 47: "bad page_id"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # no task gathers the lines without a key
