@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.analysis import log_message
+from ..operators.bundle import bundle_rows
 from ..operators.catalog import upsert_latest
 
 
@@ -90,8 +91,9 @@ def write_reports(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def scan_bundle(spark: SparkSession, folder: str, schemas: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The tables of a bundle that are there, JSON lines or arrays below folder/<name>.json, and (name) of those that are missing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select(F.regexp_extract("path", r"/([a-z_]+)\.json(?:/[^/]*)?$", 1).alias("name")).distinct()
-    missing = spark.createDataFrame([(x,) for x in schemas], "name string").join(files, "name", "left_anti")
+    """The tables of a bundle that are there, typed by their schemas, and (name) of those that are missing; see bundle_rows() for the files."""
+    rows, missing = bundle_rows(spark, folder)
+    missing = missing.where(F.col("name").isin(*schemas))
     lost = {x.name for x in missing.collect()}  # at most one row a table of the bundle
-    return {n: spark.read.schema(kind).json(f"{folder}/{n}.json") for n, kind in schemas.items() if n not in lost}, missing
+    typed = lambda name, kind: rows.where(F.col("table_name") == name).select(F.from_json(F.to_json("v"), kind).alias("r")).select("r.*")
+    return {n: typed(n, kind) for n, kind in schemas.items() if n not in lost}, missing

@@ -8,6 +8,7 @@ import json
 import pytest
 
 from millrace.operators.bundle import FILES, bundle_problems, bundle_rows
+from millrace.sources.tables import scan_bundle
 
 _ID = "{}0000000-0000-4000-8000-000000000000"
 SOUND = {
@@ -81,3 +82,14 @@ def test_shapes_and_missing_files_hold_references_back(spark, tmp_path, strict):
     (tmp_path / "b" / FILES["effects"]).write_text('[{"key": "luck", ')
     found = bundle_problems(*bundle_rows(spark, str(tmp_path / "b"))).collect()
     assert {(r.check, r.detail) for r in found} >= {("shape", "effects .: json")} and not any(r.check == "effect_ref" for r in found)
+
+
+def test_tables_of_indented_arrays_and_hyphenated_names(spark, tmp_path):
+    for name, rows in SOUND.items():
+        if name != "servers":
+            (tmp_path / FILES[name]).write_text(json.dumps(rows, indent=2))
+    kinds = {"items": "id string, minimum_level bigint", "bonus_types": "key string", "slot_compat": "colour_compat map<string,array<string>>", "servers": "key string"}
+    tables, missing = scan_bundle(spark, str(tmp_path), kinds)
+    assert [r.name for r in missing.collect()] == ["servers"]
+    assert sorted((r.id, r.minimum_level) for r in tables["items"].collect()) == [(_ID.format("a"), 4), (_ID.format("b"), None)]
+    assert [r.key for r in tables["bonus_types"].collect()] == ["deep"] and tables["slot_compat"].first().colour_compat == {"red": ["red"], "blue": []}
