@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -145,12 +144,22 @@ ORACLES |= {
 
 
 def _stream_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, name = shared(spark, "log"), f"guard_{uuid.uuid4().hex}"
-    relation(spark, sf_dir, LOG).write.parquet(folder)
-    stream = spark.readStream.schema("run string, seq long, kind string").parquet(folder)
-    target, checkpoint = shared(spark, "stops"), shared(spark, "guard")
-    query = G.stream_guard(stream).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
+    """Events reach the stream up to a day after their time, in four runs of it; the last brings a row without a run, far ahead."""
+    folder, target, checkpoint = shared(spark, "log"), shared(spark, "stops"), shared(spark, "guard")
+    log = relation(spark, sf_dir, LOG.replace(" FROM {events}", ", CAST(ts AS TIMESTAMP) AS at FROM {events}"))
+    came = F.unix_seconds("at") + F.pmod(F.xxhash64("seq"), F.lit(86_400))
+    first, last = (x or 0 for x in log.agg(F.min(came), F.max(came)).first())
+    runs = 4
+    for k in range(runs):
+        begun, over = (first + (last - first) * x // runs for x in (k, k + 1))
+        rows = log.where((came >= begun) & ((came < over) | F.lit(k == runs - 1)))
+        if k == runs - 1:
+            ahead = F.timestamp_seconds(F.lit(last + 10 * 86_400))
+            rows = rows.unionByName(spark.range(1).select(ahead.alias("at")), allowMissingColumns=True)
+        rows.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("run string, seq long, kind string, at timestamp").parquet(folder)
+        query = G.stream_guard(stream, "2 days", 21_600).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
     return spark.read.schema(G.OUTPUT).parquet(target)
 
 

@@ -1,51 +1,104 @@
-"""The run guard as a stream."""
+"""The run guard as a stream over rows that come late and out of order."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from ..workers import ready
 
-STATE = "streak long, processed long, failed long, done boolean"
 OUTPUT = "run string, seq long, reason string"
+COUNTS = "streak long, processed long, failed long, done boolean"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Kinds that count; a row waits as its time, its place and the number of its kind.
+KINDS = {"throttle": 0, "stored": 1, "plain": 1, "completed": 2, "skipped": 2, "failed": 3}
+ROW = np.dtype([("us", "<i8"), ("seq", "<i8"), ("code", "i1")])
 
 
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Counters of one run over the new rows in order of seq; a row where a stop rule first holds.
+def first_stop(rows: np.ndarray, streak: int, processed: int, failed: int) -> tuple[tuple[int, str] | None, tuple[int, int, int]]:
+    """Where a stop rule first holds in rows of a run, and its counters after them. Rows are counted by time, then place."""
+    rows = rows[np.lexsort((rows["seq"], rows["us"]))]
+    throttles = streak + np.cumsum(rows["code"] == 0)
+    streaks = throttles - np.maximum.accumulate(np.where(rows["code"] == 1, throttles, 0))
+    done, bad = processed + np.cumsum(rows["code"] >= 2), failed + np.cumsum(rows["code"] == 3)
+    throttled, failures = streaks >= 3, (bad >= 3) & (bad * 10 > done)
+    at = np.flatnonzero(throttled | failures)
+    stop = (int(rows["seq"][at[0]]), "throttled" if throttled[at[0]] else "failures") if len(at) else None
+    return stop, (int(streaks[-1]), int(done[-1]), int(bad[-1]))
 
-    A run's rows of one micro-batch are sorted here; only they are held, and nothing once the run has stopped.
+
+class _Guard(StatefulProcessor):
+    """A run's rows wait in slots of time; a slot is counted when the watermark has passed its end, so nothing can come before it any more."""
+
+    def __init__(self, slot_us: int) -> None:
+        self.slot_us = slot_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getValueState("counts", COUNTS)
+        self.waiting = handle.getMapState("waiting", "slot long", "rows binary")
+
+    def _counts(self) -> tuple:
+        return tuple(self.counts.get()) if self.counts.exists() else (0, 0, 0, False)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        stopped = key[0] is None or self._counts()[3]
+        for batch in rows:  # read to the end, whatever comes of it
+            batch = batch[batch["code"] >= 0]
+            if stopped or not len(batch):
+                continue
+            new = np.empty(len(batch), ROW)
+            for name in ROW.names:
+                new[name] = batch[name]
+            slots = new["us"] // self.slot_us
+            for slot in np.unique(slots).tolist():
+                there = self.waiting.containsKey((slot,))
+                if not there:
+                    self.handle.registerTimer((slot + 1) * self.slot_us // 1000)
+                before = bytes(self.waiting.getValue((slot,))[0]) if there else b""
+                self.waiting.updateValue((slot,), (before + new[slots == slot].tobytes(),))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Every slot that is over, in order; the timers of the others that are over then find nothing."""
+        over = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot_us
+        stops, counts = [], self._counts()
+        for slot in sorted(k[0] for k in list(self.waiting.keys()) if k[0] < over):
+            if not counts[3]:
+                stop, after = first_stop(np.frombuffer(bytes(self.waiting.getValue((slot,))[0]), ROW), *counts[:3])
+                counts = (*after, stop is not None)
+                stops += [(key[0], *stop)] if stop else []
+            self.waiting.removeKey((slot,))
+        self.counts.update(counts)
+        if counts[3]:
+            self.waiting.clear()
+        return iter([pd.DataFrame(stops, columns=["run", "seq", "reason"])] if stops else ())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_guard(log: DataFrame, delay: str = "10 minutes", slot_seconds: int = 60) -> DataFrame:
+    """(run, seq, reason) of a stream log(run, seq, kind, at): where each run first must stop, its rows counted by time and then by place.
+
+    Rows may come in any order as long as none falls behind the latest time of earlier micro-batches, of whichever run, by more than delay;
+    Spark leaves out those that do and counts them in the query's progress. A stop is given once the watermark has passed the end of its slot
+    of slot_seconds, so a stream that ends needs a row of a later time: a row without a run, a place or a counted kind only moves the
+    watermark. A row without a time counts nowhere. A run holds the slots that are not over; a task has one slot of one run in memory. The session's state
+    store becomes RocksDB, which timers need.
     """
-    streak, processed, failed, done = state.get if state.exists else (0, 0, 0, False)
-    stops = []
-    if not done:
-        rows = pd.concat(list(batches)).sort_values("seq")
-        for seq, kind in zip(rows["seq"], rows["kind"], strict=True):
-            if kind == "throttle":
-                streak += 1
-            elif kind in ("stored", "plain"):
-                streak = 0
-            if kind in ("completed", "failed", "skipped"):
-                processed += 1
-                failed += kind == "failed"
-            reason = "throttled" if streak >= 3 else "failures" if failed >= 3 and failed * 10 > processed else None
-            if reason:
-                stops.append((key[0], int(seq), reason))
-                done = True
-                break
-    state.update((streak, processed, failed, done))
-    if stops:
-        yield pd.DataFrame(stops, columns=["run", "seq", "reason"])
-
-
-def stream_guard(log: DataFrame) -> DataFrame:
-    """(run, seq, reason) of a stream log(run, seq, kind): where each run first must stop. seq must not fall between micro-batches."""
     ready(log.sparkSession)
-    return log.select("run", "seq", "kind").groupBy("run").applyInPandasWithState(_advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+    log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    at, seq = F.col("at").cast("timestamp"), F.col("seq").cast("long")
+    code = F.coalesce(*[F.when((F.col("kind") == k) & at.isNotNull() & seq.isNotNull(), n) for k, n in KINDS.items()], F.lit(-1))
+    rows = log.select("run", at.alias("at"), F.coalesce(F.unix_micros(at), F.lit(0)).alias("us"), F.coalesce(seq, F.lit(0)).alias("seq"), code.cast("byte").alias("code"))
+    return rows.withWatermark("at", delay).groupBy("run").transformWithStateInPandas(_Guard(slot_seconds * 1_000_000), OUTPUT, "append", "EventTime")
 
 
 def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

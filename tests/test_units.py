@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
+from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,22 +131,77 @@ def test_robots(spark):
     assert {r.host: r.crawl_delay for r in robots.crawl_delays(rules).collect()} == delays and delays["h0"] == 5.0
 
 
-def test_stream_guard_equals_batch_over_micro_batches(spark, tmp_path):
-    draw = random.Random(2)
-    kinds = ("throttle", "throttle", "stored", "plain", "browser", "completed", "completed", "failed")
-    rows = [(f"r{i % 9}", i, draw.choice(kinds)) for i in range(400)]
-    schema = "run string, seq long, kind string"
-    for k in range(4):  # one file a micro-batch, seq ascending over them
-        spark.createDataFrame(rows[100 * k : 100 * (k + 1)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
-    guard.run_to_table(guard.stream_guard(stream), "stops", f"{tmp_path}/checkpoint")
-    got = {r.run: r.seq for r in spark.table("stops").collect()}
-    log = spark.createDataFrame(rows, schema)
-    want: dict = {}
-    for found in (analysis.throttle_streak(log), analysis.failure_rate_stop(log)):
-        for r in found.collect():
-            want[r.run] = min(want.get(r.run, 1 << 60), r.seq)
-    assert got == want
+def guard_stops(rows: list[tuple]) -> dict:
+    """run -> (seq, reason) of rows (run, seq, kind, at), one at a time in order of time and place."""
+    found, state = {}, {}
+    for run, seq, kind, at in sorted((r for r in rows if None not in r), key=lambda r: (r[3], r[1])):
+        streak, processed, failed = state.get(run, (0, 0, 0))
+        streak = streak + 1 if kind == "throttle" else 0 if kind in ("stored", "plain") else streak
+        processed, failed = processed + (kind in ("completed", "failed", "skipped")), failed + (kind == "failed")
+        state[run] = (streak, processed, failed)
+        if streak >= 3 or (failed >= 3 and failed * 10 > processed):
+            found.setdefault(run, (seq, "throttled" if streak >= 3 else "failures"))
+    return found
+
+
+GUARD = "run string, seq long, kind string, at timestamp"
+
+
+def guarded(spark, folder, batches: list[list[tuple]], delay: str, slot_seconds: int) -> tuple[dict, list]:
+    """What the guard gives over micro-batches in this order, and the progress of the last run; the stream is started again half-way."""
+    dropped = 0
+    for half in (batches[: len(batches) // 2], batches[len(batches) // 2 :]):
+        for batch in half:
+            spark.createDataFrame(batch, GUARD).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+            time.sleep(0.01)  # files are read in the order of their times
+        stream = spark.readStream.schema(GUARD).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
+        query = guard.stream_guard(stream, delay, slot_seconds).writeStream.format("parquet").option("path", f"{folder}/stops").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+        dropped += sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    rows = spark.read.schema(guard.OUTPUT).parquet(f"{folder}/stops").collect()
+    assert len(rows) == len({r.run for r in rows})
+    return {r.run: (r.seq, r.reason) for r in rows}, dropped
+
+
+def test_stream_guard_counts_late_rows_in_order(spark, tmp_path):
+    draw, begun = random.Random(2), datetime(2024, 1, 1)
+    kinds = ("throttle", "stored", "plain", "browser", *["completed"] * 12, "skipped", "failed")
+    rows = [(f"r{draw.randrange(12)}", i, draw.choice(kinds if i % 12 else kinds[:3]), begun + timedelta(seconds=10 * (i // 2))) for i in range(1500)]
+    rows += [("storm", i, "throttle", begun + timedelta(seconds=5 * i)) for i in range(300, 900)]
+    rows += [(None, 1, "throttle", begun), ("gaps", None, "throttle", begun), ("gaps", 2, None, begun), ("gaps", 3, "throttle", None), ("gaps", 4, "throttle", begun)]
+    # A row comes up to 15 minutes after its time, so seq falls within and between micro-batches.
+    rows.sort(key=lambda r: (r[3] or begun) + timedelta(seconds=draw.randrange(900)))
+    batches = [rows[at : at + 350] for at in range(0, len(rows), 350)] + [[(None, None, None, begun + timedelta(days=1))]]
+    got, dropped = guarded(spark, tmp_path, batches, "15 minutes", 120)
+    assert got == guard_stops(rows) and dropped == 0 and len(got) > 6 and {x[1] for x in got.values()} == {"throttled", "failures"}
+
+
+def test_stream_guard_tells_of_rows_behind_the_delay(spark, tmp_path):
+    begun = datetime(2024, 1, 1)
+    at = lambda minutes: begun + timedelta(minutes=minutes)
+    batches = [
+        [("a", 1, "throttle", at(0)), ("a", 2, "throttle", at(1)), ("b", 5, "throttle", at(60))],
+        [("b", 4, "throttle", at(55)), ("b", 3, "throttle", at(52))],
+        [("a", 3, "throttle", at(2)), ("b", 6, "throttle", at(70))],  # 58 minutes behind: not counted
+        [(None, None, None, at(600))],
+    ]
+    got, dropped = guarded(spark, tmp_path, batches, "10 minutes", 60)
+    assert got == {"b": (5, "throttled")} and dropped == 1
+
+
+def test_first_stop_equals_one_row_at_a_time():
+    draw = random.Random(8)
+    for _ in range(300):
+        kinds = [draw.choice(list(guard.KINDS)) for _ in range(draw.randrange(1, 40))]
+        rows = [("r", i, k, draw.randrange(20)) for i, k in enumerate(kinds)]
+        ordered = sorted(rows, key=lambda r: (r[3], r[1]))
+        cut = draw.randrange(len(rows) + 1)
+        stop, state = None, (0, 0, 0)
+        for part in (ordered[:cut], ordered[cut:]):
+            if part and stop is None:
+                draw.shuffle(part)
+                stop, state = guard.first_stop(np.array([(r[3], r[1], guard.KINDS[r[2]]) for r in part], guard.ROW), *state)
+        assert guard_stops(rows).get("r") == stop
 
 
 def test_segmented_scans_equal_one_pass(spark):
