@@ -8,8 +8,8 @@ Training reads a bounded sample of graded rows (max_rows of each grade, texts of
 narrow stage over whole texts with the broadcast weights, whose size is fixed.
 
 Defined results. Null text counts as empty; a text without words has only its bins and is graded like any other.
-Repeated rows are graded alike. With fewer than two grades among the sample every text gets that one grade. Of an id
-under several grades one counts. An empty table gives no row. Texts of any length are graded whole, and only their
+Repeated rows are graded alike. With fewer than two grades among the sample every text gets that one grade. An id
+under several grades teaches none. An empty table gives no row. Texts of any length are graded whole, and only their
 sample is bounded. Other columns of the input are dropped, whatever their names.
 """
 
@@ -136,14 +136,18 @@ def grade(model: dict, texts: list[str | None]) -> np.ndarray:
 
 
 def graded_sample(docs: DataFrame, labels: DataFrame, rating: Column, *, max_rows: int = 1500, max_chars: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """Texts and grades of at most max_rows rows of each grade 0, 1, 2, the first by a hash of their id among texts of at most max_chars."""
-    rated = labels.select(F.col("doc_id").alias("_id"), rating.cast("int").alias("_y")).where("_y between 0 and 2").dropDuplicates(["_id"])
+    """Texts and grades of at most max_rows rows of each grade 0, 1, 2, the first by a hash of their id among texts of at most max_chars.
+
+    An id under two grades teaches none; of the rows of ids that repeat, at most six times max_rows are taken, in the order of that hash.
+    """
+    rated = labels.select(F.col("doc_id").alias("_id"), rating.cast("int").alias("_y")).where("_y between 0 and 2").groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_other"))
+    rated = rated.where("_y = _other").select("_id", "_y")
     short = docs.where(F.length("text") <= max_chars).select(F.col("doc_id").alias("_id"))
     rated = cut(rated.join(short, "_id", "left_semi"))
     parts = [rated.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows) for y in range(3)]
     picked = F.broadcast(parts[0].union(parts[1]).union(parts[2]))  # at most three times max_rows rows of two numbers
     rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).where(F.length("text") <= max_chars)
-    found = sorted(rows.select("doc_id", "text", "_y").limit(6 * max_rows).collect())
+    found = sorted(rows.select("doc_id", "text", "_y").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(6 * max_rows).collect())
     return [x.text for x in found], np.array([x._y for x in found], int)
 
 

@@ -11,8 +11,8 @@ windows under their document's label, then, as only some windows of a toxic text
 each document. Scoring is one narrow stage over whole texts with the broadcast network, whose size is fixed.
 
 Defined results. Null text counts as empty; a text without words scores 0. Repeated rows score alike. Without
-labelled rows of both kinds every score is the share of toxic labels (0 without any). An id under both labels stands in the
-sample under both. An empty table gives no row. Texts of any length are scored whole, window after window, and only
+labelled rows of both kinds every score is the share of toxic labels (0 without any). An id under both labels
+teaches neither. An empty table gives no row. Texts of any length are scored whole, window after window, and only
 their sample is bounded. Other columns of the input are dropped, whatever their names.
 """
 
@@ -326,14 +326,17 @@ def score_texts(model: dict, texts: list[str | None]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, max_rows: int = 1500, max_chars: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most max_rows rows of each label, the first by a hash of their id among texts of at most max_chars."""
+    """Texts and labels of at most max_rows rows of each label, the first by a hash of their id among texts of at most max_chars.
+
+    An id under both labels teaches neither; of the rows of ids that repeat, at most four times max_rows are taken, in the order of that hash.
+    """
     short = docs.where(F.length("text") <= max_chars).select(F.col("doc_id").alias("_id"))
-    marked = labels.where("toxic in (0, 1)").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_y"))
-    marked = cut(marked.dropDuplicates(["_id", "_y"]).join(short, "_id", "left_semi"))
+    marked = labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg(F.min("toxic").alias("_y"), F.max("toxic").alias("_other"))
+    marked = cut(marked.where("_y = _other").select("_id", "_y").join(short, "_id", "left_semi"))
     parts = [marked.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_rows) for y in (0, 1)]
     picked = F.broadcast(parts[0].union(parts[1]))  # at most twice max_rows rows of two numbers
     rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_id")).where(F.length("text") <= max_chars)
-    found = sorted(rows.select("doc_id", "text", "_y").limit(4 * max_rows).collect())
+    found = sorted(rows.select("doc_id", "text", "_y").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * max_rows).collect())
     return [x.text for x in found], np.array([x._y for x in found], np.float32)
 
 

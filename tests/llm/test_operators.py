@@ -314,6 +314,23 @@ def test_samples_fill_up_with_short_texts(spark):
         assert sorted(y.tolist()) == [0] * 5 + [1] * 5 and max(map(len, found)) <= 20
 
 
+def test_samples_leave_out_ids_under_two_labels_and_are_ordered(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"t{i}") for i in range(30)] + [(1, f"again {k}") for k in range(40)] + [(None, "none")]
+    labels = spark.createDataFrame([(i, i // 15) for i in range(30)] + [(2, 1), (3, 0), (20, 0), (4, None), (5, 7), (None, 1)], "doc_id long, toxic int")
+    found = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(5)
+        both = toxicity.labelled_sample(docs, labels, max_rows=15), ordinal.graded_sample(docs, labels, F.col("toxic"), max_rows=15)
+        found.append([sorted(zip(texts, y.tolist(), strict=True)) for texts, y in both])
+    assert found[0] == found[1]
+    for sample, most in zip(found[0], (60, 90), strict=True):
+        ids = {t[1:]: y for t, y in sample if t[0] == "t"}
+        assert not {"2", "20"} & set(ids) and len(sample) <= most and "none" not in {t for t, _ in sample}
+        assert all(y == int(i) // 15 for i, y in ids.items())
+
+
 def test_mixing_passes_on_what_excluded_children_leave(spark):
     rows = [(i, "w " * 100, "xx" if i < 50 else "en", "a" if i < 60 else "b", 0) for i in range(100)]
     weights = spark.createDataFrame([("da", "xx", None, 0.0)], "domain string, lang string, source string, weight double")
