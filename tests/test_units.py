@@ -91,6 +91,20 @@ def test_enqueue_twice_is_a_no_op(spark):
     assert ledger.enqueue(both, links).count() == 0
 
 
+def test_links_of_one_place_go_by_the_order_in_which_they_are_read(spark, tmp_path):
+    given = [(f"i{k}", "p", f"w{(k * 7919 + n * 104729) % 1000:03}", 1) for n in range(4) for k in range(200)]
+    columns = "item_name string, update_page string, wiki_url string, pos long"
+    spark.createDataFrame(given, columns).coalesce(1).write.parquet(f"{tmp_path}/links")
+    first = {}
+    for item, _, url, _ in given:
+        first.setdefault(item, url)
+    queue = spark.createDataFrame([], "id long, item_name string, update_page string")
+    found = ledger.enqueue(queue, spark.read.parquet(f"{tmp_path}/links"))
+    assert {r.item_name: r.wiki_url for r in found.collect()} == first
+    # Tasks fetch rows in any order, so the window's own order must leave no tie open.
+    assert re.search(r"windowspecdefinition\(item_name.*pos#\d+L? ASC[^,]*, _read#\d+L? ASC", found._jdf.queryExecution().analyzed().toString())
+
+
 def brute_policy(text: dict[str, list[str]], url: str | None, token: str) -> tuple[bool, float | None]:
     """Whether a URL is allowed, and its host's delay, by reading the host's lines one after another."""
     m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)(\?[^#]+)?", url or "")
