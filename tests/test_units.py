@@ -282,3 +282,17 @@ def test_registry_defects_with_many_lines_without_keys(spark):
     assert got == {1: "page_id again", 2: "id again", 5: "not an object", 6: "wrong keys", **dict.fromkeys(range(7, 47), "wrong keys"), 47: "bad page_id"}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan  # no task gathers the lines without a key
+
+
+def test_log_files_hold_a_run_in_the_order_of_its_events(spark, tmp_path):
+    from millrace.plans import core_queries
+
+    rows = spark.range(2000).select(F.col("id").alias("event_id"), (F.col("id") * 7 % 50).alias("user_id"), F.lit("click").alias("event_type"), F.col("id").cast("double").alias("value"))
+    rows.orderBy(F.desc("event_id")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    lines: dict[str, list[tuple[int, float]]] = {}
+    for r in core_queries()[0]["scan_log_files"](spark, str(tmp_path)).collect():
+        lines.setdefault(r.run, []).append((r.seq, float(r.message.split("|")[1])))
+    assert len(lines) == 5
+    for found in lines.values():
+        values = [v for _, v in sorted(found)]
+        assert values == sorted(values)
