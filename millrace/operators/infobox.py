@@ -6,7 +6,8 @@ entries. Everything after it, mapping, coercion, templates, outcomes, is DataFra
 
 from __future__ import annotations
 
-from collections import Counter
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..functions.text import clean_text, normalize_label, page_categories, slot_slug
-from ..workers import ready
+from ..workers import ready, spread
 
 # Label -> (target, coercer); labels that are counted only; labels of the effects cell.
 FIELDS = {
@@ -80,6 +81,9 @@ SKIPPED = r"^(?:Ingredients|Raw ingredients|Consumables without a type|.+ consum
 # What tells the parts of a page by class or id.
 MARKS = ("mw-content-text", "mw-parser-output", "tooltip", "sortkey")
 
+#: Tags as most stand, in lower case and without attributes; none of them starts raw text.
+PLAIN, PLAIN_END = (re.compile(f"<{slash}(a|b|i|li|p|table|td|th|tr|ul)>") for slash in ("", "/"))
+
 PARSED = "page_id long, kind string, a int, b int, label string, text string, tooltip string, hrefs array<string>, in_bold array<boolean>, texts array<string>, children array<string>, tooltip_items array<string>"
 
 
@@ -92,19 +96,36 @@ class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, str]] = []
-        self.open: Counter[str] = Counter()  # by tag, and by the mark of a class or id
-        self.in_cell: list[Counter[str]] = [Counter()]  # since the last cell began
-        self.in_table: list[Counter[str]] = [Counter()]  # cells and rows since the last table began
+        self.open: dict[str, int] = defaultdict(int)  # by tag, and by the mark of a class or id
+        self.in_cell: list[dict[str, int]] = [defaultdict(int)]  # since the last cell began
+        self.in_table: list[dict[str, int]] = [defaultdict(int)]  # cells and rows since the last table began
         self.in_list: list[int] = [0]  # list items since the last list or table began
         self.links: list[dict] = []
         self.tables: list[dict] = []
         self.open_tables: list[dict] = []
         self.has_body = self.has_content = False
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Nobody asks for line numbers."""
+        return j
+
+    def parse_starttag(self, i: int) -> int:
+        if not (m := PLAIN.match(self.rawdata, i)):
+            return super().parse_starttag(i)
+        self.lasttag = m[1]
+        self.handle_starttag(m[1], [])
+        return m.end()
+
+    def parse_endtag(self, i: int) -> int:
+        if self.cdata_elem is not None or not (m := PLAIN_END.match(self.rawdata, i)):
+            return super().parse_endtag(i)
+        self.handle_endtag(m[1])
+        return m.end()
+
     def _count(self, tag: str, name: str, by: int) -> None:
         self.open[tag] += by
         self.in_cell[-1][tag] += by
-        for mark in MARKS:
+        for mark in MARKS if len(name) > 1 else ():
             if mark in name:
                 self.open[mark] += by
                 self.in_cell[-1][mark] += by
@@ -113,11 +134,11 @@ class _Page(HTMLParser):
         self.stack.append((tag, name))
         self._count(tag, name, 1)
         if tag in ("td", "th"):
-            self.in_cell.append(Counter())
+            self.in_cell.append(defaultdict(int))
         if tag in ("td", "th", "tr"):
             self.in_table[-1][tag] += 1
         elif tag == "table":
-            self.in_table.append(Counter())
+            self.in_table.append(defaultdict(int))
         if tag in ("ul", "ol", "table"):
             self.in_list.append(0)
         elif tag == "li":
@@ -262,7 +283,8 @@ def judged_page(page_id: int, text: str | None, head: str | None) -> list[dict]:
 
 
 def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", head: Column | None = None) -> DataFrame:
-    """The relation PARSED of all pages. Null html gives no rows. Write or cache it before splitting it by kind.
+    """The relation PARSED of all pages. Null html gives no rows. Write or cache it before splitting it by kind. Pages are dealt to all cores
+    first: a table of short rows is one file and one task, whatever its pages grow to.
 
     With head, a text for each page, every page has a row of kind page too, see judged_page().
     """
@@ -281,7 +303,7 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
 
     ready(pages.sparkSession)
     given = [F.col(id_col).cast("long").alias("page_id"), F.col(html_col).cast("string").alias("html"), *([head.cast("string").alias("head")] if judged else [])]
-    return pages.select(*given).mapInArrow(run, PARSED)
+    return spread(pages.select(*given), "page_id", "html").mapInArrow(run, PARSED)
 
 
 def page_links(parsed: DataFrame, host: str) -> DataFrame:

@@ -158,7 +158,7 @@ FROM {{part}} WHERE p_partkey % 10 < 8"""
 
 def flat_items(pages):
     """Items with their nested fields as columns."""
-    rows = items.extract_items(pages.repartition("page_id"))
+    rows = items.extract_items(pages)
     stats = [F.col(f"{g}.{m}").alias(f"{g}_{m}") for g in ("weapon_stats", "armor_stats", "shield_stats", "wiki", "source") for m in rows.schema[g].dataType.names if m != "armor_bonus_variants"]
     plain = [c for c in rows.columns if c not in ("weapon_stats", "armor_stats", "shield_stats", "wiki", "source", "effects", "customisation_hints", "named_set", "extraction_errors")]
     said = lambda c, *names: F.transform(c, lambda x: F.concat_ws("|", *[F.coalesce(x[n].cast("string"), F.lit("-")) for n in names])).alias(c)

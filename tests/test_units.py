@@ -6,6 +6,7 @@ import random
 import re
 import time
 from datetime import datetime, timedelta
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -296,3 +297,23 @@ def test_log_files_hold_a_run_in_the_order_of_its_events(spark, tmp_path):
     for found in lines.values():
         values = [v for _, v in sorted(found)]
         assert values == sorted(values)
+
+
+def test_plain_tags_are_read_as_the_parser_reads_them():
+    class Slow(infobox._Page):
+        parse_starttag, parse_endtag = HTMLParser.parse_starttag, HTMLParser.parse_endtag
+
+    draw = random.Random(4)
+    parts = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "<th class='tooltip'>", "</th>", "<ul>", "</ul>", "<li>", "</li>", "<b>", "</b>", "<a>", "<a href='/page/x'>", "</a>", "<p>", "</P>", "<TD>", "<td", "<b/>", "</b x>", "<script>", "</script>", "<div class='mw-parser-output'>", "</div>", "x &amp; y", "<", "</", ">", "&", " "]
+    for _ in range(400):
+        text = "<div class='mw-parser-output'><table><tr>" + "".join(draw.choices(parts, k=60))
+        slow = Slow()
+        slow.feed(text)
+        slow.close()
+        assert infobox.parse_page(1, text) == infobox._relations(1, slow), text
+
+
+def test_one_small_file_is_parsed_on_all_cores(spark, tmp_path):
+    spark.range(40).selectExpr("id as page_id", "'<a href=\"/page/x\">x</a>' as html").coalesce(1).write.parquet(f"{tmp_path}/pages")
+    found = infobox.parse_pages(spark.read.parquet(f"{tmp_path}/pages")).withColumn("task", F.spark_partition_id())
+    assert found.count() == 40 and found.select("task").distinct().count() > 3
