@@ -49,7 +49,7 @@ def _rows(nested, *more: str):
 
 def one_check(nested, check: str):
     """(check, subject) of one check of the nested rows."""
-    return B.reference_problems(B.bundle_facts(_rows(nested))).where(F.col("check") == check).select("check", "subject", "detail")
+    return B.one_check(_rows(nested), check).select("check", "subject", "detail")
 
 
 register("bundle_problems", lambda nested: B.bundle_problems(_rows(nested)), _ALL, nested=NESTED)

@@ -93,3 +93,16 @@ def test_tables_of_indented_arrays_and_hyphenated_names(spark, tmp_path):
     assert [r.name for r in missing.collect()] == ["servers"]
     assert sorted((r.id, r.minimum_level) for r in tables["items"].collect()) == [(_ID.format("a"), 4), (_ID.format("b"), None)]
     assert [r.key for r in tables["bonus_types"].collect()] == ["deep"] and tables["slot_compat"].first().colour_compat == {"red": ["red"], "blue": []}
+
+
+def test_one_check_reads_the_rows_once(spark, tmp_path):
+    from millrace.plans.bundle_queries import one_check
+
+    item = '{"id":"a","name":"n","category":"weapon","customisation_slots":[{"id":"s0","kind":"k","min":2,"max":1,"options":{"shared":"lost"}},{"id":"s0","kind":"k","colour":"c"}],"constraints":[{"type":"max","slots":["s9"],"count":1}]}'
+    spark.createDataFrame([("items", "a", item)], "table_name string, subject string, json string").write.parquet(f"{tmp_path}/nested")
+    nested = spark.read.parquet(f"{tmp_path}/nested")
+    found = {"min_max": "slot s0", "slot_dup": "slot s0", "constraint_ref": "slot s9", "shared_ref": "unknown option_list lost"}
+    for check, detail in found.items():
+        rows = one_check(nested, check)
+        assert [tuple(r) for r in rows.collect()] == [(check, "a", detail)]
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [table_name") <= (check != "shared_ref"), check
