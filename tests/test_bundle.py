@@ -106,3 +106,10 @@ def test_one_check_reads_the_rows_once(spark, tmp_path):
         rows = one_check(nested, check)
         assert [tuple(r) for r in rows.collect()] == [(check, "a", detail)]
         assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation [table_name") <= (check != "shared_ref"), check
+
+
+def test_the_schema_of_a_whole_row_is_never_made():
+    from millrace.operators.shapes import SHAPES, problems
+
+    for name, shape in SHAPES.items():
+        assert "schema_of_variant(v)" not in problems("v", shape, strict=True), name
