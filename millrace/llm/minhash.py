@@ -1,12 +1,14 @@
-"""Near-duplicates by true shingle similarity: MinHash bands propose pairs, the whole shingle sets decide.
+"""Near-duplicates by true shingle similarity: SimHash and then MinHash bands propose pairs, the whole shingle sets decide.
 
-Two texts link when the Jaccard similarity of their sets of word shingles reaches a threshold. A text's set gets
+Two texts link when the Jaccard similarity of their sets of word shingles reaches a threshold. Texts of equal sets are one node.
+Every text gets the SimHash of its shingles, and fingerprints at most LIMIT bits apart meet by multi-index hashing, as in simhash.
+At 0.8 most pairs lie further apart than that, so what SimHash does not propose is found by MinHash: a text's set gets
 BANDS keys of ROWS minima each; a pair of similarity s shares a key with probability 1 - (1 - s^ROWS)^BANDS, which
-is 1 - 3e-6 at 0.8. Texts of equal sets are one node. Nodes under one key meet the key's lead, the node with the least
+is 1 - 3e-6 at 0.8. Nodes under one key meet the key's lead, the node with the least
 share of shingles that no other node has, then one node of another component, so large groups join by few pairs. What is then
 still in two components under a key is compared whole, in blocks: 0-1 matrices of nodes and shingles, whose products are the sizes of
 all intersections; only pairs that join components become rows. A shingle that no other node has is in no intersection, so the counts
-alone rule out pairs, and nodes, of edited copies. Only the sets of texts that share a key travel.
+alone rule out pairs, and nodes, of edited copies. Only the sets of texts that share a key, or are near by SimHash, travel.
 
 Defined results. Null text counts as empty; all texts without words have the same empty set and are copies of each
 other. A text of fewer words than a shingle is one shingle; texts of any length are read whole. Rows are told apart by a key
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import ROW, cut, first_rows, keyed, small_batches
 from .graph import components
-from .simhash import shingle_hashes
+from .simhash import fingerprint_links, majority_bits, shingle_hashes
 
+#: Bits in which fingerprints of a proposed pair may differ.
+LIMIT = 4
 ROWS = 5
 BANDS = 32
 #: Pairs of one text are spread over so many copies of its set.
@@ -55,19 +59,21 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(row, id, whole, n, keys): hash and size of the shingle set of every row of keyed docs, and its band keys."""
+    """(row, id, whole, n, keys, fp): hash and size of the shingle set of every row of keyed docs, its band keys and its fingerprint."""
     small_batches(docs.sparkSession)
-    names = ["row", "id", "whole", "n", "keys"]
+    names = ["row", "id", "whole", "n", "keys", "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(x.as_py(), size) for x in batch.column(2)]
+            hashes = [np.array(shingle_hashes(x.as_py(), size), np.uint64) for x in batch.column(2)]
+            sets = [np.unique(x) for x in hashes]
+            fp = pa.array(np.array([majority_bits(x) for x in hashes], np.uint64).view(np.int64))
             whole = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())
             keys = pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), whole, pa.array([len(x) for x in sets], pa.int64()), keys], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), whole, pa.array([len(x) for x in sets], pa.int64()), keys, fp], names)
 
     slim = docs.select(F.col(ROW).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "row long, id long, whole binary, n long, keys array<long>")
+    return slim.mapInArrow(run, "row long, id long, whole binary, n long, keys array<long>, fp long")
 
 
 def shingle_sets(docs: DataFrame, text_col: str, size: int) -> DataFrame:
@@ -91,15 +97,28 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.where(both >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - both) - 1e-9).select("a", "b")
 
 
+def near_by_simhash(heads: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: pairs of heads(node, n, fp) by SimHash whose sizes allow the similarity. Nodes of one fingerprint meet the least of them,
+    and that one those of the fingerprints at most LIMIT bits away, by links of the same components as all such pairs."""
+    least = cut(heads.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("x")).select("fp", "x.*"))
+    side = lambda s: least.select(F.col("fp").alias(s), F.col("node").alias(f"node_{s}"), F.col("n").alias(f"n_{s}"))
+    apart = fingerprint_links(least.select("fp"), LIMIT).distinct().join(side("a"), "a").join(side("b"), "b")
+    equal = heads.select("fp", F.col("node").alias("node_a"), F.col("n").alias("n_a")).join(side("fp_b").withColumnRenamed("fp_b", "fp"), "fp").where("node_a <> node_fp_b")
+    ends = ("node_a", "n_a", "node_b", "n_b")
+    pairs = apart.select(*ends).union(equal.select("node_a", "n_a", "node_fp_b", "n_fp_b")).where(F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b") - 1e-9)
+    return cut(pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
+
+
 def similar_links(heads: DataFrame, sets_of, similarity: float, block: int = BLOCK) -> DataFrame:
-    """(a, b): links whose components are those of all pairs of heads(node, n, keys) that share a key and are similar.
+    """(a, b): links whose components are those of all pairs of heads(node, n, keys, fp) that share a key or are near by SimHash and are similar.
 
-    sets_of(nodes) gives (node, shingles) of nodes(node).
+    sets_of(nodes) gives (node, shingles) of nodes(node). Of fingerprints that lie near each other the links are compared, not all pairs.
     """
+    near = near_by_simhash(heads, similarity)
     met = heads.select("node", "n", F.explode("keys").alias("key"))
     shared = met.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     sharing = cut(met.join(shared.select("key"), "key"))
-    sets = cut(sets_of(sharing.select("node").distinct()))
+    sets = cut(sets_of(sharing.select("node").union(near.select("a")).union(near.select("b")).distinct()))
     met_once = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
     lone = met_once.groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
     members = cut(sharing.join(lone, "node", "left").select("key", "node", "n", F.coalesce("lone", F.lit(0)).alias("lone")))
@@ -113,7 +132,7 @@ def similar_links(heads: DataFrame, sets_of, similarity: float, block: int = BLO
     ends = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     lead = members.groupBy("key").agg(F.min(F.struct((F.col("lone") / F.greatest("n", F.lit(1))).alias("share"), "node", "n", "lone")).alias("lead"))
     met_lead = members.join(lead, "key").where((F.col("node") != F.col("lead.node")) & fits("", "lead."))
-    tried = cut(met_lead.select(*ends(F.col("node"), F.col("lead.node"))).distinct())
+    tried = cut(near.union(met_lead.select(*ends(F.col("node"), F.col("lead.node")))).distinct())
     links = cut(_similar(tried, sets, similarity))
     # Of a key with two nodes one is the lead, so their pair has been compared or ruled out.
     members = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2").select("key"), "key", "left_semi")
@@ -247,9 +266,9 @@ def keep_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """docs without near-duplicates: of each component one row stays, that of the smallest id; rows with a null id come last."""
     rows = keyed(docs)
     marks = sketches(rows, id_col, text_col, size)
-    first = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row", "n", "keys")).alias("h")
-    heads = cut(marks.groupBy("whole").agg(first).select("h.id", F.col("h.row").alias("node"), "h.n", "h.keys"))
+    first = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row", "n", "keys", "fp")).alias("h")
+    heads = cut(marks.groupBy("whole").agg(first).select("h.id", F.col("h.row").alias("node"), "h.n", "h.keys", "h.fp"))
     sets_of = lambda nodes: shingle_sets(rows.join(nodes.select(F.col("node").alias(ROW)), ROW, "left_semi"), text_col, size)
-    roots = components(similar_links(heads.select("node", "n", "keys"), sets_of, similarity, block))
+    roots = components(similar_links(heads.select("node", "n", "keys", "fp"), sets_of, similarity, block))
     placed = heads.select("id", "node").join(roots, "node", "left")
     return first_rows(rows, placed.select(F.col("node").alias("row"), "id", F.coalesce("root", "node").alias("part")), docs.columns)

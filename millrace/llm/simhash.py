@@ -50,9 +50,9 @@ def shingle_hashes(text: str | None, size: int) -> list[int]:
     return [digest(line[a:b], SEED) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)]
 
 
-def majority_bits(hashes: list[int]) -> int:
+def majority_bits(hashes: list[int] | np.ndarray) -> int:
     """The bits set in over half of the hashes, as an unsigned number."""
-    if not hashes:
+    if not len(hashes):
         return 0
     total = np.zeros(BITS, np.int64)
     every = np.array(hashes, ">u8")

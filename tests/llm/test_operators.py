@@ -20,7 +20,7 @@ from millrace.llm.graph import components
 from millrace.llm.line_quality import clean_lines, passing
 from millrace.llm.mixing import mix_sources
 from millrace.llm.recompress import dedup_substrings
-from millrace.llm.simhash import fingerprint_links, keep_one, near_duplicates
+from millrace.llm.simhash import fingerprint_links, keep_one, majority_bits, near_duplicates, shingle_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 DATA = "/root/testdata/sf0.001"
@@ -496,6 +496,23 @@ def test_pipeline_joins_a_large_group_of_edited_copies(spark):
     assert {r.doc_id for r in in_blocks.collect()} == set(root)
 
 
+def test_pipeline_links_by_simhash_what_shares_no_minhash_key(spark):
+    draw = random.Random(21)
+    base = [f"w{draw.randrange(900)}" for _ in range(300)]
+    edited = [[*base[:k], "new", *base[k + 1 :]] for k in (40, 90, 299)]
+    others = [[f"o{draw.randrange(900)}" for _ in range(n)] for n in (300, 4, 5)]
+    texts = [" ".join(x) for x in (base, *edited, *others, base[:200])]
+    hashes = [shingle_hashes(x, 5) for x in texts]
+    marks = np.array([majority_bits(x) for x in hashes], np.uint64)
+    distance = np.bitwise_count(marks[:, None] ^ marks[None])
+    assert {r.node for r in components(spark.createDataFrame([(int(a), int(b)) for a, b in zip(*np.nonzero(distance <= 4), strict=True)], "a long, b long")).collect()} >= set(range(4))
+    rows = [(k, len(set(h)), [k], f) for k, (h, f) in enumerate(zip(hashes, marks.view(np.int64).tolist(), strict=True))]
+    heads = spark.createDataFrame(rows, "node long, n long, keys array<long>, fp long")
+    sets = spark.createDataFrame([(k, np.unique(np.array(h, np.uint64)).view(np.int64).tolist()) for k, h in enumerate(hashes)], "node long, shingles array<long>")
+    links = minhash.similar_links(heads, lambda nodes: sets.join(nodes, "node", "left_semi"), 0.8)
+    assert {r.node: r.root for r in components(links).collect()} == dict.fromkeys(range(4), 0)
+
+
 def test_overlaps_of_sets():
     draw = np.random.default_rng(4)
     x, y = ([np.unique(draw.integers(0, 400, k)) for k in sizes] for sizes in ((0, 5, 300, 90), (200, 0, 1)))
