@@ -7,8 +7,10 @@ import re
 import time
 from datetime import datetime, timedelta
 from html.parser import HTMLParser
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +206,68 @@ def test_stream_guard_tells_of_rows_behind_the_delay(spark, tmp_path):
     assert got == {"b": (5, "throttled")} and dropped == 1
 
 
+class StateInMemory:
+    """The state of one run with its timers, which counts the calls to it."""
+
+    def __init__(self) -> None:
+        self.value, self.slots, self.timers, self.calls = None, {}, set(), 0
+
+    def _call(self, result=None):
+        self.calls += 1
+        return result
+
+    def getValueState(self, *_):  # noqa: N802
+        return SimpleNamespace(get=lambda: self._call(self.value), update=lambda x: self._call(setattr(self, "value", x)))
+
+    def getMapState(self, *_):  # noqa: N802
+        there = self.slots
+        return SimpleNamespace(
+            containsKey=lambda k: self._call(k in there), getValue=lambda k: self._call(there[k]), updateValue=lambda k, v: self._call(there.update({k: v})),
+            removeKey=lambda k: self._call(there.pop(k)), keys=lambda: self._call(iter(list(there))), clear=lambda: self._call(there.clear()),
+        )
+
+    def registerTimer(self, at):  # noqa: N802
+        self._call(self.timers.add(at))
+
+
+def guard_in_memory(rows: list[tuple], batches: int, delay_s: int, slot_s: int) -> tuple[list, StateInMemory]:
+    """Stops of one run's rows (run, seq, kind, second) in this order, by the guard's own calls, and its state."""
+    state, one, watermark, stops = StateInMemory(), guard._Guard(slot_s * 1_000_000), 0, []
+    one.init(state)
+    size = -(-len(rows) // batches)
+    for part in [rows[at : at + size] for at in range(0, len(rows), size)] + [[]]:
+        new = pd.DataFrame([(r[3] * 1_000_000, r[1], guard.KINDS.get(r[2], -1)) for r in part], columns=["us", "seq", "code"])
+        if len(new):
+            list(one.handleInputRows(("r",), iter([new[:7], new[7:]]), None))
+        watermark = max(watermark, max((r[3] for r in part), default=10**7) - delay_s)
+        for at in sorted(x for x in state.timers if x <= watermark * 1000):
+            state.timers.remove(at)
+            found = one.handleExpiredTimer(("r",), SimpleNamespace(getCurrentWatermarkInMs=lambda w=watermark: w * 1000), None)
+            stops += [tuple(x) for f in found for x in f.itertuples(index=False)]
+    return stops, state
+
+
+@pytest.mark.parametrize("held", [3, 40, 1 << 16])
+def test_guard_gives_the_same_however_rows_wait(monkeypatch, held):
+    monkeypatch.setattr(guard, "HELD", held)
+    draw, stopped = random.Random(held), 0
+    for _ in range(200):
+        kinds = ["throttle", "stored", "plain", "browser", *["completed"] * draw.choice((1, 12)), "skipped", "failed"]
+        rows = [("r", i, draw.choice(kinds), 10 * (i // 2)) for i in range(draw.randrange(1, 150))]
+        rows.sort(key=lambda r: r[3] + draw.randrange(300))
+        stops, state = guard_in_memory(rows, draw.randrange(1, 7), 300, draw.choice((7, 60, 5000)))
+        want = guard_stops(rows).get("r")
+        assert stops == ([("r", *want)] if want else []) and not state.slots
+        stopped += want is not None
+    assert 50 < stopped < 200 and not state.value[6]
+
+
+def test_guard_calls_do_not_grow_with_slots():
+    for n in (100, 1000):
+        _, state = guard_in_memory([("r", i, "completed", 60 * i) for i in range(n)], 4, 300, 60)
+        assert state.calls <= 8 * 5
+
+
 def test_first_stop_equals_one_row_at_a_time():
     draw = random.Random(8)
     for _ in range(300):
