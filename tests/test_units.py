@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import coerce, text
 from millrace.operators import analysis, catalog, entries, infobox, ledger, robots
+from millrace.plans import core_queries
 from millrace.sources import tables
 from millrace.streaming import guard
 
@@ -283,6 +284,17 @@ def test_first_stop_equals_one_row_at_a_time():
         assert guard_stops(rows).get("r") == stop
 
 
+@pytest.mark.parametrize("name", ["chk_canonical", "chk_registered"])
+def test_heavy_work_on_a_small_file_runs_on_all_cores(spark, tmp_path, name):
+    """The rows of one small file, whose texts are long, are checked by more than one task."""
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    plan = core_queries()[0][name](spark, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/part.parquet").rdd.getNumPartitions() == 1 and len(plan.inputFiles()) >= cores
+    told = plan.withColumn("task", F.spark_partition_id())
+    assert told.select("task").distinct().count() > 1
+
+
 def test_segmented_scans_equal_one_pass(spark):
     draw = random.Random(21)
     kinds = ("throttle", "throttle", "stored", "plain", "browser", "completed", "completed", "completed", "completed", "failed", "skipped", "challenge")
