@@ -129,8 +129,8 @@ def bonus_type(own: Column, hrefs: Column, text: Column | None, tooltip: Column,
     return F.coalesce(F.lower(own), F.lower(linked), from_text, from_tooltip)
 
 
-def effects(captured: DataFrame) -> DataFrame:
-    """The effect rows: name, value, value_is_float, value_kind, bonus_type, charges, recharge_per_day."""
+def effects(captured: DataFrame, *more: str) -> DataFrame:
+    """The effect rows: name, value, value_is_float, value_kind, bonus_type, charges, recharge_per_day, note, and more columns."""
     rows = captured.where("kind = 'effect'")
     kind = lookup({r.id: r.value_kind for r in RULES if r.value_kind}, F.col("rule"))
     raw = F.col("g_value").try_cast("double")
@@ -153,6 +153,7 @@ def effects(captured: DataFrame) -> DataFrame:
         F.col("g_charges").try_cast("bigint").alias("charges"),
         F.col("g_recharge").try_cast("bigint").alias("recharge_per_day"),
         "note",
+        *more,
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -81,8 +82,14 @@ SKIPPED = r"^(?:Ingredients|Raw ingredients|Consumables without a type|.+ consum
 # What tells the parts of a page by class or id.
 MARKS = ("mw-content-text", "mw-parser-output", "tooltip", "sortkey")
 
-#: Tags as most stand, in lower case and without attributes; none of them starts raw text.
-PLAIN, PLAIN_END = (re.compile(f"<{slash}(a|b|i|li|p|table|td|th|tr|ul)>") for slash in ("", "/"))
+#: Text and the tag behind it, as most stand: in lower case, values in double quotes and without references; none of them starts raw text.
+STEP = re.compile(r'([^<]*)<(/?)(a|b|body|dd|div|dl|dt|em|h[1-6]|head|html|i|li|ol|p|small|span|strong|sub|sup|table|tbody|td|th|thead|tr|ul)((?: [a-z-]+="[^"<>&]*")*)>')
+VALUES = re.compile(' ([a-z-]+)="([^"]*)"')
+VOID = frozenset(("br", "img", "hr", "input", "meta", "link"))
+
+# What is counted since a cell began, and since a table began.
+UL, LI, TOOLTIP, SORTKEY = range(4)
+CELLS, ROWS = range(2)
 
 PARSED = "page_id long, kind string, a int, b int, label string, text string, tooltip string, hrefs array<string>, in_bold array<boolean>, texts array<string>, children array<string>, tooltip_items array<string>"
 
@@ -95,14 +102,16 @@ class _Page(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str]] = []
-        self.open: dict[str, int] = defaultdict(int)  # by tag, and by the mark of a class or id
-        self.in_cell: list[dict[str, int]] = [defaultdict(int)]  # since the last cell began
-        self.in_table: list[dict[str, int]] = [defaultdict(int)]  # cells and rows since the last table began
+        self.stack: list[tuple[str, tuple[bool, ...] | None]] = []  # tags, and which marks each has
+        self.open: dict[str, int] = defaultdict(int)  # by tag
+        self.bodies = self.contents = self.open_cells = 0  # open elements with the first two marks; open cells
+        self.in_cell: list[list[int]] = [[0] * 4]  # since the last cell began
+        self.in_table: list[list[int]] = [[0] * 2]  # since the last table began
         self.in_list: list[int] = [0]  # list items since the last list or table began
         self.links: list[dict] = []
         self.tables: list[dict] = []
         self.open_tables: list[dict] = []
+        self.last: dict | None = None  # the newest cell of the innermost open table that has one
         self.has_body = self.has_content = False
 
     def updatepos(self, i: int, j: int) -> int:
@@ -110,108 +119,151 @@ class _Page(HTMLParser):
         return j
 
     def parse_starttag(self, i: int) -> int:
-        if not (m := PLAIN.match(self.rawdata, i)):
-            return super().parse_starttag(i)
-        self.lasttag = m[1]
-        self.handle_starttag(m[1], [])
-        return m.end()
+        if (k := self._steps(i)) == i and (k := super().parse_starttag(i)) > 0 and self.cdata_elem is None:
+            return self._steps(k)
+        return k
 
     def parse_endtag(self, i: int) -> int:
-        if self.cdata_elem is not None or not (m := PLAIN_END.match(self.rawdata, i)):
-            return super().parse_endtag(i)
-        self.handle_endtag(m[1])
-        return m.end()
-
-    def _count(self, tag: str, name: str, by: int) -> None:
-        self.open[tag] += by
-        self.in_cell[-1][tag] += by
-        for mark in MARKS if len(name) > 1 else ():
-            if mark in name:
-                self.open[mark] += by
-                self.in_cell[-1][mark] += by
+        if self.cdata_elem is None and (k := self._steps(i)) > i:
+            return k
+        k = super().parse_endtag(i)
+        return self._steps(k) if k > 0 and self.cdata_elem is None else k
+
+    def _steps(self, i: int) -> int:
+        """Reads from i on as far as tags stand as in STEP; where that ends."""
+        while m := STEP.match(self.rawdata, i):
+            text, slash, tag, values = m.groups()
+            if text:
+                self.handle_data(unescape(text) if "&" in text else text)
+            if slash:
+                self.handle_endtag(tag)
+            elif values:
+                self.handle_starttag(tag, VALUES.findall(values))
+            else:
+                self._start(tag, "", None)
+            i = m.end()
+        return i
+
+    def _mark(self, marks: tuple[bool, ...], by: int) -> None:
+        body, content, tooltip, sortkey = marks
+        self.bodies += by * body
+        self.contents += by * content
+        self.in_cell[-1][TOOLTIP] += by * tooltip
+        self.in_cell[-1][SORTKEY] += by * sortkey
 
     def _push(self, tag: str, name: str) -> None:
-        self.stack.append((tag, name))
-        self._count(tag, name, 1)
-        if tag in ("td", "th"):
-            self.in_cell.append(defaultdict(int))
-        if tag in ("td", "th", "tr"):
-            self.in_table[-1][tag] += 1
-        elif tag == "table":
-            self.in_table.append(defaultdict(int))
-        if tag in ("ul", "ol", "table"):
-            self.in_list.append(0)
+        marks = None
+        if len(name) > 1 or tag in MARKS:
+            marks = tuple(m in name or m == tag for m in MARKS)
+            marks = marks if any(marks) else None
+        self.stack.append((tag, marks))
+        self.open[tag] += 1
+        if marks:
+            self._mark(marks, 1)
+        if tag == "td" or tag == "th":
+            self.open_cells += 1
+            self.in_cell.append([0] * 4)
+            self.in_table[-1][CELLS] += 1
+        elif tag == "tr":
+            self.in_table[-1][ROWS] += 1
         elif tag == "li":
+            self.in_cell[-1][LI] += 1
             self.in_list[-1] += 1
+        elif tag == "ul":
+            self.in_cell[-1][UL] += 1
+            self.in_list.append(0)
+        elif tag == "ol":
+            self.in_list.append(0)
+        elif tag == "table":
+            self.in_table.append([0] * 2)
+            self.in_list.append(0)
 
     def _pop(self) -> None:
-        tag, name = self.stack.pop()
-        if tag in ("td", "th"):
+        tag, marks = self.stack.pop()
+        self.open[tag] -= 1
+        if tag == "td" or tag == "th":
+            self.open_cells -= 1
             self.in_cell.pop()
-        if tag == "table":
+            self.in_table[-1][CELLS] -= 1
+        elif tag == "tr":
+            self.in_table[-1][ROWS] -= 1
+        elif tag == "li":
+            self.in_cell[-1][LI] -= 1
+            self.in_list[-1] -= 1
+        elif tag == "ul":
+            self.in_cell[-1][UL] -= 1
+            self.in_list.pop()
+        elif tag == "ol":
+            self.in_list.pop()
+        elif tag == "table":
             self.in_table.pop()
+            self.in_list.pop()
             if self.open_tables:
                 self.open_tables.pop()
-        elif tag in ("td", "th", "tr"):
-            self.in_table[-1][tag] -= 1
-        if tag in ("ul", "ol", "table"):
-            self.in_list.pop()
-        elif tag == "li":
-            self.in_list[-1] -= 1
-        self._count(tag, name, -1)
+                self.last = self._last_cell()
+        if marks:
+            self._mark(marks, -1)
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("br", "img", "hr", "input", "meta", "link"):
-            return
         at = dict(attrs)
-        name = f"{at.get('class') or ''} {at.get('id') or ''}"
-        if tag in ("td", "th", "tr"):
+        self._start(tag, f"{at.get('class') or ''} {at.get('id') or ''}", at.get("href"))
+
+    def _start(self, tag: str, name: str, href: str | None) -> None:
+        if tag in VOID:
+            return
+        if tag == "td" or tag == "th" or tag == "tr":
             since = self.in_table[-1]
-            while since["td"] or since["th"] or tag == "tr" and since["tr"]:
+            while since[CELLS] or tag == "tr" and since[ROWS]:
                 self._pop()
         elif tag == "li":
             while self.in_list[-1]:
                 self._pop()
         self._push(tag, name)
-        self.has_body |= "mw-content-text" in name
-        self.has_content |= "mw-parser-output" in name
-        if tag == "table":
-            table = {"rows": [], "inside": self.open["mw-parser-output"] > 0}
+        if len(name) > 1:
+            self.has_body |= "mw-content-text" in name
+            self.has_content |= "mw-parser-output" in name
+        if tag == "td" or tag == "th":
+            if self.open_tables and (rows := self.open_tables[-1]["rows"]):
+                self.last = {"tag": tag, "parts": [], "links": [], "entries": [], "lists": 0}
+                rows[-1].append(self.last)
+        elif tag == "tr":
+            if self.open_tables:
+                self.open_tables[-1]["rows"].append([])
+                self.last = self._last_cell()
+        elif tag == "table":
+            table = {"rows": [], "inside": self.contents > 0}
             self.tables.append(table)
             self.open_tables.append(table)
-        elif tag == "tr" and self.open_tables:
-            self.open_tables[-1]["rows"].append([])
-        elif tag in ("td", "th") and self.open_tables and self.open_tables[-1]["rows"]:
-            self.open_tables[-1]["rows"][-1].append({"tag": tag, "parts": [], "links": [], "entries": [], "lists": 0})
-        elif tag == "a" and at.get("href"):
-            link = {"href": at["href"], "parts": [], "bold": self.open["b"] > 0, "in_body": self.open["mw-content-text"] > 0}
-            self.links.append(link)
-            for t in self.open_tables:
-                if t["rows"] and t["rows"][-1]:
-                    t["rows"][-1][-1]["links"].append(link)
-            if (entry := self._entry()) is not None:
-                entry["hrefs"].append(at["href"])
-        elif tag == "ul" and (cell := self._cell()) is not None and self.in_cell[-1]["ul"] < 2:
-            cell["lists"] += 1
-        elif tag == "li" and (cell := self._cell()) is not None and cell["lists"] == 1:
-            if self.in_cell[-1]["li"] == 1:
-                cell["entries"].append({"text": [], "tooltip": [], "tips": [], "hrefs": [], "children": []})
+        elif tag == "a":
+            if href:
+                link = {"href": href, "parts": [], "bold": self.open["b"] > 0, "in_body": self.bodies > 0}
+                self.links.append(link)
+                for t in self.open_tables:
+                    if t["rows"] and t["rows"][-1]:
+                        t["rows"][-1][-1]["links"].append(link)
+                if (entry := self._entry()) is not None:
+                    entry["hrefs"].append(href)
+        elif tag == "ul":
+            if self.open_cells and self.last is not None and self.in_cell[-1][UL] < 2:
+                self.last["lists"] += 1
+        elif tag == "li" and self.open_cells and self.last is not None and self.last["lists"] == 1:
+            if self.in_cell[-1][LI] == 1:
+                self.last["entries"].append({"text": [], "tooltip": [], "tips": [], "hrefs": [], "children": []})
             elif (entry := self._entry()) is not None:
-                entry["tips" if self.in_cell[-1]["tooltip"] else "children"].append([])
+                entry["tips" if self.in_cell[-1][TOOLTIP] else "children"].append([])
 
     def _last_cell(self):
         """The newest cell of the innermost open table that has one."""
         return next((t["rows"][-1][-1] for t in reversed(self.open_tables) if t["rows"] and t["rows"][-1]), None)
 
-    def _cell(self):
-        return self._last_cell() if self.open["td"] or self.open["th"] else None
-
     def _entry(self):
-        cell = self._cell() if self.in_cell[-1]["li"] else None
+        cell = self.last if self.in_cell[-1][LI] and self.open_cells else None
         return cell["entries"][-1] if cell and cell["entries"] and cell["lists"] == 1 else None
 
     def handle_endtag(self, tag):
-        if self.open[tag]:
+        if self.stack and self.stack[-1][0] == tag:
+            self._pop()
+        elif self.open.get(tag):
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -219,18 +271,18 @@ class _Page(HTMLParser):
     def handle_data(self, data):
         if self.open["script"] or self.open["style"]:
             return
+        inside, bare = self.in_cell[-1], data.strip()
         if self.open["a"] and self.links:
-            self.links[-1]["parts"].append(data.strip())
-        entry, tip = self._entry(), self.in_cell[-1]["tooltip"] > 0
-        if entry is not None:
-            if tip:
+            self.links[-1]["parts"].append(bare)
+        if inside[LI] and (entry := self._entry()) is not None:
+            if inside[TOOLTIP]:
                 entry["tooltip"].append(data)
-            if self.in_cell[-1]["li"] > 1 and entry["tips" if tip else "children"]:
-                entry["tips" if tip else "children"][-1].append(data)
-            elif not tip:
+            if inside[LI] > 1 and entry["tips" if inside[TOOLTIP] else "children"]:
+                entry["tips" if inside[TOOLTIP] else "children"][-1].append(data)
+            elif not inside[TOOLTIP]:
                 entry["text"].append(data)
-        if not tip and not self.in_cell[-1]["sortkey"] and (cell := self._last_cell()) is not None:
-            cell["parts"].append(data.strip())
+        if bare and self.last is not None and not inside[TOOLTIP] and not inside[SORTKEY]:
+            self.last["parts"].append(bare)
 
 
 def _clean(text: str) -> str:
@@ -282,9 +334,9 @@ def judged_page(page_id: int, text: str | None, head: str | None) -> list[dict]:
         return [mark | {"label": "error", "text": f"{type(e).__name__}: {e}"}]
 
 
-def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", head: Column | None = None) -> DataFrame:
+def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", head: Column | None = None, dealt: bool = False) -> DataFrame:
     """The relation PARSED of all pages. Null html gives no rows. Write or cache it before splitting it by kind. Pages are dealt to all cores
-    first: a table of short rows is one file and one task, whatever its pages grow to.
+    first, unless they lie dealt: a table of short rows is one file and one task, whatever its pages grow to.
 
     With head, a text for each page, every page has a row of kind page too, see judged_page().
     """
@@ -303,7 +355,8 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
 
     ready(pages.sparkSession)
     given = [F.col(id_col).cast("long").alias("page_id"), F.col(html_col).cast("string").alias("html"), *([head.cast("string").alias("head")] if judged else [])]
-    return spread(pages.select(*given), "page_id", "html").mapInArrow(run, PARSED)
+    rows = pages.select(*given)
+    return (rows if dealt else spread(rows, "page_id", "html")).mapInArrow(run, PARSED)
 
 
 def page_links(parsed: DataFrame, host: str) -> DataFrame:
@@ -323,6 +376,14 @@ def pick_infobox(cells: DataFrame) -> DataFrame:
     return scored.withColumn("_best", best).where("score = _best.score and -a = _best.col2").drop("_best")
 
 
+def picked_tables(cells: DataFrame) -> DataFrame:
+    """(page_id, best, first): of each page the table that pick_infobox() picks, and its first row with an effects label, null without one; by
+    sums over the labels alone, so no other column is sorted or sent."""
+    effects = normalize_label(F.col("label")).isin(*EFFECT_LABELS)
+    tables = cells.groupBy("page_id", "a").agg((F.count("*") + 100 * F.max(effects.cast("int"))).alias("score"), F.min(F.when(effects, F.col("b"))).alias("first"))
+    return tables.groupBy("page_id").agg(F.max_by(F.struct(F.col("a").alias("best"), "first"), F.struct("score", -F.col("a"))).alias("t")).select("page_id", "t.*")
+
+
 def map_rows(cells: DataFrame) -> DataFrame:
     """cells(page_id, row_pos, label, text) with the normal label, its target and coercer, and whether it is ignored or null."""
     norm = normalize_label(F.col("label"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..functions.text import page_categories, page_meta
-from ..workers import written
+from ..workers import shelved, tasks
 from . import entries as E
 from . import infobox as I
 from .catalog import minted_id
@@ -38,10 +38,11 @@ TARGETS = {target: coercer for target, coercer in I.FIELDS.values()}
 
 def picked_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of parse_pages(): the cells of each page's table, and the entries of the first effects cell in it."""
-    cells = I.pick_infobox(I.cell_links(parsed).withColumnRenamed("table", "a"))
-    effects = cells.where(I.normalize_label(F.col("label")).isin(*I.EFFECT_LABELS)).groupBy("page_id", "a").agg(F.min("row_pos").alias("b"))
-    entries = parsed.where("kind = 'entry'").join(effects, ["page_id", "a", "b"])
-    return cells, entries.select("page_id", F.col("label").cast("int").alias("entry_pos"), "text", "tooltip", "hrefs", "children", "tooltip_items")
+    picked = I.picked_tables(parsed.where("kind = 'cell'")).hint("shuffle_hash")
+    # Rows meet by page alone, as they lie; a table or row among the keys would cost a shuffle.
+    cells = I.cell_links(parsed).join(picked, "page_id").where("table - best = 0").withColumnRenamed("table", "a")
+    entries = parsed.where("kind = 'entry'").join(picked, "page_id").where("a - best = 0 and b - first = 0")
+    return cells.drop("best", "first"), entries.select("page_id", F.col("label").cast("int").alias("entry_pos"), "text", "tooltip", "hrefs", "children", "tooltip_items")
 
 
 def typed_rows(mapped: DataFrame) -> DataFrame:
@@ -59,24 +60,24 @@ def typed_fields(cells: DataFrame) -> DataFrame:
     """(page_id, template, f_<target> of every target, errors map) of the picked cells: one row a page, by one aggregation. A target's value is
     that of its last row that could be read, an error the last text that could not."""
     rows = typed_rows(I.map_rows(cells))
-    kept = F.when(F.col("used"), F.struct((-F.col("row_pos")).alias("at"), "target", "text", "read", *[f"c_{c}" for c in KINDS]))
-    pages = rows.groupBy("page_id").agg(F.min_by("label", "row_pos").alias("first"), F.collect_set("label").alias("labels"), F.array_sort(F.collect_list(kept), _newest_first).alias("r"))
-    last = [f"get(filter(r, x -> x.target = '{t}' and x.c_{c} is not null), 0).c_{c} as f_{t.replace('.', '_')}" for t, c in TARGETS.items()]
-    unread = "filter(r, x -> not x.read)"
-    errors = f"map_from_entries(array_sort(transform(filter({unread}, (x, i) -> array_position(transform({unread}, y -> y.target), x.target) = i + 1), x -> struct(x.target, x.text)))) as errors"
-    return pages.select("page_id", I.template_of(F.col("first"), F.col("labels")).alias("template"), F.expr(errors), *map(F.expr, last))
-
-
-def _newest_first(x: Column, y: Column) -> Column:
-    return F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0)
+    held = " or ".join(f"c_{c} is not null" for c in KINDS)
+    kept = F.when(F.col("used"), F.struct((-F.col("row_pos")).alias("at"), "target", "text", "read", F.expr(held).alias("held"), *[f"c_{c}" for c in KINDS]))
+    # A table's rows differ in their place, so the newest stand first.
+    pages = rows.groupBy("page_id").agg(F.min_by("label", "row_pos").alias("first"), F.collect_set("label").alias("labels"), F.sort_array(F.collect_list(kept)).alias("r"))
+    pages = pages.select("page_id", I.template_of(F.col("first"), F.col("labels")).alias("template"), F.expr("filter(r, x -> x.held) as held"), F.expr("filter(r, x -> not x.read) as unread"))
+    # Names of targets beside the rows: a target's row is found by its place among the names, and no row is judged again for each target.
+    pages = pages.select("*", F.expr("held.target as targets"), F.expr("unread.target as odd"))
+    last = [f"get(held, cast(array_position(targets, '{t}') as int) - 1).c_{c} as f_{t.replace('.', '_')}" for t, c in TARGETS.items()]
+    errors = "map_from_entries(array_sort(transform(filter(unread, (x, i) -> array_position(odd, x.target) = i + 1), x -> struct(x.target, x.text)))) as errors"
+    return pages.select("page_id", "template", F.expr(errors), *map(F.expr, last))
 
 
 def entry_fields(entries: DataFrame) -> DataFrame:
     """(page_id, effects, customisation_hints, named_set) of pages with entries: arrays of structs in order."""
-    matched = written(E.captures(E.first_match(E.split_note(entries))))
+    matched = shelved(E.captures(E.first_match(E.split_note(entries))), "page_id")
     value = ("name", "value", "value_is_float", "value_kind", "bonus_type", "tooltip", "charges", "recharge_per_day", "note")
     in_order = lambda rows, *names: F.transform(F.array_sort(F.collect_list(F.struct("entry_pos", F.struct(*names).alias("x")))), lambda r: r["x"])
-    effects = E.effects(matched).join(matched.select("page_id", "entry_pos", "tooltip"), ["page_id", "entry_pos"])
+    effects = E.effects(matched, "tooltip")
     effects = effects.groupBy("page_id").agg(in_order(effects, *value).alias("effects"))
     hints = E.hints(matched)
     hints = hints.groupBy("page_id").agg(in_order(hints, F.col("hint_kind").alias("kind"), "raw", "name", "colour", F.col("hint_text").alias("text"), F.coalesce("children", F.array().cast("array<string>")).alias("children")).alias("customisation_hints"))
@@ -97,10 +98,12 @@ HEAD = "page_key bigint, url string, meta struct<page_id:bigint,revision_id:bigi
 
 
 def read_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """The parse of all pages, written once and keyed by row: pages of one id stay apart. Every page has a row of kind page."""
+    """The parse of all pages, keyed by row: pages of one id stay apart. It is written once, in buckets by that key, so that nothing
+    that follows shuffles it. Every page has a row of kind page."""
     key = [F.col(c).alias(n) if c in pages.columns else F.lit(None).alias(n) for c, n in ((id_col, "page_key"), (url_col, "url"))]
     head = F.to_json(F.struct(*key, page_meta(F.col(html_col)).alias("meta"), page_categories(F.col(html_col)).alias("categories")))
-    return written(I.parse_pages(pages.withColumn("_row", F.monotonically_increasing_id()), "_row", html_col, head))
+    rows = pages.withColumn("_row", F.monotonically_increasing_id()).select("_row", F.col(html_col).alias("_html"), head.alias("_head"))
+    return shelved(I.parse_pages(rows.repartition(tasks(pages.sparkSession), "_row"), "_row", "_html", F.col("_head"), dealt=True), "page_id")
 
 
 def page_heads(parsed: DataFrame) -> DataFrame:

@@ -188,4 +188,5 @@ register(
       list_sort(list_filter([CASE WHEN k % 3 = 2 THEN 'binding|Odd' END, CASE WHEN k % 5 = 0 THEN 'hardness|soft' END], lambda x: x IS NOT NULL)) AS errors
     FROM (SELECT *, p_partkey::BIGINT AS k, md5('catalog|' || (p_partkey + 7)::VARCHAR) AS h, '/page/Item:' || p_partkey::VARCHAR AS url FROM part WHERE p_partkey % 10 < 8)""",
     pages=ITEM_PAGES,
+    dealt=True,
 )

@@ -11,8 +11,8 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from millrace.operators.cycle import NO_CONTENT, NO_TABLE, NOT_HELD, commit, run_cycle
-from millrace.operators.infobox import judged_page, parse_page
-from millrace.operators.items import extract_items
+from millrace.operators.infobox import _Page, _read, _relations, judged_page, parse_page
+from millrace.operators.items import extract_items, picked_rows, read_pages, typed_fields
 from millrace.sources.records import scan_records
 from millrace.sources.snapshots import manifest, read_snapshot
 from millrace.streaming.items import stream_items
@@ -113,3 +113,35 @@ def test_stream_survives_a_replay_and_takes_the_last_fetch(spark, tmp_path):
     assert run([]) == last and manifest(spark, root).version == version
     shutil.rmtree(checkpoint.removeprefix("file://"))  # a new stream reads all pages again
     assert run([]) == last and manifest(spark, root).version == version + 2
+
+
+def test_an_end_tag_named_like_a_mark_ends_nothing():
+    rows = judged_page(1, '<div class="mw-parser-output"><table><tr><th>A</th><td><span class="sortkey">1</sortkey>2</span> 3</td></tr></table></div>', "h")
+    assert [(r["label"], r.get("text")) for r in rows] == [("read", None), ("A", "3")]
+
+
+def test_pages_are_read_in_steps_as_by_the_parser_alone():
+    class Slow(_Page):
+        def _steps(self, i):
+            return i
+
+    draw = random.Random(6)
+    parts = ["<table>", "</table>", "<tr>", "<td>", "</td>", "<th>", '<th class="tooltip">', "</th>", "<ul>", "</ul>", "<li>", '<li class="sortkey">', "</li>", "<b>", "</b>", '<a href="/page/x">', '<a href="/p&amp;y" title="a>b">', "</a>", "</b x>", "<p/>", "<script>", "</script>", "<!-- <td> -->", "<!doctype html>", "<title>", "x &amp; y", "&#6", "<", "</>", ">", "\n"]
+    for _ in range(400):
+        text = '<div class="mw-parser-output"><table><tr><td><ul><li>' + "".join(draw.choices(parts, k=60))
+        slow, read = Slow(), _read(text)
+        slow.feed(text)
+        slow.close()
+        assert _relations(1, read) == _relations(1, slow), text
+        assert (read.has_content, read.has_body, len(read.stack)) == (slow.has_content, slow.has_body, len(slow.stack))
+    many = _read('<div class="mw-parser-output"><ul>' + '<li><b class="n">x</b> y</li>' * 50)
+    assert len(many.stack) == 2 and not any(many.in_list)
+
+
+def test_nothing_behind_the_parse_shuffles_its_rows(spark):
+    pages = spark.createDataFrame([(k, "u", page(k, "A")) for k in range(9)], "page_id long, url string, html string")
+    cells, entries = picked_rows(read_pages(pages))
+    for df in (typed_fields(cells), entries):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+    assert typed_fields(cells).where("f_minimum_level = 3").count() == 9
