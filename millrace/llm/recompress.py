@@ -88,11 +88,12 @@ class Tokens:
         full = self.base()
         found = [full]
         for level in range(1, ROUNDS + 1):
-            places = pair_places(full, level)
+            right = right_side(full.name, level)
+            places = pair_places(full, right)
             keys = full.name[places], full.name[places + 1]
             if len(returned) < level:
                 return found, places, keys
-            full, made = joined(full, places, named(keys, returned[level - 1]), self.first, level)
+            full, made = joined(full, places, named(keys, returned[level - 1]), self.first, right)
             found.append(made)
         places = np.flatnonzero((full.doc[1:] == full.doc[:-1]) & (full.name[1:] > 0) & (full.name[:-1] > 0))
         keys = full.name[places], full.name[places + 1]
@@ -110,21 +111,13 @@ def numbered(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, list[bytes],
     # A word goes no further than its document.
     cut = np.unique(edges[1:-1])
     cut = cut[inside[cut - 1] & inside[cut]] if len(cut) else cut
-    starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
+    if len(cut):
+        starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
     first = np.searchsorted(starts, edges)
     data = np.frombuffer(text, np.uint8)
     hashes = word_hashes(data, starts, ends)
-    order = np.argsort(hashes, kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = hashes[order][1:] != hashes[order][:-1]
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    head = order[new]
-    size = ends - starts
-    same = size == size[head][number]
-    at = np.flatnonzero(same)
-    differ = data[spread(starts[at], size[at])] != data[spread(starts[head][number[at]], size[at])]
-    if not same.all() or differ.any():  # two words of one hash
+    number, head = first_met(hashes)
+    if not same_words(data, starts, ends, head[number]):  # two words of one hash
         every: dict[bytes, int] = {}
         number = np.array([every.setdefault(text[a:b], len(every)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
         head = np.unique(number, return_index=True)[1]
@@ -140,6 +133,31 @@ def numbered(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, list[bytes],
     return first, keys, np.concatenate((hashes[head], own)), np.concatenate((counts, met if len(many) else counts[:0])), number, runs
 
 
+def first_met(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each value among the distinct ones, in order of their first places, and these places; by a table, not by a sort."""
+    number = pa.array(values).dictionary_encode().indices.to_numpy().astype(np.int64)
+    head = np.empty(int(number.max(initial=-1)) + 1, np.int64)
+    head[number[::-1]] = np.arange(len(number))[::-1]
+    return number, head
+
+
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each word, data[start:end], has the bytes of its other one, eight after eight."""
+    size = ends - starts
+    if (size != size[other]).any():
+        return False
+    lanes = np.ndarray(len(data), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
+    at = np.flatnonzero(other != np.arange(len(other)))
+    x, y, left = starts[at], starts[other[at]], size[at]
+    while len(x):
+        # What two lanes differ in, without the bytes behind the words.
+        if ((lanes[x] ^ lanes[y]) << (_U(64) - _U(8) * np.minimum(left, 8).astype(np.uint64))).any():
+            return False
+        more = left > 8
+        x, y, left = x[more] + 8, y[more] + 8, left[more] - 8
+    return True
+
+
 def run_starts(words: np.ndarray, doc: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Word numbers at which a maximal run begins; a word met once (0) is a run of its own."""
     new = np.ones(len(words), bool)
@@ -151,20 +169,20 @@ def right_side(names: np.ndarray, level: int) -> np.ndarray:
     return (mix(names.astype(np.uint64) * _U(16) + _U(level)) >> _U(63)).astype(bool)
 
 
-def pair_places(layer: Layer, level: int) -> np.ndarray:
+def pair_places(layer: Layer, right: np.ndarray) -> np.ndarray:
     """Numbers of the symbols that join the next one: left before right, both named, of one document."""
-    right, known = right_side(layer.name, level), layer.name > 0
+    known = layer.name > 0
     return np.flatnonzero((layer.doc[1:] == layer.doc[:-1]) & known[1:] & known[:-1] & ~right[:-1] & right[1:])
 
 
-def joined(layer: Layer, places: np.ndarray, names: np.ndarray, first: np.ndarray, level: int) -> tuple[Layer, Layer]:
+def joined(layer: Layer, places: np.ndarray, names: np.ndarray, first: np.ndarray, right: np.ndarray) -> tuple[Layer, Layer]:
     """The layer with pairs joined, and the pairs alone. A symbol that stays single depends on the neighbour on its open side."""
     n = len(layer.name)
-    right = right_side(layer.name, level)
-    same = layer.doc[1:] == layer.doc[:-1]
-    before, behind = first[layer.doc] - 1, first[layer.doc + 1] + 1
-    before[1:] = np.where(same, layer.low[:-1], before[1:])
-    behind[:-1] = np.where(same, layer.high[1:], behind[:-1])
+    new = np.flatnonzero(layer.doc[1:] != layer.doc[:-1]) + 1  # the first symbols of documents, but for the first one
+    before, behind = np.empty(n, np.int64), np.empty(n, np.int64)
+    before[1:], behind[:-1] = layer.low[:-1], layer.high[1:]
+    begin, end = np.append(np.zeros(min(n, 1), np.int64), new), np.append(new - 1, np.full(min(n, 1), n - 1))
+    before[begin], behind[end] = first[layer.doc[begin]] - 1, first[layer.doc[end] + 1] + 1
     low, high = np.where(right, np.minimum(before, layer.low), layer.low), np.where(right, layer.high, np.maximum(behind, layer.high))
     name, keep = layer.name.copy(), np.ones(n, bool)
     name[places], low[places], high[places] = names, layer.low[places], layer.high[places + 1]
@@ -236,8 +254,7 @@ class Entries:
         new[1:] = (np.diff(starts) != 1) | (place[1:] != place[:-1]) | (route[1:] != route[:-1]) | (tokens.doc[starts[1:]] != tokens.doc[starts[:-1]])
         at = np.flatnonzero(new)
         self.start, self.count = starts[at], np.diff(np.append(at, len(starts)))
-        doc = tokens.doc[self.start]
-        self.id, self.offset = tokens.ids[doc], self.start - first[doc]
+        self._place(tokens.ids, first)
         hashes = window_hashes(words, window) if len(at) else np.empty(0, np.uint64)
         key = mix(hashes[self.start] * _TIMES + mix(hashes[self.start + self.count - 1] + self.count.astype(np.uint64))) if len(at) else hashes
         bucket = (mix(route[at]) % _U(buckets)).astype(np.int64)
@@ -254,6 +271,23 @@ class Entries:
         self.head[order] = place[np.where(lead, order, head)]
         self.bucket = bucket[self.heads]
 
+    @classmethod
+    def of(cls, row: dict, window: int, tokens: Tokens | None = None) -> Entries:
+        """Of a block that knows what packed() kept; messages() needs the tokens."""
+        found = cls.__new__(cls)
+        found.tokens, found.window = tokens, window
+        found.start = np.cumsum(from_planes(row["starts"]))
+        found.count, found.heads, found.head, found.bucket = (from_planes(row[k]) for k in ("counts", "heads", "head", "buckets"))
+        found._place(from_planes(row["ids"]), from_planes(row["first"]))
+        return found
+
+    def packed(self) -> dict:
+        return {"starts": planes(np.diff(self.start, prepend=0)), "counts": planes(self.count), "heads": planes(self.heads), "head": planes(self.head), "buckets": planes(self.bucket)}
+
+    def _place(self, ids: np.ndarray, first: np.ndarray) -> None:
+        doc = np.searchsorted(first, self.start, "right") - 1
+        self.id, self.offset, self.first = ids[doc], self.start - first[doc], first
+
     def _candidates(self, layers: list[Layer]) -> np.ndarray:
         tokens, window = self.tokens, self.window
         n = len(tokens.words)
@@ -311,7 +345,7 @@ class Entries:
 
     def removed(self, flags: np.ndarray) -> np.ndarray:
         """Which words go. flags: of every window of the heads, in order, whether it starts earlier elsewhere."""
-        edge = np.zeros(len(self.tokens.words) + 1, np.int64)
+        edge = np.zeros(self.first[-1] + 1, np.int64)
         if len(self.start):
             h = self.heads[self.head]
             own = (self.id == self.id[h]) & (self.offset == self.offset[h])
@@ -528,37 +562,48 @@ class Dedup:
 
         return self.exchange(state, send, judge, left="bytes", right="bytes", twice="bytes")
 
-    def settle(self, state: DataFrame) -> DataFrame:
-        """Of every candidate window whether it starts earlier in another block."""
+    def entries(self, state: DataFrame) -> DataFrame:
+        """The candidate windows of every block, found once for settle() and cleaned()."""
+        schema, sql = _schema(block="int", starts="bytes", counts="bytes", heads="bytes", head="bytes", buckets="bytes")
         buckets, window = self.buckets, self.window
 
+        def run(batches):
+            return _batched(({"block": row["block"], **_entries(row, window, buckets).packed()} for row in _rows(batches)), schema)
+
+        return shelved(state.mapInArrow(run, sql), "block", self.tasks)
+
+    def settle(self, state: DataFrame, entries: DataFrame) -> DataFrame:
+        """Of every candidate window whether it starts earlier in another block."""
+        window = self.window
+
         def send(row):
-            yield from _entries(row, window, buckets).messages()
+            yield from Entries.of(row, window, Tokens.of(row)).messages()
 
         def judge(group):
             lists = [[from_planes(x[k]) for x in group] for k in ("words", "counts", "ids", "offsets")]
             later = later_windows(*map(np.concatenate, lists), window)
             return (np.packbits(x).tobytes() for x in np.split(later, np.cumsum([x.sum() for x in lists[1]])[:-1]))
 
-        return self.exchange(state, send, judge, words="bytes", counts="bytes", ids="bytes", offsets="bytes")
+        source = state.select("block", "ids", "first", "words", "runs", "back_0").join(entries.hint("shuffle_hash"), "block")
+        return self.exchange(source, send, judge, words="bytes", counts="bytes", ids="bytes", offsets="bytes")
 
-    def cleaned(self, blocks: DataFrame, state: DataFrame, settled: DataFrame, with_text: bool) -> DataFrame:
+    def cleaned(self, blocks: DataFrame, found: DataFrame, settled: DataFrame, with_text: bool) -> DataFrame:
         schema, sql = _schema(id="int", n_words="int", n_removed="int", kept_sha256="str", **{"text": "str"} if with_text else {}, **{"rest": "str"} if self.carried else {})
-        buckets, window, carried = self.buckets, self.window, self.carried
+        window, carried = self.window, self.carried
 
         def run(batches):
             for row in _rows(batches):
-                entries = _entries(row, window, buckets)
+                entries, ids = Entries.of(row, window), from_planes(row["ids"])
                 sizes = [int(entries.count[entries.heads[entries.bucket == k]].sum()) for k in np.unique(entries.bucket)]
                 bits = [x["names"] for x in sorted(row["settled"] or (), key=lambda x: x["bucket"])]
                 flags = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(bits, sizes, strict=True)]
                 gone = entries.removed(np.concatenate([np.empty(0, np.uint8), *flags]).astype(bool))
-                first = entries.tokens.first
+                first = entries.first
                 for i, text in enumerate(_texts(row)):
                     own, words = gone[first[i] : first[i + 1]], text.split()
                     lost = int(own.sum())
                     body = b" ".join(compress(words, (~own).tolist()) if lost else words)
-                    number = int(entries.tokens.ids[i])
+                    number = int(ids[i])
                     found = {"id": None if number == NULL_ID else number, "n_words": len(words), "n_removed": lost, "kept_sha256": hashlib.sha256(body).hexdigest()}
                     if with_text:  # where the row's own columns stay, a text that loses nothing keeps its white space
                         found["text"] = (body if lost or not carried else text).decode()
@@ -566,7 +611,7 @@ class Dedup:
                         found["rest"] = row["rest"][i]
                     yield found
 
-        every = state.join(blocks.select("block", "lengths", "text", "rest"), "block").join(settled.withColumnRenamed("back", "settled").hint("shuffle_hash"), "block", "left")
+        every = blocks.select("block", "ids", "first", "lengths", "text", "rest").join(found.hint("shuffle_hash"), "block").join(settled.withColumnRenamed("back", "settled").hint("shuffle_hash"), "block", "left")
         return every.mapInArrow(lambda b: _batched(run(b), schema), sql)
 
 
@@ -622,4 +667,5 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for level in range(ROUNDS + 2):
         back = job.pairs(state, level) if level else job.words(blocks)
         state = state.join(back.withColumnRenamed("back", f"back_{level}").hint("shuffle_hash"), "block", "left")
-    return job.cleaned(blocks, state, job.settle(state), with_text).withColumnRenamed("id", id_col)
+    entries = job.entries(state)
+    return job.cleaned(blocks, entries, job.settle(state, entries), with_text).withColumnRenamed("id", id_col)

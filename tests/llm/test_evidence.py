@@ -232,3 +232,26 @@ def test_classifiers_on_held_out_rows(spark, table):
     graded = ordinal.train(*ordinal.graded_sample(docs, labels.where(~out), rating))
     tail = ordinal.grade(graded, [r.text for r in test])
     assert held_out_auc(dict(zip([r.doc_id for r in test], tail[:, 0].tolist(), strict=True)), {r.doc_id: r.quality for r in test}) > 0.85
+
+
+def test_packed_windows_remove_what_the_block_itself_would():
+    draw = np.random.default_rng(8)
+    docs = [b" ".join(draw.choice([b"a", b"bb", b"longer-words", b"c"], n).tolist()) for n in (0, 40, 0, 0, 3, 60, 30)]
+    first, keys, _, counts, words, runs = R.numbered(b"".join(d + b"\n" for d in docs), np.array([len(d) + 1 for d in docs], np.int64))
+    names = np.where(counts > 1, np.arange(1, len(keys) + 1) * 8, 0)
+    tokens = R.Tokens(np.arange(len(docs)), first, names[words], names[runs])
+    whole = R.Entries(tokens, tokens.layers([])[0], 4, 3)
+    row = whole.packed() | {"ids": R.planes(tokens.ids), "first": R.planes(first)}
+    again = R.Entries.of(row, 4, tokens)
+    assert len(whole.start) and list(again.messages()) == list(whole.messages())
+    flags = draw.integers(0, 2, int(whole.count[whole.heads].sum())).astype(bool)
+    assert np.array_equal(R.Entries.of(row, 4).removed(flags), whole.removed(flags)) and whole.removed(flags).any()
+
+
+def test_words_of_one_hash_are_told_apart_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(R, "word_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    for x, y in ((b"ab", b"ac"), (b"12345678", b"12345679"), (b"12345678a", b"12345678b"), (b"a" * 16 + b"x" * 8, b"a" * 16 + b"x" * 7 + b"y")):
+        _, keys, _, counts, words, _ = R.numbered(x + b" " + y + b" " + x, np.array([2 * len(x) + len(y) + 2]))
+        assert (keys, counts.tolist(), words.tolist()) == ([x, y], [2, 1], [0, 1, 0])
+    met, head = R.first_met(np.array([7, 3, 7, 9, 3], np.uint64))
+    assert (met.tolist(), head.tolist()) == ([0, 1, 0, 2, 1], [0, 1, 3])
