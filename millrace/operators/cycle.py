@@ -43,8 +43,7 @@ class Cycle:
 
 def judged(parsed: DataFrame) -> DataFrame:
     """(row, page_key, url, outcome, reason) of read_pages(): extracted, skipped or failed, and why."""
-    cells, _ = picked_rows(parsed)
-    heads = page_heads(parsed).join(cells.select("page_id").distinct().withColumn("found", F.lit(True)), "page_id", "left")
+    heads = page_heads(parsed).join(parsed.where("kind = 'cell'").select("page_id").distinct().withColumn("found", F.lit(True)), "page_id", "left")
     skipped = F.get(F.filter("categories", lambda c: c.rlike(I.SKIPPED)), F.lit(0))
     reason = (
         F.when(F.col("label") == "error", F.col("text"))
